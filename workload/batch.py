@@ -60,19 +60,20 @@ def _(t):
 @query(
     "f3_silver_news",
     "select source, title, lang as description, article_id::varchar as url, "
-    "case when article_id % 7 = 0 then null else published_at end as published_at, content "
-    "from news where article_id % 5 <> 0",
+    "case when lang = 'fr' then null else published_at end as published_at, content "
+    "from news where contains(content, chr(10))",
     "news",
 )
 def _(t):
-    # Article ids decide which rows have a broken time or no title: bad input the rules must catch.
+    # Bad input for the rules: a text of one line has no title, and French sources date oddly.
     stamp = F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    odd = F.date_format("published_at", "dd/MM/yyyy 'à' HH'h'mm")
     raw = t.news().select(
         "source",
-        F.when(F.col("article_id") % 5 != 0, F.col("title")).alias("title"),
+        F.when(F.col("content").contains("\n"), F.col("title")).alias("title"),
         F.col("lang").alias("description"),
         F.col("article_id").cast("string").alias("url"),
-        F.when(F.col("article_id") % 7 == 0, "not a time").otherwise(stamp).alias("published_at"),
+        F.when(F.col("lang") == "fr", odd).otherwise(stamp).alias("published_at"),
         "content",
         F.current_timestamp().alias("ingested_at"),
     )
@@ -596,8 +597,11 @@ def _(t):
     )
 
 
-# A crude guess to grade: the class of the article's id.
-GUESS = "case article_id % 3 when 0 then 'positive' when 1 then 'negative' else 'neutral' end"
+# A crude guess to grade: long titles are taken for good news.
+GUESS = (
+    "case when length(title) > 120 then 'positive' when length(title) > 60 then 'negative' "
+    "else 'neutral' end"
+)
 
 
 @query(
@@ -965,22 +969,44 @@ def _(t):
 
 
 FOLD = "arg_max({f}, seq) filter (op <> 'delete' and {f} is not null and seq >= coalesce(r, -1))"
+FIELDS = ("symbol", "condition", "threshold", "is_active")
+
+
+def change_log(t: Tables):
+    """The events as edits of the alerts: who, when, and which fields the request names."""
+    kind, price, volume = F.col("symbol"), F.col("price"), F.col("volume_24h")
+    users = t.raw("events").select("event_id", "user_id")
+    return (
+        t.ticks()
+        .join(users, "event_id")
+        .select(
+            F.col("event_id").alias("seq"),
+            F.col("user_id").alias("id"),
+            F.when(kind == "SIGNUP", "insert").when(kind == "ERROR", "delete").otherwise("update")
+            .alias("op"),
+            F.when(volume > 30, kind).alias("symbol"),
+            F.when(price > 50, "above").when(price < 10, "below").alias("condition"),
+            F.when(volume < 70, price).alias("threshold"),
+            F.when(volume > 90, False).alias("is_active"),
+        )
+    )
 
 
 @query(
     "u5_apply_changes",
     # A field's last value since the last insert or delete, else the row it started from.
-    "select * from (with log as (select event_id as seq, event_id % 1500 as id, case event_id % 11 "
-    "when 0 then 'insert' when 1 then 'delete' else 'update' end as op, "
-    "case when event_id % 3 = 0 then symbol end as symbol, "
-    "case when event_id % 4 = 0 then 'above' end as condition, "
-    "case when event_id % 5 <> 0 then price end as threshold, "
-    "case when event_id % 7 = 0 then false end as is_active from ticks), "
+    "select * from (with log as (select t.event_id as seq, user_id as id, case symbol "
+    "when 'SIGNUP' then 'insert' when 'ERROR' then 'delete' else 'update' end as op, "
+    "case when volume_24h > 30 then symbol end as symbol, "
+    "case when price > 50 then 'above' when price < 10 then 'below' end as condition, "
+    "case when volume_24h < 70 then price end as threshold, "
+    "case when volume_24h > 90 then false end as is_active "
+    "from ticks t join events e on t.event_id = e.event_id), "
     "base as (select id, symbol, condition, threshold, is_active from alerts), "
     "reset as (select id, max(seq) as r, arg_max(op, seq) as rop from log "
     "where op <> 'update' group by id), "
     "fold as (select l.id, max(rop) as rop, "
-    + ", ".join(f"{FOLD.format(f=f)} as {f}" for f in ("symbol", "condition", "threshold", "is_active"))
+    + ", ".join(f"{FOLD.format(f=f)} as {f}" for f in FIELDS)
     + " from log l left join reset s on l.id = s.id group by l.id) "
     "select coalesce(b.id, f.id) as id, coalesce(f.symbol, case when rop is null then b.symbol end) "
     "as symbol, coalesce(f.condition, case when rop is null then b.condition end) as condition, "
@@ -991,19 +1017,8 @@ FOLD = "arg_max({f}, seq) filter (op <> 'delete' and {f} is not null and seq >=
     "ticks alerts",
 )
 def _(t):
-    e = F.col("event_id")
-    log = t.ticks().select(
-        e.alias("seq"),
-        (e % 1500).alias("id"),
-        F.when(e % 11 == 0, "insert").when(e % 11 == 1, "delete").otherwise("update").alias("op"),
-        F.when(e % 3 == 0, F.col("symbol")).alias("symbol"),
-        F.when(e % 4 == 0, "above").alias("condition"),
-        F.when(e % 5 != 0, F.col("price")).alias("threshold"),
-        F.when(e % 7 == 0, False).alias("is_active"),
-    )
     return accounts.apply_changes(
-        t.alerts(), log, ["id"], "seq", "op",
-        ["symbol", "condition", "threshold", "is_active"], defaults={"is_active": True},
+        t.alerts(), change_log(t), ["id"], "seq", "op", FIELDS, defaults={"is_active": True}
     )
 
 

@@ -214,11 +214,8 @@ def _(t):
 def _(t):
     path = scratch_dir(t.spark, "loose")
     rows = t.ticks().select("event_id", "symbol", "price", F.to_date("event_time").alias("day"))
-    # Two loads of interleaved rows leave several files per day; one remains after the merge.
-    for half in (0, 1):
-        rows.filter(F.col("event_id") % 2 == half).repartition(3, "event_id").write.mode(
-            "append"
-        ).partitionBy("day").parquet(path)
+    # Every one of six tasks leaves a file in every day; one remains after the merge.
+    rows.repartition(6, "event_id").write.partitionBy("day").parquet(path)
     lake.compact(t.spark, path, ["day"])
     per_day = t.spark.read.parquet(path)
     count = F.col("_metadata.file_path")
@@ -231,7 +228,7 @@ def _(t):
 @query(
     "s16_ticker_payload",
     "select symbol, price, volume_24h, epoch_us(event_time) // 1000 as timestamp, 'binance' as source "
-    "from (select symbol, case when event_id % 10 = 0 then 0 else price end as price, volume_24h, "
+    "from (select symbol, case when symbol = 'ERROR' then 0 else price end as price, volume_24h, "
     "event_time from ticks)",
     "ticks",
 )
@@ -239,7 +236,7 @@ def _(t):
     raw = t.ticks().select(
         jsontext.encode(
             F.col("symbol").alias("s"),
-            F.when(F.col("event_id") % 10 != 0, F.col("price").cast("string")).alias("c"),
+            F.when(F.col("symbol") != "ERROR", F.col("price").cast("string")).alias("c"),
             F.col("volume_24h").cast("string").alias("v"),
             F.unix_millis(F.col("event_time").cast("timestamp")).alias("E"),
         ).alias("raw_value")
@@ -295,19 +292,18 @@ def _(t):
 
 @query(
     "s16_feed_payload",
-    "select subreddit, case when conv_id % 3 = 0 then 'https://posts/' || post_id else post_id end "
+    "select subreddit, case when subreddit = 'user' then 'https://posts/' || post_id else post_id end "
     "as post_id, '' as title, text, 0 as score, 0 as num_comments, created_utc, "
     "'https://posts/' || post_id as url, created_utc * 1000 as timestamp, 'rss_opinion' as type "
-    "from (select *, created_utc // 3600 - 473352 as conv_id from social)",
+    "from social",
     "social",
 )
 def _(t):
     link = F.concat(F.lit("https://posts/"), F.col("post_id"))
-    conv = F.expr("created_utc div 3600") - 473352
     raw = t.social().select(
         jsontext.encode(
             F.col("subreddit").alias("feed"),
-            F.when(conv % 3 != 0, F.col("post_id")).alias("id"),
+            F.when(F.col("subreddit") != "user", F.col("post_id")).alias("id"),
             F.col("text").alias("summary"),
             link.alias("link"),
         ).alias("raw_value"),
@@ -322,12 +318,12 @@ def _(t):
     "klines",
 )
 def _(t):
+    rows = t.klines().select("symbol", "open_time", "close")
+    is_early = F.col("open_time") < F.expr("timestamp_ntz'2024-01-16'")
     paths = []
-    for half in (0, 1):
-        path = scratch_dir(t.spark, "part")
-        rows = t.klines().select("symbol", "open_time", "close")
-        rows.filter(F.hour("open_time") % 2 == half).write.parquet(path)
-        paths.append(path)
+    for part in (rows.filter(is_early), rows.filter(~is_early)):
+        paths.append(scratch_dir(t.spark, "part"))
+        part.write.parquet(paths[-1])
     return files.union_files(
         t.spark, paths, "symbol string, open_time timestamp_ntz, close double"
     )
@@ -335,8 +331,8 @@ def _(t):
 
 @query(
     "j2_merge_upsert",
-    "select symbol, event_time, case when event_id % 3 = 0 then price + 1000 else price end "
-    "as price from ticks",
+    "select symbol, event_time, case when event_time >= timestamp '2024-01-10 12:00:00' "
+    "then price + 1000 else price end as price from ticks",
     "ticks",
 )
 def _(t):
@@ -346,11 +342,12 @@ def _(t):
     table = lake.LakeTable(
         t.spark, scratch_dir(t.spark, "upsert"), ["symbol", "event_time"], DAYS
     )
-    # Load what is not divisible by 4; then correct every third tick and add what is missing.
-    e = F.col("event_id")
-    table.upsert(rows.filter(e % 4 != 0))
-    corrected = rows.withColumn("price", F.when(e % 3 == 0, F.col("price") + 1000).otherwise(F.col("price")))
-    table.upsert(corrected.filter((e % 3 == 0) | (e % 4 == 0)))
+    # The first load ends on the 20th; the second one replaces what it has from the noon of the
+    # 10th on, in the middle of a partition, and adds the rest.
+    first = F.col("event_time") < F.expr("timestamp_ntz'2024-01-20'")
+    second = F.col("event_time") >= F.expr("timestamp_ntz'2024-01-10 12:00:00'")
+    table.upsert(rows.filter(first))
+    table.upsert(rows.filter(second).withColumn("price", F.col("price") + 1000))
     return table.read().select("symbol", "event_time", "price")
 
 
@@ -384,13 +381,14 @@ def _(t):
 
 @query(
     "x3_iso_timestamp",
-    "select article_id, case when article_id % 7 = 0 then null else published_at end as parsed "
+    "select article_id, case when lang = 'de' then null else published_at end as parsed "
     "from news",
     "news",
 )
 def _(t):
     stamp = F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    given = F.when(F.col("article_id") % 7 == 0, F.concat(F.lit("x"), stamp)).otherwise(stamp)
+    odd = F.date_format("published_at", "dd.MM.yyyy HH:mm")
+    given = F.when(F.col("lang") == "de", odd).otherwise(stamp)
     return t.news().select("article_id", temporal.iso_timestamp(given).alias("parsed"))
 
 
@@ -456,12 +454,12 @@ def _(t):
 @query(
     "x8_numbers",
     "select c_custkey, abs(c_acctbal) as size, round(c_acctbal / 7, 4) as seventh, "
-    "c_acctbal::varchar::double as parsed, case when c_custkey % 3 <> 0 then c_custkey end "
+    "c_acctbal::varchar::double as parsed, case when c_mktsegment <> 'MACHINERY' then c_custkey end "
     "as whole from customer",
 )
 def _(t):
     key, balance = F.col("c_custkey"), F.col("c_acctbal")
-    broken = F.when(key % 3 == 0, F.concat(F.lit("n"), key.cast("string"))).otherwise(
+    broken = F.when(F.col("c_mktsegment") == "MACHINERY", F.col("c_name")).otherwise(
         key.cast("string")
     )
     return t.raw("customer").select(
@@ -474,13 +472,13 @@ def _(t):
 @query(
     "x9_case_coalesce",
     "select event_id, case when volume_24h > 50 then 'high' when volume_24h > 10 then 'mid' "
-    "else 'low' end as class, coalesce(case when event_id % 2 = 0 then symbol end, 'none') "
-    "as name, (case when event_id % 2 = 0 then symbol end) is null as missing from ticks",
+    "else 'low' end as class, coalesce(case when price > 20 then symbol end, 'none') "
+    "as name, (case when price > 20 then symbol end) is null as missing from ticks",
     "ticks",
 )
 def _(t):
     volume = F.col("volume_24h")
-    maybe = F.when(F.col("event_id") % 2 == 0, F.col("symbol"))
+    maybe = F.when(F.col("price") > 20, F.col("symbol"))
     return t.ticks().select(
         "event_id",
         F.when(volume > 50, "high").when(volume > 10, "mid").otherwise("low").alias("class"),
@@ -843,16 +841,16 @@ def _(t):
 
 
 @query(
-    "q8_change_rules",
-    "select event_id, case when event_id % 11 = 5 then 'operation_unknown' else 'condition_invalid' "
-    "end as reject_reason from ticks where event_id % 11 = 5 or event_id % 13 = 0",
+    "u5_change_rules",
+    "select event_id, case when symbol = 'VIEW' then 'operation_unknown' else 'condition_invalid' "
+    "end as reject_reason from ticks where symbol = 'VIEW' or price > 100",
     "ticks",
 )
 def _(t):
-    e = F.col("event_id")
+    kind = F.col("symbol")
     log = t.ticks().select(
         "event_id",
-        F.when(e % 11 == 5, "upsert").otherwise("insert").alias("op"),
-        F.when(e % 13 == 0, "near").otherwise("above").alias("condition"),
+        F.when(kind == "VIEW", "look").otherwise("insert").alias("op"),
+        F.when(F.col("price") > 100, "near").otherwise("above").alias("condition"),
     )
     return silver.quarantine(log, accounts.change_rules()).select("event_id", "reject_reason")
