@@ -54,3 +54,22 @@ def format_date(col: Column) -> Column:
 def format_utc(col: Column) -> Column:
     """API form of a date or timestamp: ``2026-05-01T00:00:00Z``."""
     return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def on_day(df: DataFrame, day: Column) -> DataFrame:
+    """Name the day to a table partitioned by year, month, day, so that it reads no other.
+
+    Spark does not derive partition columns from a condition on the time they were made of.
+    """
+    if not {"year", "month", "day"} <= set(df.columns):
+        return df
+    return df.filter(
+        (F.col("year") == F.year(day))
+        & (F.col("month") == F.month(day))
+        & (F.col("day") == F.dayofmonth(day))
+    )
+
+
+def since_year(df: DataFrame, moment: Column) -> DataFrame:
+    """The same for a table partitioned by year and everything from ``moment`` on."""
+    return df.filter(F.col("year") >= F.year(moment)) if "year" in df.columns else df

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,10 +13,6 @@ from tickhouse.functions import temporal
 from tickhouse.functions.text import STOPWORDS, words
 from tickhouse.operators.series import join_per_key
 
-# Pairs computed by one aggregation; more would make its row too wide to compile well.
-PAIRS_PER_PASS = 64
-
-
 def aligned_closes(
     klines: DataFrame, symbols: Sequence[str], time: str = "open_time", value: str = "close"
 ) -> DataFrame:
@@ -28,37 +25,103 @@ def aligned_closes(
     return wanted.groupBy(time).agg(*columns)
 
 
+def pair_moments(wide: DataFrame, n: int) -> DataFrame:
+    """Per task and pair of the columns ``s0 .. s<n-1>``: count, means and centred moments.
+
+    A batch of rows is a matrix, and the sums of all pairs are a few products of it, so a task
+    keeps n x n sums however many times it reads and emits one row per pair.
+    """
+
+    def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shift, sums = None, None
+        for batch in batches:
+            x = batch.to_numpy(dtype="float64", na_value=np.nan)
+            here = ~np.isnan(x)
+            if shift is None:
+                # Near the data, so that squares of large prices do not swallow their spread.
+                counts = np.maximum(here.sum(axis=0), 1)
+                shift = np.nansum(x, axis=0) / counts
+            x = np.where(here, x - shift, 0.0)
+            m = here.astype("float64")
+            part = np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+            sums = part if sums is None else sums + part
+        if sums is None:
+            return
+        count, first, second, cross = sums
+        a, b = np.triu_indices(n)
+        k = count[a, b]
+        a, b, k = a[k > 0], b[k > 0], k[k > 0]
+        sum_a, sum_b = first[a, b], first[b, a]
+        yield pd.DataFrame(
+            {
+                "a": a.astype("int32"),
+                "b": b.astype("int32"),
+                "k": k,
+                "mean_a": shift[a] + sum_a / k,
+                "mean_b": shift[b] + sum_b / k,
+                "m2_a": second[a, b] - sum_a * sum_a / k,
+                "m2_b": second[b, a] - sum_b * sum_b / k,
+                "c": cross[a, b] - sum_a * sum_b / k,
+            }
+        )
+
+    return wide.mapInPandas(
+        moments,
+        "a int, b int, k double, mean_a double, mean_b double, m2_a double, m2_b double, c double",
+    )
+
+
 def correlation_matrix(
     klines: DataFrame, symbols: Sequence[str], time: str = "open_time", value: str = "close"
 ) -> DataFrame:
     """Pearson correlation of every ordered pair of the given symbols, over the times both have.
 
-    Aligning by time is one shuffle of one row per symbol and time; the pairs are then columns
-    of one global aggregation, merged from one row of moments per task. A join of the symbols
-    by time would instead emit every pair at every time. A pair is null where the two have no
-    time in common; a symbol paired with itself is 1.
+    Aligning by time is one shuffle of one row per symbol and time; every task then reduces its
+    rows to one row of moments per pair. A join of the symbols by time would instead emit every
+    pair at every time. A pair is null with fewer than two common times or a constant series.
     """
     names = list(dict.fromkeys(symbols))
-    wide = aligned_closes(klines, names, time, value)
-    pairs = [(a, b) for a in range(len(names)) for b in range(a, len(names))]
-    passes = [pairs[i : i + PAIRS_PER_PASS] for i in range(0, len(pairs), PAIRS_PER_PASS)]
-    halves = []
-    for chunk in passes:
-        row = wide.agg(
-            *[F.corr(f"s{a}", f"s{b}").alias(f"c{a}_{b}") for a, b in chunk]
+    wide = aligned_closes(klines, names, time, value).drop(time)
+    k, ma, mb = F.col("k"), F.col("mean_a"), F.col("mean_b")
+    merged = (
+        pair_moments(wide, len(names))
+        .groupBy("a", "b")
+        .agg(
+            F.sum(k).alias("k"),
+            F.sum(k * ma).alias("sa"),
+            F.sum(k * mb).alias("sb"),
+            (F.sum("m2_a") + F.sum(k * ma * ma)).alias("qa"),
+            (F.sum("m2_b") + F.sum(k * mb * mb)).alias("qb"),
+            (F.sum("c") + F.sum(k * ma * mb)).alias("q"),
+        )
+    )
+    total, sa, sb = F.col("k"), F.col("sa"), F.col("sb")
+    spread_a = F.col("qa") - sa * sa / total
+    spread_b = F.col("qb") - sb * sb / total
+    together = F.col("q") - sa * sb / total
+    corr = F.when(
+        (total > 1) & (spread_a > 0) & (spread_b > 0),
+        together / F.sqrt(spread_a) / F.sqrt(spread_b),
+    )
+    half = merged.select("a", "b", corr.alias("correlation"))
+    mirrored = half.filter("a < b").select(
+        F.col("b").alias("a"), F.col("a").alias("b"), "correlation"
+    )
+    known = half.unionByName(mirrored)
+    # All cells of the matrix, also those of symbols that never met.
+    listed = F.array(*[F.lit(name) for name in names])
+    cells = (
+        klines.sparkSession.range(len(names) ** 2)
+        .select(
+            (F.expr(f"id div {len(names)}")).cast("int").alias("a"),
+            (F.col("id") % len(names)).cast("int").alias("b"),
         )
-        cells = []
-        for a, b in chunk:
-            for x, y in {(a, b), (b, a)}:
-                cells.append(
-                    F.struct(
-                        F.lit(names[x]).alias("symbol_a"),
-                        F.lit(names[y]).alias("symbol_b"),
-                        F.col(f"c{a}_{b}").alias("correlation"),
-                    )
-                )
-        halves.append(row.select(F.inline(F.array(*cells))))
-    return reduce(DataFrame.unionByName, halves)
+    )
+    return cells.join(known, ["a", "b"], "left").select(
+        F.get(listed, F.col("a")).alias("symbol_a"),
+        F.get(listed, F.col("b")).alias("symbol_b"),
+        "correlation",
+    )
 
 
 def word_counts(

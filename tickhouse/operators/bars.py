@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.functions import temporal
-from tickhouse.operators.dedup import distinct_rows
+from tickhouse.operators.dedup import distinct_rows, latest_per_key
 
 BAR = ("symbol", "date", "open_price", "high_price", "low_price", "close_price", "total_volume")
 
@@ -36,7 +36,8 @@ def daily_ohlcv_incremental(klines: DataFrame, existing: DataFrame) -> DataFrame
     last = existing.agg(
         F.coalesce(F.max("date"), F.lit("1970-01-01").cast("date")).alias("last")
     ).scalar()
-    fresh = daily_ohlcv(klines.filter(F.col("open_time") >= last)).select(*BAR)
+    recent = temporal.since_year(klines, last).filter(F.col("open_time") >= last)
+    fresh = daily_ohlcv(recent).select(*BAR)
     kept = existing.join(fresh.select("symbol", "date"), ["symbol", "date"], "left_anti")
     return kept.select(*BAR).unionByName(fresh)
 
@@ -48,7 +49,7 @@ def intraday_ohlcv(ticks: DataFrame, as_of: Column) -> DataFrame:
     """
     start = as_of.cast("date")
     when = F.col("event_time")
-    today = ticks.filter((when >= start) & (when < F.date_add(start, 1)))
+    today = temporal.on_day(ticks, start).filter((when >= start) & (when < F.date_add(start, 1)))
     bar = today.groupBy("symbol").agg(
         F.min_by("price", when).alias("open_price"),
         F.max("price").alias("high_price"),
@@ -74,3 +75,13 @@ def latest_prices(ticks: DataFrame) -> DataFrame:
         F.max_by("volume", when).alias("latest_volume_24h"),
         F.max(when).alias("last_updated"),
     )
+
+
+def merge_latest(existing: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The newest price per symbol of two ``latest_prices`` tables.
+
+    Keeps the table current from new ticks alone; ticks that arrive late never win.
+    """
+    names = ("symbol", "latest_price", "latest_volume_24h", "last_updated")
+    both = existing.select(*names).unionByName(fresh.select(*names))
+    return latest_per_key(both, ["symbol"], "last_updated")

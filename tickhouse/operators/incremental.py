@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickhouse.functions import temporal
+
 
 def new_rows(
     source: DataFrame,
@@ -18,8 +20,13 @@ def new_rows(
     its own mark, so a key that is filled in late is not lost behind the others.
     """
     if per_key is None:
-        mark = target.agg(F.max(time_col).alias("mark")).scalar()
-        return source.filter(mark.isNull() | (F.col(time_col) > mark))
+        kind = target.schema[time_col].dataType
+        # The first day of all stands in for the mark of an empty target: a plain comparison is a bound
+        # that the scan can use, "no mark or newer" is not.
+        mark = target.agg(
+            F.coalesce(F.max(time_col), F.lit("0001-01-01 00:00:00").cast(kind)).alias("mark")
+        ).scalar()
+        return temporal.since_year(source, mark).filter(F.col(time_col) > mark)
     marks = target.groupBy(per_key).agg(F.max(time_col).alias("_mark"))
     return (
         source.join(marks, per_key, "left")

@@ -137,7 +137,8 @@ def silver_social(bronze: DataFrame, dedup_keys_: tuple[str, ...] = ()) -> DataF
 
 
 def stg_prices(prices: DataFrame) -> DataFrame:
-    extra = [c for c in ("source", "processed_at") if c in prices.columns]
+    wanted = ("source", "processed_at", "year", "month", "day")
+    extra = [c for c in wanted if c in prices.columns]
     return prices.filter(F.col("price") > 0).select(
         "symbol", "price", F.col("volume_24h").alias("volume"), "event_time", *extra
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickhouse import schemas
+from tickhouse.functions import temporal
 from tickhouse.operators import bars, dashboard, dedup, mood, quality, silver
 from tickhouse.operators.incremental import new_rows
 from tickhouse.operators.scoring import enrich_news, lexicon_sentiment
@@ -25,6 +26,7 @@ class Lake:
     spark: SparkSession
     root: str
     tick_parts: tuple[str, ...] = ("year", "month", "day", "hour")
+    candle_parts: tuple[str, ...] = ("symbol", "year", "month")
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
@@ -32,14 +34,20 @@ class Lake:
     def checkpoint(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/checkpoints/{name}"
 
-    def table(self, layer: str, name: str, partition_by=None, order_by=()) -> LakeTable:
+    def table(
+        self, layer: str, name: str, partition_by=None, order_by=(), schema=None
+    ) -> LakeTable:
         spec = schemas.CATALOG[f"{layer}.{name}"]
         parts = spec.partition_by if partition_by is None else partition_by
-        # Only these hold partition columns whose type could be guessed wrong.
-        schema = spec.ddl if parts == ("symbol",) else None
-        return LakeTable(
-            self.spark, self.path(layer, name), spec.keys, parts, order_by, schema
+        return LakeTable(self.spark, self.path(layer, name), spec.keys, parts, order_by, schema)
+
+    def bronze_candles(self) -> LakeTable:
+        # Declared, because a symbol made of digits would be read back as a number.
+        schema = schemas.HISTORICAL + "".join(
+            f", {part} int" for part in self.candle_parts if part != "symbol"
         )
+        newest = [F.desc("ingested_at")]
+        return self.table("bronze", "historical", self.candle_parts, newest, schema)
 
     def silver_prices(self) -> LakeTable:
         newest = [F.desc_nulls_last(c) for c in ("ingested_at", "kafka_timestamp", "offset")]
@@ -53,8 +61,12 @@ def load_candles(
 
     Returns the gold tables of the chain. A dump that is loaded again changes nothing.
     """
-    bronze = lake.table("bronze", "historical", order_by=[F.desc("ingested_at")])
-    bronze.upsert(read_kline_files(lake.spark, dump, symbol_pattern))
+    bronze = lake.bronze_candles()
+    dumped = read_kline_files(lake.spark, dump, symbol_pattern)
+    calendar = tuple(part for part in lake.candle_parts if part != "symbol")
+    # A dump repeats its symbol's whole history; only what is new or corrected is written.
+    values = [name for name in dumped.columns if name not in ("symbol", "open_time", "ingested_at")]
+    bronze.upsert(temporal.with_parts(dumped, "open_time", calendar), compare=values)
 
     stored = lake.table("silver", "historical")
     rows = bronze.read()
@@ -98,16 +110,15 @@ def load_prices(
         starting="earliest", trigger=trigger,
     ).awaitTermination()
     table = lake.silver_prices()
+    newest = lake.table("gold", "gold_latest_prices")
     streams.silver_stream(
         read_lake_stream(lake.spark, bronze_path, schemas.ENVELOPE),
-        table, lake.checkpoint("silver_prices"), trigger, parts=lake.tick_parts,
+        table, lake.checkpoint("silver_prices"), trigger, parts=lake.tick_parts, latest=newest,
     ).awaitTermination()
 
     ticks = silver.stg_prices(table.read())
     if daily is None:
         daily = lake.spark.createDataFrame([], schemas.DAILY_BAR)
-    newest = lake.table("gold", "gold_latest_prices")
-    newest.overwrite(bars.latest_prices(ticks))
     summary = lake.table("gold", "daily_market_summary")
     summary.overwrite(bars.market_summary(daily, ticks, as_of))
     return {"gold_latest_prices": newest.read(), "daily_market_summary": summary.read()}

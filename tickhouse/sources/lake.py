@@ -135,18 +135,33 @@ class LakeTable:
     def overwrite(self, df: DataFrame) -> None:
         write_partitioned(df, self.path, "overwrite", self.partition_by)
 
+    def overwrite_with(self, df: DataFrame) -> None:
+        """Replace an unpartitioned table by a frame that may read the table itself."""
+        if self.partition_by:
+            raise ValueError("only for tables without partitions")
+        self._swap(df)
+
     def append(self, df: DataFrame) -> None:
         write_partitioned(df, self.path, "append", self.partition_by)
 
-    def upsert(self, updates: DataFrame) -> None:
+    def upsert(self, updates: DataFrame, compare: Sequence[str] = ()) -> None:
         """Replace the rows whose key is in ``updates`` and insert the others.
 
-        Of several updates of one key the one that ``order_by`` puts first wins.
+        Of several updates of one key the one that ``order_by`` puts first wins. With
+        ``compare``, rows that are stored with the same key and the same values of these
+        columns are left out first, so that a source that repeats its whole history rewrites
+        only the partitions in which something changed.
         """
         latest = dedup_keys(updates, self.keys, self.order_by)
         if not self.exists():
             self.overwrite(latest)
             return
+        if compare:
+            same = [*self.keys, *compare]
+            stored, given = self.read().select(*same).alias("s"), latest.alias("u")
+            equal = [F.col(f"s.{name}") == F.col(f"u.{name}") for name in self.keys]
+            equal += [F.col(f"s.{name}").eqNullSafe(F.col(f"u.{name}")) for name in compare]
+            latest = given.join(stored, equal, "left_anti")
         # Read three times below; if an executor is lost, Spark recomputes its share.
         latest = latest.persist(StorageLevel.MEMORY_AND_DISK)
         try:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickhouse.operators.accounts import evaluate_alerts
-from tickhouse.operators.silver import silver_ticks
+from tickhouse.operators.bars import latest_prices, merge_latest
+from tickhouse.operators.silver import silver_ticks, stg_prices
 from tickhouse.sources.lake import LakeTable, append_stream
 from tickhouse.sources.messages import bronze_envelope, read_message_stream
 from tickhouse.sources.serving import jdbc_stream_append
@@ -45,16 +46,26 @@ def silver_stream(
     name: str | None = None,
     truncate_to: str | None = None,
     parts: tuple[str, ...] = ("year", "month", "day", "hour"),
+    latest: LakeTable | None = None,
 ) -> StreamingQuery:
     """Keep a silver table up to date from bronze rows.
 
     The upsert both dedups a batch and replaces rows of earlier ones, so no streaming state is
     needed, a late tick still finds its partition, and a replayed batch changes nothing.
+    ``latest`` is a table of the newest price per symbol to keep current with every batch, so
+    that nobody has to read the whole history for it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            table.upsert(silver_ticks(batch, truncate_to, parts=parts))
+        if batch.isEmpty():
+            return
+        ticks = silver_ticks(batch, truncate_to, parts=parts)
+        table.upsert(ticks)
+        if latest is not None:
+            fresh = latest_prices(stg_prices(ticks))
+            latest.overwrite_with(
+                merge_latest(latest.read(), fresh) if latest.exists() else fresh
+            )
 
     return _foreach(bronze, write, checkpoint, trigger, name)
 
