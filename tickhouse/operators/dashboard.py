@@ -34,12 +34,11 @@ def dashboard_stats(
     """Newest price and newest sentiment per symbol, whichever of them exists.
 
     Prices are named by pair (BTCUSDT) and news by coin (BTC); ``normalize`` strips the quote
-    currency on both sides so that they meet. Both sides hold one row per symbol.
+    currency of the prices so that they meet. Both sides hold one row per symbol.
     """
     prices, moods = latest_prices, market_sentiment
     if normalize:
         prices = prices.withColumn("symbol", normalize_symbol(F.col("symbol")))
-        moods = moods.withColumn("symbol", normalize_symbol(F.col("symbol")))
     prices = distinct_on(prices, ["symbol"], [F.col("last_updated").desc_nulls_last()])
     moods = distinct_on(moods, ["symbol"], [F.col("sentiment_date").desc_nulls_last()])
     joined = (
@@ -250,13 +249,13 @@ def market_report(summary: DataFrame, registry: DataFrame, n: int = 5) -> DataFr
     coin = F.struct("symbol", "name", "change_pct")
 
     def listed(movers: DataFrame) -> Column:
-        # collect_list keeps no order of its own: sort by the ranking it was chosen by.
-        rows = movers.agg(
-            F.array_sort(
-                F.collect_list(F.struct((-F.col("change_pct")).alias("k"), "symbol", coin.alias("c")))
-            ).alias("rows")
+        # collect_list keeps no order of its own: sort by the ranking the rows were chosen by.
+        ranked = F.collect_list(
+            F.struct((-F.col("change_pct")).alias("rank"), "symbol", coin.alias("coin"))
+        )
+        return movers.agg(
+            F.transform(F.array_sort(ranked), lambda row: row["coin"]).alias("coins")
         ).scalar()
-        return F.transform(rows, lambda row: row["c"])
 
     return market_overview(summary, registry).withColumns(
         {

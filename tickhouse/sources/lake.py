@@ -165,6 +165,8 @@ class LakeTable:
         # Read three times below; if an executor is lost, Spark recomputes its share.
         latest = latest.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if latest.isEmpty():
+                return
             stored = self._touched(self.read(), latest)
             kept = stored.join(latest.select(*self.keys), self.keys, "left_anti")
             self._swap(kept.unionByName(latest, allowMissingColumns=True))
