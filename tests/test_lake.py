@@ -60,6 +60,18 @@ def test_only_touched_partitions_are_rewritten(spark, folder):
     assert t.read().count() == 50
 
 
+def test_new_keys_are_appended(spark, folder):
+    t = table(spark, folder("t"))
+    t.upsert(make(spark, [("A", i, float(i), 1) for i in range(50)]))
+    before = stamps(t.path)
+    t.upsert(make(spark, [("B", 3, 1.0, 1), ("B", 70, 1.0, 1)]))
+    assert before.items() <= stamps(t.path).items()  # no file was rewritten
+    t.upsert(make(spark, [("B", 3, 2.0, 2), ("C", 3, 2.0, 2), ("C", 44, 2.0, 2)]))
+    kept = [p for p in before if p in stamps(t.path)]
+    assert {p.split("day=")[1][0] for p in kept} == {"1", "2", "3", "4"}
+    assert t.read().count() == 54 and t.read().filter("seen = 2").count() == 3
+
+
 def test_repeated_history_rewrites_only_what_changed(spark, folder):
     t = table(spark, folder("t"))
     history = [("A", i, float(i), 1) for i in range(50)]
@@ -178,6 +190,7 @@ def test_csv_export(spark, folder):
 
 def test_json_export(spark, folder):
     df = spark.createDataFrame([("a", None, (1, 2))], "n string, v double, s struct<x:int,y:int>")
+    df = df.coalesce(1)
     files.export_json(df, folder("j"), {"s": "S", "v": "V"})
     with open(next(p for p in stamps(folder("j")))) as f:
         assert json.loads(f.read()) == {"S": {"x": 1, "y": 2}, "V": None}

@@ -122,5 +122,40 @@ def test_upsert_reads_only_the_touched_partitions(spark, tables, tmp_path):
     table = lake.LakeTable(spark, path, ["symbol", "event_time"], ["day"])
     table.overwrite(rows)
     few = rows.filter("day in (3, 4)")
-    text = plan(table._touched(table.read(), few))
+    text = plan(lake.Partitions(few, ["day"]).inside(table.read()))
     assert re.search(r"PartitionFilters: \[.*day#\d+ IN \([34],[34]\)", text)
+
+
+def test_per_key_values_are_joined_without_moving_the_rows(candles):
+    df = series.relative_performance(candles, "symbol", "open_time", "close")
+    assert "BroadcastHashJoin" in plan(df) and shuffles(df) == 0
+
+
+def test_large_per_key_values_are_shuffled_not_broadcast(spark, candles):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64")
+        df = series.relative_performance(candles, "symbol", "open_time", "close")
+        assert "SortMergeJoin" in plan(df)
+        assert df.count() == candles.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_each_message_is_parsed_once(spark, tables, tmp_path):
+    path = str(tmp_path / "bronze")
+    tables.bronze().write.parquet(path)
+    bronze = spark.read.parquet(path)
+    text = plan(silver.passing(silver.parse_ticks(bronze), silver.tick_rules()))
+    assert text.count("from_json") == 1
+
+
+def test_a_filter_on_scores_does_not_run_the_model_twice(spark, tables):
+    from tickhouse.operators import scoring
+
+    def factory():
+        return lambda texts: [(0.5, "positive") for _ in texts]
+
+    scored = scoring.score_sentiment(tables.news(), "title", factory)
+    text = plan(silver.stg_news_sentiment(scored.withColumn("symbol", F.lit("A"))))
+    assert text.count("ArrowEvalPython") == 1

@@ -74,7 +74,8 @@ def score_sentiment(
             yield out.astype({"score": "float64", "label": object, "error": object})
 
     text = F.col(text_col) if max_chars is None else F.substring(F.col(text_col), 1, max_chars)
-    rated = df.withColumn("_s", scored(text))
+    # Called "nondeterministic" so that no later filter makes Spark run the model twice.
+    rated = df.withColumn("_s", scored.asNondeterministic()(text))
     score, label = F.col("_s.score"), F.col("_s.label")
     return rated.withColumns(
         {

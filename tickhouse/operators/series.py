@@ -14,12 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tickhouse.session import settle
+
 BLOCK = 100_000
 
 
 def join_per_key(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """Add aggregates of each key's rows to the rows; null is a key like any other."""
-    totals = df.groupBy(*keys).agg(*aggs)
+    """Add aggregates of each key's rows to the rows; null is a key like any other.
+
+    The aggregates are computed when this is called, so that their true size decides how they
+    are joined.
+    """
+    totals = settle(df.groupBy(*keys).agg(*aggs), "per-key")
     names = [c for c in totals.columns if c not in keys]
     left, right = df.alias("l"), totals.alias("r")
     same = [F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}")) for key in keys]

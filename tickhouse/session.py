@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the library wants; none of them fixes a parallelism, so a
 # cluster keeps its own spark.sql.shuffle.partitions and lets AQE coalesce.
@@ -47,3 +47,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="tickhouse-")
     return f"{base.rstrip('/')}/tickhouse/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Compute a frame now and keep it as a table in the shared folder.
+
+    Made for per-key aggregates that are joined back to the rows they came from. Before they are
+    computed Spark can only guess that they are as large as their input, and would shuffle that
+    input to join it. Of a written table it knows the size: within the session's broadcast
+    threshold the rows stay where they are, beyond it both sides are shuffled.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,14 +72,56 @@ def write_partitioned(
     writer.save(path)
 
 
+class Partitions:
+    """The distinct partition values of some rows.
+
+    Few of them are named as literals, which prune the file listing itself; past that number
+    they stay a frame to join with.
+    """
+
+    def __init__(self, rows: DataFrame, names: Sequence[str]):
+        self.names = list(names)
+        self.frame = rows.select(*self.names).distinct()
+        self.named = self.frame.limit(MAX_NAMED_PARTITIONS + 1).collect()
+
+    def __bool__(self) -> bool:
+        return bool(self.named)
+
+    def inside(self, df: DataFrame) -> DataFrame:
+        if len(self.named) > MAX_NAMED_PARTITIONS:
+            return df.join(self.frame, self.names, "left_semi")
+        return df.filter(self._any())
+
+    def outside(self, df: DataFrame) -> DataFrame:
+        if len(self.named) > MAX_NAMED_PARTITIONS:
+            return df.join(self.frame, self.names, "left_anti")
+        return df.filter(~self._any())
+
+    def _any(self) -> Column:
+        if not self.named:
+            return F.lit(False)
+        if len(self.names) == 1:
+            # The key determines the partition, so its columns are never null.
+            return F.col(self.names[0]).isin([row[0] for row in self.named])
+        tests = [
+            reduce(and_, [F.col(n).eqNullSafe(F.lit(v)) for n, v in zip(self.names, row)])
+            for row in self.named
+        ]
+        while len(tests) > 1:  # a balanced tree keeps the expression shallow
+            tests = [reduce(or_, tests[i : i + 2]) for i in range(0, len(tests), 2)]
+        return tests[0]
+
+
 class LakeTable:
     """A Parquet table with a unique key, and partition columns that the key determines.
 
-    ``upsert`` rewrites only the partitions its rows fall into. The new content of those
-    partitions is first written completely beside the table and only then swapped in, and a
-    swap that a crash interrupted is finished by the next use of the table, so rows that were
-    already there survive a lost driver. A table format with its own MERGE can replace this
-    class without touching any operator.
+    ``upsert`` appends rows with new keys and rewrites only the partitions in which a key is
+    already stored. The new content of those partitions is first written completely beside the
+    table and only then swapped in, and a swap that a crash interrupted is finished by the next
+    use of the table, so rows that were already there survive a lost driver. Doing an upsert
+    again changes nothing, so a batch that failed half-way can simply be repeated. There is one
+    writer at a time. A table format with its own MERGE can replace this class without touching
+    any operator.
     """
 
     def __init__(
@@ -100,26 +143,6 @@ class LakeTable:
         self._staging = f"{self.path}__staging"
         self._retired = f"{self.path}__retired"
 
-    # -- file system -----------------------------------------------------------------
-
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), target
-
-    def _has(self, path: str) -> bool:
-        fs, target = self._fs(path)
-        return fs.exists(target)
-
-    def _drop(self, path: str) -> None:
-        fs, target = self._fs(path)
-        fs.delete(target, True)
-
-    def _rename(self, source: str, target: str) -> None:
-        fs, src = self._fs(source)
-        if not fs.rename(src, self._fs(target)[1]):
-            raise OSError(f"cannot rename {source} to {target}")
-
     # -- reading ---------------------------------------------------------------------
 
     def exists(self) -> bool:
@@ -133,13 +156,11 @@ class LakeTable:
     # -- writing ---------------------------------------------------------------------
 
     def overwrite(self, df: DataFrame) -> None:
-        write_partitioned(df, self.path, "overwrite", self.partition_by)
-
-    def overwrite_with(self, df: DataFrame) -> None:
-        """Replace an unpartitioned table by a frame that may read the table itself."""
-        if self.partition_by:
-            raise ValueError("only for tables without partitions")
-        self._swap(df)
+        """Replace everything; without partitions, ``df`` may read the table itself."""
+        if not self.partition_by and self.exists():
+            self._swap(df)
+        else:
+            write_partitioned(df, self.path, "overwrite", self.partition_by)
 
     def append(self, df: DataFrame) -> None:
         write_partitioned(df, self.path, "append", self.partition_by)
@@ -157,19 +178,14 @@ class LakeTable:
             self.overwrite(latest)
             return
         if compare:
-            same = [*self.keys, *compare]
-            stored, given = self.read().select(*same).alias("s"), latest.alias("u")
-            equal = [F.col(f"s.{name}") == F.col(f"u.{name}") for name in self.keys]
-            equal += [F.col(f"s.{name}").eqNullSafe(F.col(f"u.{name}")) for name in compare]
-            latest = given.join(stored, equal, "left_anti")
-        # Read three times below; if an executor is lost, Spark recomputes its share.
+            latest = self._changed(latest, compare)
+        # Read several times below; if an executor is lost, Spark recomputes its share.
         latest = latest.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if latest.isEmpty():
-                return
-            stored = self._touched(self.read(), latest)
-            kept = stored.join(latest.select(*self.keys), self.keys, "left_anti")
-            self._swap(kept.unionByName(latest, allowMissingColumns=True))
+            if self.partition_by:
+                self._upsert_partitions(latest)
+            else:
+                self._upsert_all(latest)
         finally:
             latest.unpersist()
 
@@ -180,6 +196,9 @@ class LakeTable:
         Partitions that are packed well are left alone.
         """
         table = self.read()
+        if not self.partition_by:
+            self._swap(table)
+            return
         files = table.select(
             *self.partition_by,
             F.col("_metadata.file_path").alias("_file"),
@@ -189,27 +208,45 @@ class LakeTable:
             files.groupBy(*self.partition_by)
             .agg(F.count("*").alias("_files"), F.sum("_bytes").alias("_bytes"))
             .filter(F.col("_files") > 2 * F.ceil(F.col("_bytes") / target_bytes))
-            .select(*self.partition_by)
-            if self.partition_by
-            else files.limit(0)
         )
-        if not self.partition_by:
-            self._swap(table)
-        elif not loose.isEmpty():
-            self._swap(self._touched(table, loose))
+        partitions = Partitions(loose, self.partition_by)
+        if partitions:
+            self._swap(partitions.inside(table))
 
     # -- internals -------------------------------------------------------------------
 
-    def _touched(self, stored: DataFrame, updates: DataFrame) -> DataFrame:
-        """The stored rows in the partitions that ``updates`` falls into."""
-        if not self.partition_by:
-            return stored
-        touched = updates.select(*self.partition_by).distinct()
-        named = touched.limit(MAX_NAMED_PARTITIONS + 1).collect()
-        if len(named) <= MAX_NAMED_PARTITIONS:
-            # Literals on partition columns prune the file listing itself.
-            return stored.filter(_any_of(named)) if named else stored.limit(0)
-        return stored.join(touched, self.partition_by, "left_semi")
+    def _changed(self, updates: DataFrame, compare: Sequence[str]) -> DataFrame:
+        stored = self.read().select(*self.keys, *compare).alias("s")
+        equal = [F.col(f"s.{name}") == F.col(f"u.{name}") for name in self.keys]
+        equal += [F.col(f"s.{name}").eqNullSafe(F.col(f"u.{name}")) for name in compare]
+        return updates.alias("u").join(stored, equal, "left_anti")
+
+    def _upsert_all(self, latest: DataFrame) -> None:
+        stored, keys = self.read(), latest.select(*self.keys)
+        if stored.join(keys, self.keys, "left_semi").isEmpty():
+            self.append(latest)
+        else:
+            kept = stored.join(keys, self.keys, "left_anti")
+            self._swap(kept.unionByName(latest, allowMissingColumns=True))
+
+    def _upsert_partitions(self, latest: DataFrame) -> None:
+        touched = Partitions(latest, self.partition_by)
+        if not touched:
+            return
+        keys = latest.select(*self.keys)
+        stored = touched.inside(self.read())
+        known = stored.join(keys, self.keys, "left_semi")
+        rewritten = Partitions(known, self.partition_by)
+        if not rewritten:
+            self.append(latest)
+            return
+        # The rows for other partitions go first, while every file that was read still exists;
+        # a repetition after a crash in between finds them stored and replaces them.
+        added = rewritten.outside(latest)
+        if not added.isEmpty():
+            self.append(added)
+        kept = rewritten.inside(stored).join(keys, self.keys, "left_anti")
+        self._swap(kept.unionByName(rewritten.inside(latest), allowMissingColumns=True))
 
     def _swap(self, content: DataFrame) -> None:
         self._drop(self._staging)
@@ -218,16 +255,15 @@ class LakeTable:
 
     def _finish_swap(self) -> None:
         """Move a completely staged rewrite into the table; safe to repeat after a crash."""
+        if not self._has(f"{self._staging}/_SUCCESS"):
+            return
         if not self.partition_by:
             # The old content is set aside, not deleted, until the new one is in place.
-            if self._has(f"{self._staging}/_SUCCESS"):
-                if self._has(self.path):
-                    self._drop(self._retired)
-                    self._rename(self.path, self._retired)
-                self._rename(self._staging, self.path)
+            if self._has(self.path):
                 self._drop(self._retired)
-            return
-        if not self._has(f"{self._staging}/_SUCCESS"):
+                self._rename(self.path, self._retired)
+            self._rename(self._staging, self.path)
+            self._drop(self._retired)
             return
         staged = read_lake(self.spark, self._staging, self.schema)
         (
@@ -241,29 +277,25 @@ class LakeTable:
         self._drop(f"{self._staging}/_SUCCESS")
         self._drop(self._staging)
 
+    # -- file system -----------------------------------------------------------------
 
-def _any_of(rows) -> Column:
-    """``(p1 = a and p2 = b) or ...`` for the given partition values."""
-    by_head: dict[object, list] = {}
-    for row in rows:
-        by_head.setdefault(row[0], []).append(row)
-    names = rows[0].__fields__
-    if len(names) == 1:
-        values = [row[0] for row in rows if row[0] is not None]
-        test = F.col(names[0]).isin(values)
-        return test if len(values) == len(rows) else test | F.col(names[0]).isNull()
-    tests = [
-        reduce(
-            lambda a, b: a & b, [F.col(n).eqNullSafe(F.lit(v)) for n, v in zip(names, row)]
-        )
-        for row in rows
-    ]
-    while len(tests) > 1:  # a balanced tree keeps the expression shallow
-        tests = [
-            tests[i] | tests[i + 1] if i + 1 < len(tests) else tests[i]
-            for i in range(0, len(tests), 2)
-        ]
-    return tests[0]
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), target
+
+    def _has(self, path: str) -> bool:
+        fs, target = self._fs(path)
+        return fs.exists(target)
+
+    def _drop(self, path: str) -> None:
+        fs, target = self._fs(path)
+        fs.delete(target, True)
+
+    def _rename(self, source: str, target: str) -> None:
+        fs, src = self._fs(source)
+        if not fs.rename(src, self._fs(target)[1]):
+            raise OSError(f"cannot rename {source} to {target}")
 
 
 def compact(

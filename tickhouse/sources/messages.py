@@ -59,9 +59,13 @@ def bronze_envelope(raw: DataFrame) -> DataFrame:
 def parse_payload(
     df: DataFrame, schema: str, col: str = "raw_value", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """JSON text to the declared columns; ``keep`` names envelope columns to carry along."""
-    parsed = df.select(*keep, jsontext.decode(F.col(col), schema).alias("_payload"))
-    return parsed.select("_payload.*", *keep)
+    """JSON text to the declared columns; ``keep`` names envelope columns to carry along.
+
+    The fields come out of a generator, so that each text is parsed once: a filter on a field
+    would otherwise be pushed below the parser and parse the text again for every condition.
+    """
+    parsed = df.select(*keep, F.inline(F.array(jsontext.decode(F.col(col), schema))))
+    return parsed.select(*[c for c in parsed.columns if c not in keep], *keep)
 
 
 @dataclass(frozen=True)
@@ -147,9 +151,8 @@ def normalize_payload(
     """A source's raw JSON messages to its standard payload columns."""
     fields = field_map(source)
     arrived = F.current_timestamp() if arrived_at is None else arrived_at
-    messages = raw.select(
-        jsontext.decode(F.col(col), fields.raw_schema).alias("m"), arrived.alias("arrived_at")
-    )
+    parsed = jsontext.decode(F.col(col), fields.raw_schema)
+    messages = raw.select(F.explode(F.array(parsed)).alias("m"), arrived.alias("arrived_at"))
     return messages.select(*[expr.alias(name) for name, expr in fields.fields.items()])
 
 

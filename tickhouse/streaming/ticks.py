@@ -63,7 +63,7 @@ def silver_stream(
         table.upsert(ticks)
         if latest is not None:
             fresh = latest_prices(stg_prices(ticks))
-            latest.overwrite_with(
+            latest.overwrite(
                 merge_latest(latest.read(), fresh) if latest.exists() else fresh
             )
 

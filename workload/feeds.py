@@ -770,7 +770,10 @@ def _(t):
 
 
 def gold_tables(t: Tables):
-    return gold.build_gold(t.ticks(), t.klines(), t.news_sentiment(), t.as_of(), normalize=False)
+    return gold.build_gold(
+        t.ticks(), t.klines(), t.news_sentiment(), t.as_of(), normalize=False,
+        write_to=scratch_dir(t.spark, "gold"),
+    )
 
 
 @query(
@@ -785,10 +788,7 @@ def gold_tables(t: Tables):
     "daily latest_prices mood summary",
 )
 def _(t):
-    written = gold.build_gold(
-        t.ticks(), t.klines(), t.news_sentiment(), t.as_of(), normalize=False,
-        write_to=scratch_dir(t.spark, "gold"),
-    )
+    written = gold_tables(t)
     counts = [
         df.agg(
             F.lit(name).alias("model"), F.count("*").alias("rows"),
