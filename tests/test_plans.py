@@ -107,13 +107,13 @@ def test_alerts_join_one_row_per_symbol(tables, candles):
 
 
 def test_blocked_windows_never_sort_a_whole_symbol(candles):
-    text = plan(series.pct_changes(candles, "symbol", "open_time", ["close"], bucket="day"))
+    df = series.pct_changes(candles, "symbol", "open_time", ["close"], bucket="day")
+    text = plan(df)
     specs = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", text)
-    on_rows = [s for s in specs if "_bucket" in s or "_block" in s]
-    assert len(on_rows) >= 2
-    # The only window over a symbol alone runs on the bucket counts.
-    alone = [s for s in specs if "_bucket" not in s and "_block" not in s]
-    assert len(alone) == 1
+    assert specs and all("_bucket" in s or "_block" in s for s in specs)
+    assert "WindowGroupLimit" in text and "SortMergeJoin" not in text
+    # One shuffle of the rows, and one of the few that are copied.
+    assert shuffles(df) == 2
 
 
 def test_upsert_reads_only_the_touched_partitions(spark, tables, tmp_path):

@@ -27,7 +27,10 @@ def plain():
     return Window.partitionBy("symbol").orderBy("t")
 
 
-@pytest.mark.parametrize("block,bucket", [(8, "hour"), (100, "day"), (100_000, "minute")])
+@pytest.mark.parametrize(
+    "block,bucket",
+    [(6, "minute"), (6, "year"), (8, "hour"), (13, "day"), (100, "day"), (100_000, "minute")],
+)
 def test_blocks_give_the_plain_windows(prices, block, bucket):
     frame = plain().rowsBetween(-6, 0)
     want = prices.select(
@@ -38,7 +41,7 @@ def test_blocks_give_the_plain_windows(prices, block, bucket):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("block", [2, 7, 5000])
+@pytest.mark.parametrize("block", [1, 2, 7, 5000])
 def test_changes(prices, block):
     last = F.lag("v").over(plain())
     want = prices.select("symbol", "t", F.round((F.col("v") - last) / last * 100, 9))
@@ -52,13 +55,7 @@ def test_vectors(prices):
     got = series.sequence_windows(prices, "symbol", "t", "v", 60, block=64)
     assert rows(got) == rows(want) and got.count() > 900
     with pytest.raises(ValueError):
-        series.sequence_windows(prices, "symbol", "t", "v", 60, block=60)
-
-
-def test_row_index(prices):
-    want = prices.select("symbol", "t", F.row_number().over(plain()) - 1)
-    got = series.with_row_index(prices, "symbol", "t").select("symbol", "t", "_idx")
-    assert rows(got) == rows(want)
+        series.sequence_windows(prices, "symbol", "t", "v", 60, block=59)
 
 
 def test_scaling_and_performance(spark):

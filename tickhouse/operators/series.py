@@ -2,8 +2,7 @@
 
 A plain window over a key sorts all rows of that key in one task, and one symbol may hold a
 third of a table. So whole-key values are aggregated and joined back, and trailing windows run
-over blocks of a series: each row gets its exact position in its series, a block is a fixed
-range of positions, and the rows in front of a block are copied into it.
+over blocks of a series, into which the rows in front of the block are copied.
 """
 
 from __future__ import annotations
@@ -71,30 +70,46 @@ def min_max_scale(df: DataFrame, key: str, col: str, name: str = "scaled") -> Da
     return ranged.withColumn(name, scaled).drop("_lo", "_hi")
 
 
-def with_row_index(df: DataFrame, key: str, time: str, bucket: str = "hour") -> DataFrame:
-    """Add ``_idx``, each row's position (from 0) in its key's series.
+def block_table(
+    df: DataFrame, key: str, time: str, lookback: int, bucket: str, block: int
+) -> DataFrame:
+    """Which block each time bucket of each series belongs to, from the bucket sizes alone.
 
-    Rows are numbered within time buckets, whose sizes are counted first; the running total of
-    those counts, a table of one row per key and bucket, is where each bucket starts. Rows
-    without a key or time have no place in a series and are left out.
+    ``_start`` is the position of a bucket's first row in its series and ``_block`` the multiple
+    of ``block`` it falls into. ``_later`` lists the following blocks (number and start) that
+    begin within ``lookback`` rows of the bucket's end; as a block number never repeats within
+    ``block`` positions, there are at most two.
     """
-    placed = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull()).withColumn(
-        "_bucket", F.date_trunc(bucket, F.col(time))
+    counts = df.groupBy(key, F.date_trunc(bucket, time).alias("_bucket")).agg(
+        F.count("*").alias("_n")
     )
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    starts = (
-        placed.groupBy(key, "_bucket")
-        .agg(F.count("*").alias("_n"))
-        .select(key, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    start = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    buckets = counts.withColumn("_start", start).withColumn(
+        "_block", F.expr(f"_start div {block}")
+    )
+    in_order = Window.partitionBy(key).orderBy("_block")
+    following = [
+        F.struct(
+            F.lead("_block", step).over(in_order).alias("block"),
+            F.lead("_first", step).over(in_order).alias("first"),
+        )
+        for step in (1, 2)
+    ]
+    blocks = (
+        buckets.groupBy(key, "_block")
+        .agg(F.min("_start").alias("_first"))
+        .select(key, "_block", F.array(*following).alias("_following"))
     )
-    inside = Window.partitionBy(key, "_bucket").orderBy(time)
-    numbered = placed.withColumn("_row", F.row_number().over(inside) - 1)
-    return (
-        numbered.join(starts, [key, "_bucket"])
-        .withColumn("_idx", F.col("_start") + F.col("_row"))
-        .drop("_bucket", "_start", "_row")
+    end = F.col("_start") + F.col("_n")
+    return buckets.join(blocks, [key, "_block"]).select(
+        key,
+        "_bucket",
+        "_block",
+        end.alias("_end"),
+        F.filter("_following", lambda b: b["first"] - end < lookback).alias("_later"),
     )
 
 
@@ -109,23 +124,37 @@ def trailing(
 ) -> DataFrame:
     """Add columns computed over each row and the ``lookback`` rows before it in its series.
 
-    ``columns`` gets the window specification (partitioned and ordered, without a frame). Every
-    block of ``block`` positions carries copies of the last ``lookback`` rows before it, so the
-    result is the same as over the whole series.
+    ``columns`` gets the window specification (partitioned and ordered, without a frame). The
+    rows are shuffled once, by series and block; a block is a run of whole time buckets with
+    about ``block`` rows, and gets copies of the last ``lookback`` rows before it, so the result
+    is the same as over the whole series. Choose ``bucket`` so that one bucket of the busiest
+    series is a fair share of work. Rows without a key or time have no place in a series and
+    are left out.
     """
-    if lookback >= block:
-        raise ValueError("lookback must be smaller than a block")
-    own = F.expr(f"_idx div {block}")
-    copies = F.when(
-        F.col("_idx") % block >= block - lookback, F.array(own, own + 1)
-    ).otherwise(F.array(own))
-    blocks = with_row_index(df, key, time, bucket).withColumn("_block", F.explode(copies))
-    spec = Window.partitionBy(key, "_block").orderBy("_idx")
-    return (
-        blocks.withColumns(dict(columns(spec)))
-        .filter(F.col("_block") == own)
-        .drop("_block", "_idx")
+    if lookback > block:
+        raise ValueError("lookback must not be larger than a block")
+    placed = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
+    table = settle(block_table(placed, key, time, lookback, bucket, block), "blocks")
+    bucketed = placed.withColumn("_bucket", F.date_trunc(bucket, time))
+    rows = (
+        bucketed.join(table.select(key, "_bucket", "_block"), [key, "_bucket"])
+        .drop("_bucket")
+        .withColumn("_own", F.lit(True))
+    )
+    # Only buckets near the end of a block are looked at again, and of those the last rows.
+    edges = table.filter(F.size("_later") > 0).select(key, "_bucket", "_end", "_later")
+    latest = Window.partitionBy(key, "_bucket").orderBy(F.col(time).desc())
+    copies = (
+        bucketed.join(edges, [key, "_bucket"])
+        .withColumn("_back", F.row_number().over(latest))
+        .filter(F.col("_back") <= lookback)
+        .withColumn("_to", F.explode("_later"))
+        .filter(F.col("_to.first") - (F.col("_end") - F.col("_back")) <= lookback)
+        .withColumns({"_block": F.col("_to.block"), "_own": F.lit(False)})
     )
+    spec = Window.partitionBy(key, "_block").orderBy(time)
+    both = rows.unionByName(copies.select(rows.columns)) if lookback else rows
+    return both.withColumns(dict(columns(spec))).filter("_own").drop("_block", "_own")
 
 
 def sequence_windows(
