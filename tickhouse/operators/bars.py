@@ -42,6 +42,17 @@ def daily_ohlcv_incremental(klines: DataFrame, existing: DataFrame) -> DataFrame
     return kept.select(*BAR).unionByName(fresh)
 
 
+def daily_ohlcv_touched(klines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The bars of the given (symbol, date) pairs only.
+
+    What a load has to recompute when its rows may be older than the last bar, as those of a
+    symbol that is filled in late.
+    """
+    days = pairs.select("symbol", "date").distinct()
+    dated = klines.withColumn("date", temporal.day_of(F.col("open_time")))
+    return daily_ohlcv(dated.join(days, ["symbol", "date"], "left_semi").drop("date"))
+
+
 def intraday_ohlcv(ticks: DataFrame, as_of: Column) -> DataFrame:
     """The bar of day ``as_of`` from ticks.
 

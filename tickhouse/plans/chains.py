@@ -13,6 +13,7 @@ from tickhouse.functions import temporal
 from tickhouse.operators import bars, dashboard, dedup, mood, quality, silver
 from tickhouse.operators.incremental import new_rows
 from tickhouse.operators.scoring import enrich_news, lexicon_sentiment
+from tickhouse.session import settle
 from tickhouse.sources.files import SYMBOL_IN_PATH, read_kline_files
 from tickhouse.sources.lake import LakeTable, read_lake, read_lake_stream
 from tickhouse.sources.messages import parse_payload
@@ -76,6 +77,8 @@ def load_candles(
     clean = dedup.dedup_keys(
         silver.silver_klines(rows), ["symbol", "open_time"], [F.desc("ingested_at")]
     )
+    days = clean.select("symbol", temporal.day_of(F.col("open_time")).alias("date")).distinct()
+    touched = settle(days, "touched")  # before the load changes what is new
     if first_load:
         stored.overwrite(clean)
     else:
@@ -85,7 +88,7 @@ def load_candles(
     daily = lake.table("gold", "gold_daily_ohlcv")
     candles = silver.stg_historical(stored.read())
     if daily.exists():
-        daily.upsert(bars.daily_ohlcv_incremental(candles, daily.read()))
+        daily.upsert(bars.daily_ohlcv_touched(candles, touched))
     else:
         daily.overwrite(bars.daily_ohlcv(candles))
     return {"silver.historical": stored.read(), "gold_daily_ohlcv": daily.read()}

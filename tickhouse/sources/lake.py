@@ -222,6 +222,8 @@ class LakeTable:
         return updates.alias("u").join(stored, equal, "left_anti")
 
     def _upsert_all(self, latest: DataFrame) -> None:
+        if latest.isEmpty():
+            return
         stored, keys = self.read(), latest.select(*self.keys)
         if stored.join(keys, self.keys, "left_semi").isEmpty():
             self.append(latest)

@@ -164,7 +164,8 @@ def stream_alerts(
     size of the ticks plus the size of the alerts, never their product. ``extremes`` fires on
     any price in the batch; ``last`` on its newest price, as polling would. ``alerts`` is asked
     for the current alerts in every batch. What fired is one partition per batch, which a
-    replay overwrites with the same rows; alerts of other batches' partitions stay latched.
+    replay overwrites with the same rows; alerts of other batches' partitions stay latched. Batch
+    numbers belong to a checkpoint, so a folder of fired alerts has one checkpoint for life.
     """
     reduce_batch = {"extremes": batch_extremes, "last": batch_last}[look_at]
     spark = ticks.sparkSession

@@ -31,6 +31,8 @@ def query(name: str, sql: str | None = None, views: str = ""):
 
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # The tables hold plain timestamps, which the oracle reads as UTC.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return comparable(fn(Tables(spark, sf_dir)))
 
         if name in QUERIES:
