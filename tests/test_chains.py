@@ -40,7 +40,15 @@ def test_a_symbol_filled_in_late_gets_its_bars(spark, tmp_path):
         ("ETHUSDT", date(2026, 1, 2)): 120.0, ("SOLUSDT", date(2026, 1, 1)): 50.0,
     }
     before = rows(out["gold_daily_ohlcv"])
-    assert rows(chains.load_candles(store, str(source))["gold_daily_ohlcv"]) == before
+    published = {}
+    again = chains.load_candles(
+        store, str(source), as_of=F.lit("2026-01-03").cast("date"),
+        publish=lambda name, df: published.update({name: df.count()}),
+    )
+    assert rows(again["gold_daily_ohlcv"]) == before
+    assert published == {"silver.historical": 113}
+    assert again["daily_market_summary"].count() == 5  # the last day waits for its ticks
+    assert again["report"].filter("not passed").count() == 0
 
 
 def test_news_to_dashboard(spark, tmp_path):

@@ -20,6 +20,15 @@ from tickhouse.sources.messages import parse_payload
 from tickhouse.streaming import ticks as streams
 
 
+# What a chain does with each finished table besides keeping it, such as a JDBC append:
+# ``lambda name, df: jdbc_incremental_append(df, url, name, "open_time", props)``.
+Publish = Callable[[str, DataFrame], object]
+
+
+def keep_only(name: str, df: DataFrame) -> None:
+    """Publish nowhere."""
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the chains keep their tables."""
@@ -56,11 +65,17 @@ class Lake:
 
 
 def load_candles(
-    lake: Lake, dump: str, symbol_pattern: str = SYMBOL_IN_PATH, per_symbol: bool = True
+    lake: Lake,
+    dump: str,
+    symbol_pattern: str = SYMBOL_IN_PATH,
+    per_symbol: bool = True,
+    as_of: Column | None = None,
+    publish: Publish = keep_only,
 ) -> dict[str, DataFrame]:
-    """Candle dumps to bronze (upsert), new clean rows to silver, then bars and the summary.
+    """Candle dumps to bronze (upsert), new clean rows to silver, then the daily bars.
 
-    Returns the gold tables of the chain. A dump that is loaded again changes nothing.
+    With ``as_of`` also the market summary of that day, with today's bar from the lake's ticks,
+    and the quality report over both. A dump that is loaded again changes nothing.
     """
     bronze = lake.bronze_candles()
     dumped = read_kline_files(lake.spark, dump, symbol_pattern)
@@ -91,7 +106,22 @@ def load_candles(
         daily.upsert(bars.daily_ohlcv_touched(candles, touched))
     else:
         daily.overwrite(bars.daily_ohlcv(candles))
-    return {"silver.historical": stored.read(), "gold_daily_ohlcv": daily.read()}
+    publish("silver.historical", stored.read())
+    out = {"silver.historical": stored.read(), "gold_daily_ohlcv": daily.read()}
+    if as_of is not None:
+        prices = lake.silver_prices()
+        ticks = prices.read() if prices.exists() else _empty(lake, schemas.PRICES)
+        summary = lake.table("gold", "daily_market_summary")
+        summary.overwrite(bars.market_summary(daily.read(), silver.stg_prices(ticks), as_of))
+        out["daily_market_summary"] = summary.read()
+        out["report"] = check_gold(
+            {name: out[name] for name in ("gold_daily_ohlcv", "daily_market_summary")}
+        )
+    return out
+
+
+def _empty(lake: Lake, schema: str) -> DataFrame:
+    return lake.spark.createDataFrame([], schema)
 
 
 def load_prices(
@@ -100,11 +130,11 @@ def load_prices(
     as_of: Column,
     topic: str = "crypto.prices",
     trigger: streams.Trigger = streams.CATCH_UP,
-    daily: DataFrame | None = None,
+    publish: Publish = keep_only,
 ) -> dict[str, DataFrame]:
     """Messages to bronze, bronze to silver, then newest prices and the market summary.
 
-    Both streams run until they have caught up; with another trigger they are started by
+    The summary's history are the lake's daily bars, as far as candles were loaded. Both streams run until they have caught up; with another trigger they are started by
     ``bronze_stream`` and ``silver_stream`` directly and the gold part runs on its own.
     """
     bronze_path = lake.path("bronze", "prices")
@@ -119,9 +149,10 @@ def load_prices(
         table, lake.checkpoint("silver_prices"), trigger, parts=lake.tick_parts, latest=newest,
     ).awaitTermination()
 
+    publish("silver.prices", table.read())
     ticks = silver.stg_prices(table.read())
-    if daily is None:
-        daily = lake.spark.createDataFrame([], schemas.DAILY_BAR)
+    bars_table = lake.table("gold", "gold_daily_ohlcv")
+    daily = bars_table.read() if bars_table.exists() else _empty(lake, schemas.DAILY_BAR)
     summary = lake.table("gold", "daily_market_summary")
     summary.overwrite(bars.market_summary(daily, ticks, as_of))
     return {"gold_latest_prices": newest.read(), "daily_market_summary": summary.read()}
@@ -132,6 +163,7 @@ def load_news(
     messages: DataFrame,
     scorer: Callable[[DataFrame], DataFrame] | None = None,
     latest_prices: DataFrame | None = None,
+    publish: Publish = keep_only,
 ) -> dict[str, DataFrame]:
     """News messages to silver, scored and tagged, then daily mood and dashboard rows."""
     parsed = parse_payload(messages, schemas.NEWS_PAYLOAD, keep=("ingested_at",))
@@ -141,6 +173,8 @@ def load_news(
     scored = lake.table("silver", "news_sentiment")
     # Written before it is used twice, so that no text is scored twice.
     scored.overwrite(enrich_news(news.read(), rate))
+    publish("silver.news", news.read())
+    publish("silver.news_sentiment", scored.read())
     market = lake.table("gold", "market_sentiment")
     market.overwrite(mood.market_sentiment(silver.stg_news_sentiment(scored.read())))
     out = {"news_sentiment": scored.read(), "market_sentiment": market.read()}
@@ -153,11 +187,12 @@ def load_news(
     return out
 
 
-def load_social(lake: Lake, messages: DataFrame) -> DataFrame:
+def load_social(lake: Lake, messages: DataFrame, publish: Publish = keep_only) -> DataFrame:
     """Post messages to silver, one row per post however often the feed re-sent it."""
     parsed = parse_payload(messages, schemas.SOCIAL_PAYLOAD, keep=("ingested_at",))
     table = lake.table("silver", "social")
     table.overwrite(silver.silver_social(parsed, ("post_id",)))
+    publish("silver.social", table.read())
     return table.read()
 
 
