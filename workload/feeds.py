@@ -835,7 +835,59 @@ def _(t):
     )
 
 
-@query("q7_full_report")
+STATS = (
+    "(select coalesce(p.symbol, m.symbol) as symbol, latest_price, last_updated, "
+    "count(case when latest_price > 1 then 1 end) over () as active_coins from latest_prices p "
+    "full outer join (select distinct symbol from mood) m on p.symbol = m.symbol)"
+)
+BAR = "symbol date open_price high_price low_price close_price total_volume"
+# Table -> its rows in SQL and the columns that must not be null.
+REQUIRED = {
+    "daily_market_summary": ("summary", BAR),
+    "gold_daily_ohlcv": ("daily", BAR),
+    "gold_latest_prices": ("latest_prices", "symbol latest_price latest_volume_24h last_updated"),
+    "market_sentiment": (
+        "mood",
+        "sentiment_date symbol avg_sentiment_score total_articles positive_count negative_count "
+        "neutral_count",
+    ),
+    "gold_dashboard_stats": (STATS, "symbol latest_price last_updated active_coins"),
+}
+FAILING = [
+    (f"not_null_{col}", table, f"select 1 from {rows} where {col} is null")
+    for table, (rows, cols) in REQUIRED.items()
+    for col in cols.split()
+] + [
+    (
+        f"unique_{'_'.join(cols)}", table,
+        f"select 1 from {REQUIRED[table][0]} group by {', '.join(cols)} having count(*) > 1",
+    )
+    for table, cols in (
+        ("gold_latest_prices", ["symbol"]),
+        ("gold_dashboard_stats", ["symbol"]),
+        ("daily_market_summary", ["symbol", "date"]),
+    )
+] + [
+    ("low_le_high", "daily_market_summary", "select 1 from summary where low_price > high_price"),
+    ("volume_positive", "daily_market_summary", "select 1 from summary where total_volume <= 0"),
+    (
+        "score_range", "market_sentiment",
+        "select 1 from mood where avg_sentiment_score < -1 or avg_sentiment_score > 1",
+    ),
+]
+
+
+@query(
+    "q7_full_report",
+    "select *, failing_rows = 0 as passed from ("
+    + " union all ".join(
+        f"select '{rule}' as rule, '{table}' as \"table\", "
+        f"(select count(*) from ({failing})) as failing_rows"
+        for rule, table, failing in FAILING
+    )
+    + ")",
+    "summary daily latest_prices mood",
+)
 def _(t):
     return chains.check_gold(gold_tables(t))
 
