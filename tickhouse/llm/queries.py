@@ -1,4 +1,4 @@
 """Imports every query module of this subpackage, which registers them."""
 
-from tickhouse.llm import op01, op05  # noqa: F401
+from tickhouse.llm import op01, op05, op09  # noqa: F401
 from tickhouse.llm.registry import ORACLE, QUERIES  # noqa: F401
