@@ -452,28 +452,34 @@ def removal_report(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE
 
 
 def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE) -> DataFrame:
-    """``docs`` with the repeated bytes taken out of ``text``, other columns as they are.
+    """``docs`` (doc_id, text and others) with the repeated bytes taken out of ``text``.
 
     Characters of which only some bytes were removed are dropped whole. Rows that lose all of their
     text are left out; rows that had none stay. n_chars, where there is such a column, is
-    counted anew.
+    counted anew; all other columns are returned as they are.
     """
-    texts, spans = removed_spans(docs, threshold, core)
-    known = texts.join(spans, "text_name").select("doc_id", "sha", "spans").distinct()
-    known = known.toDF("_doc", "_sha", "spans")
-    name = F.sha2(F.coalesce("text", F.lit("")), 256)
-    joined = docs.withColumn("_name", name).join(
-        known, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_name") == F.col("_sha")), "left"
+    names = docs.columns
+    mine = docs.toDF(*[f"_{i}" for i in range(len(names))])
+    doc, text = (F.col(f"_{names.index(c)}") for c in ("doc_id", "text"))
+    texts, spans = removed_spans(
+        mine.select(doc.cast("long").alias("doc_id"), text.alias("text")), threshold, core
+    )
+    known = texts.join(spans, "text_name").select(F.col("doc_id").alias("of"), "sha", "spans")
+    same = doc.cast("long").eqNullSafe(F.col("of")) & (F.col("name") == F.col("sha"))
+    joined = mine.withColumn("name", F.sha2(F.coalesce(text, F.lit("")), 256)).join(
+        known.distinct(), same, "left"
     )
-    untouched = joined.where(F.col("spans").isNull()).select(docs.columns)
-    others = [c for c in docs.columns if c != "text"]
-    cut = cut_spans(joined.where(F.col("spans").isNotNull()).select("text", "spans", *others))
-    rewritten = cut.withColumn("text", whole_characters(F.col("kept"))).where(F.length("text") > 0)
-    if "n_chars" in docs.columns:
-        rewritten = rewritten.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return untouched.unionByName(rewritten.select(docs.columns))
-
-
-def decode_whole_characters(kept):
-    """The text of bytes; broken characters are dropped."""
-    return F.replace(F.expr("make_valid_utf8(cast(kept as string))"), F.lit("�"), F.lit(""))
+    untouched = joined.where(F.col("spans").isNull()).select(*mine.columns)
+    others = [c for c in mine.columns if c != f"_{names.index('text')}"]
+    found = joined.where(F.col("spans").isNotNull()).select(text.alias("text"), "spans", *others)
+    cut = cut_spans(found).withColumn(f"_{names.index('text')}", whole_characters(F.col("kept")))
+    rewritten = cut.where(F.length(text) > 0)
+    if "n_chars" in names:
+        counted = F.length(text).cast(docs.schema["n_chars"].dataType)
+        rewritten = rewritten.withColumn(f"_{names.index('n_chars')}", counted)
+    return untouched.unionByName(rewritten.select(*mine.columns)).toDF(*names)
+
+
+def whole_characters(kept):
+    """The text of bytes; broken characters, and U+FFFD, which marks them, are dropped."""
+    return F.replace(F.make_valid_utf8(kept.cast("string")), F.lit("\ufffd"), F.lit(""))
