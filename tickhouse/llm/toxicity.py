@@ -6,7 +6,7 @@ it comes from. The vectors of the n-grams are averaged to a word, the distinct w
 of ``STRETCH`` consecutive words (missing ones count as zero vectors), and a softmax over two classes reads the stretch. A document is as
 toxic as its most toxic stretch, so a few words count in a text of any length; training looks at
 that stretch, too. The final score is a logistic curve of that stretch's logit, fitted to a part of the
-sample that the embeddings have not seen, with both classes weighing the same.
+sample that the embeddings have not seen; where they have learned nothing it is the base rate.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from tickhouse.llm.arrays import Rolling, lower, ranges, text_blocks, word_spans
 
 # Documented bounds of the training sample: about so many labelled documents, at most so many bytes.
 TRAIN_DOCS = 10_000
-TRAIN_BYTES = 96 << 20
+TRAIN_BYTES = 48 << 20
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
@@ -157,67 +157,123 @@ class Adam:
         self.value -= self.rate * mean / (size + FLOOR * size.max() + 1e-12)
 
 
-def train(data, starts, labels, buckets=BUCKETS, epochs=EPOCHS, max_epochs=MAX_EPOCHS, seed=0, min_texts=MIN_TEXTS) -> Model:
-    """Fit embeddings and softmax together on texts with labels 0 or 1.
+class Sample:
+    """The training texts as numbers, gathered block by block to keep no text."""
+
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+        self.labels = np.empty(0)
+        self.blocks: list[tuple[np.ndarray, ...]] = []
+        self.texts = self.stretches = 0
+
+    def add(self, data: np.ndarray, starts: np.ndarray, labels: np.ndarray):
+        words = Words(data, starts, self.buckets)
+        stretch, word, text = stretches(words.per_text, words.word)
+        seen = np.unique(np.repeat(np.arange(len(labels)), words.per_text) * (len(words.hashes) + 1) + words.word)
+        self.blocks.append(
+            (
+                words.hashes,
+                words.bag.astype(np.int32),
+                np.diff(words.bag_start).astype(np.int32),
+                np.bincount(seen % (len(words.hashes) + 1), minlength=len(words.hashes)),
+                (stretch + self.stretches).astype(np.int32),
+                word.astype(np.int32),
+                (text + self.texts).astype(np.int32),
+            )
+        )
+        self.texts += len(labels)
+        self.stretches += len(text)
+        self.labels = np.concatenate([self.labels, labels])
+
+    def close(self, min_texts: int):
+        """Merge the blocks; buckets seen in fewer than ``min_texts`` texts leave the bags."""
+        hashes, bag, size, texts, stretch, word, text = zip(*self.blocks)
+        self.blocks.clear()
+        names, first, where = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        n = len(names)
+        edges = np.cumsum([0, *map(len, hashes)])
+        self.word = np.concatenate([where[e + w] for e, w in zip(edges, word)]).astype(np.int32)
+        self.stretch, self.text = np.concatenate(stretch), np.concatenate(text)
+        texts_of_word = np.bincount(where, np.concatenate(texts), n)
+        size, bag = np.concatenate(size), np.concatenate(bag)
+        begin = np.cumsum(size, dtype=np.int64) - size
+        self.size = size[first]
+        self.bag = bag[ranges(begin[first], self.size.astype(np.int64))]
+        self.owner = np.repeat(np.arange(n, dtype=np.int32), self.size)
+        self.common = np.bincount(self.bag, texts_of_word[self.owner], self.buckets) >= min_texts
+        kept = self.common[self.bag]
+        self.bag, self.owner = self.bag[kept], self.owner[kept]
+        return self
+
+    def word_values(self, per_bucket):
+        return np.bincount(self.owner, per_bucket[self.bag], len(self.size)) / self.size
+
+    def to_buckets(self, per_word):
+        return np.bincount(self.bag, (per_word / self.size)[self.owner], self.buckets)
+
+    def stretch_values(self, per_word):
+        return np.bincount(self.stretch, per_word[self.word], len(self.text)) / STRETCH
+
+    def to_words(self, per_stretch):
+        return np.bincount(self.word, per_stretch[self.stretch], len(self.size)) / STRETCH
+
+
+def train(
+    texts, buckets=BUCKETS, epochs=EPOCHS, max_epochs=MAX_EPOCHS, seed=0, min_texts=MIN_TEXTS
+) -> Model:
+    """Fit embeddings and softmax together on blocks (data, starts, labels) of labelled texts.
 
     First every stretch carries the label of its text; then each text is represented by the
     stretch that the model finds most toxic. Both classes weigh the same. Every fifth text only
     fits the curve, if both classes are in either part.
     """
-    labels = np.asarray(labels, float)
-    if not len(labels) or labels.min() == labels.max():
-        return Model.constant(float(labels.mean()) if len(labels) else 0.0)
-    apart = np.arange(len(labels)) % 5 == 4
-    if min(len(set(labels[apart])), len(set(labels[~apart]))) == 2:
-        learned = take(data, starts, ~apart)
-        judged = (*take(data, starts, apart), labels[apart])
-        labels = labels[~apart]
-        data, starts = learned
-    else:
-        judged = (data, starts, labels)
-    words = Words(data, starts, buckets)
-    stretch, word, text = stretches(words.per_text, words.word)
-    if not len(text):
-        return Model.constant(float(labels.mean()))
+    sample, apart = Sample(buckets), []
+    for data, starts, labels in texts:
+        labels = np.asarray(labels, float)
+        fifth = (np.arange(len(labels)) + sample.texts + sum(len(x[2]) for x in apart)) % 5 == 4
+        sample.add(*take(data, starts, ~fifth), labels[~fifth])
+        apart.append((*take(data, starts, fifth), labels[fifth]))
+    labels = sample.labels
+    judged = np.concatenate([x[2] for x in apart]) if apart else np.empty(0)
+    both = np.concatenate([labels, judged])
+    if len(set(labels)) < 2 or not sample.stretches:
+        return Model.constant(float(both.mean()) if len(both) else 0.0)
+    sample.close(min_texts)
     random = np.random.default_rng(seed)
-    bag_size = np.diff(words.bag_start)
-    bag_owner = np.repeat(np.arange(len(bag_size)), bag_size)
-    # Buckets of too few texts stay at zero: they would only learn those texts by heart.
-    seen = np.unique(np.repeat(np.arange(len(labels)), words.per_text) * len(bag_size) + words.word)
-    texts_of_word = np.bincount(seen % len(bag_size), minlength=len(bag_size))
-    common = np.bincount(words.bag, texts_of_word[bag_owner], buckets) >= min_texts
-    table = Adam(random.normal(0, 0.1, (buckets, DIMENSIONS)) * common[:, None])
+    table = Adam(random.normal(0, 0.1, (buckets, DIMENSIONS)) * sample.common[:, None])
     softmax = Adam(random.normal(0, 0.1, (DIMENSIONS, 2)))
     bias = Adam(np.zeros(2))
 
-    def logits():
-        direction = softmax.value[:, 1] - softmax.value[:, 0]
-        value = bag_means(table.value @ direction, words.bag, words.bag_start)
-        mean = np.bincount(stretch, value[word], len(text)) / STRETCH
-        return mean + bias.value[1] - bias.value[0], direction
-
     def balanced(y):
         positive = max(y.mean(), 1e-9)
         return np.where(y > 0, 0.5 / positive, 0.5 / max(1 - positive, 1e-9)) / len(y)
 
     for epoch in range(epochs + max_epochs):
-        logit, direction = logits()
+        direction = softmax.value[:, 1] - softmax.value[:, 0]
+        values = sample.word_values(table.value @ direction)
+        logit = sample.stretch_values(values) + bias.value[1] - bias.value[0]
         if epoch < epochs:
-            chosen = np.arange(len(text))
+            chosen = np.arange(len(logit))
         else:
-            order = np.lexsort((-logit, text))
-            chosen = order[np.r_[True, np.diff(text[order]) > 0]]
-        y = labels[text[chosen]]
-        error = np.zeros(len(text))
+            order = np.lexsort((-logit, sample.text))
+            chosen = order[np.r_[True, np.diff(sample.text[order]) > 0]]
+        y = labels[sample.text[chosen]]
+        error = np.zeros(len(logit))
         error[chosen] = (sigmoid(logit[chosen]) - y) * balanced(y)
-        per_word = np.bincount(word, error[stretch] / STRETCH, len(bag_size))
-        per_bucket = common * np.bincount(words.bag, (per_word / bag_size)[bag_owner], buckets)
+        per_bucket = sample.to_buckets(sample.to_words(error))
         down = per_bucket @ table.value
         table.descend(per_bucket[:, None] * direction + DECAY / buckets * table.value)
         softmax.descend(np.stack([-down, down], 1) + DECAY * softmax.value)
         bias.descend(np.array([-error.sum(), error.sum()]))
     model = Model(table.value.astype(np.float32), softmax.value, bias.value)
-    model.slope, model.shift = curve(model.peaks(*judged[:2]), judged[2])
+    if len(set(judged)) == 2:
+        peaks = np.concatenate([model.peaks(data, starts) for data, starts, _ in apart])
+        model.slope, model.shift = curve(peaks, judged)
+    else:
+        top = np.full(len(labels), model.bias[1] - model.bias[0], float)
+        values = sample.word_values(model.per_bucket)
+        np.maximum.at(top, sample.text, sample.stretch_values(values) + top[0])
+        model.slope, model.shift = curve(top, labels)
     return model
 
 
@@ -232,12 +288,10 @@ def curve(peaks: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     centre, spread = peaks.mean(), peaks.std() + 1e-9
     x = (peaks - centre) / spread
     a, b = 1.0, 0.0
-    share = labels.mean()
-    c = np.where(labels > 0, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9))
     for _ in range(50):
         p = sigmoid(a * x + b)
-        w = c * p * (1 - p) + 1e-9
-        ga, gb = (c * (p - labels) * x).mean() + 1e-3 * a, (c * (p - labels)).mean()
+        w = p * (1 - p) + 1e-9
+        ga, gb = ((p - labels) * x).mean() + 1e-3 * a, (p - labels).mean()
         haa, hab, hbb = (w * x * x).mean() + 1e-3, (w * x).mean(), w.mean() + 1e-9
         det = haa * hbb - hab * hab
         a, b = a - (hbb * ga - hab * gb) / det, b - (haa * gb - hab * ga) / det
@@ -271,18 +325,19 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_
     )
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, sizes, found, held = [], [], [], 0
-        for batch in batches:
-            for first, last, data, starts in text_blocks(batch):
-                if held + len(data) <= train_bytes:
-                    held += len(data)
-                    parts.append(data.copy())
-                    sizes.append(np.diff(starts))
-                    found += batch.column(1).slice(first, last - first).to_pylist()
-        data = np.concatenate(parts) if parts else np.empty(0, np.uint8)
-        size = np.concatenate(sizes) if sizes else np.empty(0, np.int64)
-        model = train(data, np.concatenate([[0], np.cumsum(size)]), found)
-        yield pa.RecordBatch.from_arrays([pa.array([model.to_bytes()], pa.binary())], names=["model"])
+        held = 0
+
+        def texts():
+            nonlocal held
+            for batch in batches:
+                for first, last, data, starts in text_blocks(batch):
+                    if held + len(data) <= train_bytes:
+                        held += len(data)
+                        yield data, starts, batch.column(1).slice(first, last - first).to_pylist()
+
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([train(texts()).to_bytes()], pa.binary())], names=["model"]
+        )
 
     rows = sample.mapInArrow(learn, "model binary").collect()
     return Model.from_bytes(bytes(rows[0]["model"])) if rows else Model.constant(0.0)
