@@ -276,7 +276,7 @@ def write_files(
 
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for first, last, data, starts in text_blocks(batch):
+            for first, last, data, starts in text_blocks(batch, limit=4 * shard_ids):
                 block, n = append_to_each(*texts.encode(data, starts), end_id)
                 names += doc_ids[first:last]
                 ids.append(block)
