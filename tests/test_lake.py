@@ -84,43 +84,63 @@ def test_repeated_history_rewrites_only_what_changed(spark, folder):
     assert t.read().filter("at = 49").first().price == 7.0
 
 
-def test_many_touched_partitions_use_a_join(spark, folder, monkeypatch):
-    monkeypatch.setattr(lake, "MAX_NAMED_PARTITIONS", 2)
+@pytest.mark.parametrize("parts", [("day",), (), ("day", "part")])
+def test_rows_without_a_place_are_returned_and_nothing_is_lost(spark, folder, parts):
+    schema = "symbol string, at int, day int, part string, price double, seen int"
+    t = table(spark, folder("t"), parts)
+    t.upsert(spark.createDataFrame([("A", 1, 0, "x", 1.0, 1), ("B", 12, 1, "y", 2.0, 1)], schema))
+    again = spark.createDataFrame(
+        [("A", 1, 0, "x", 9.0, 2), (None, 3, 0, "x", 5.0, 2), ("C", 5, None, None, 6.0, 2),
+         ("D", 7, 0, None, 7.0, 2)], schema,
+    )
+    for _ in range(2):
+        rejected = t.upsert(again)
+        why = {r.price: r.reject_reason for r in rejected.collect()}
+        assert why[5.0] == "symbol_null"
+        assert why.get(6.0) == ("day_null" if parts else None)
+        assert why.get(7.0) == ("part_null" if "part" in parts else None)
+        stored = [r.price for r in t.read().select("price").collect()]
+        assert sorted(stored + list(why)) == [2.0, 5.0, 6.0, 7.0, 9.0]
+
+
+def test_a_folder_without_a_marker_is_a_table(spark, folder):
+    old = spark.sparkContext._jsc.hadoopConfiguration()
+    for name, parts in (("a", ()), ("b", ("day",))):
+        t = table(spark, folder(name), parts)
+        old.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        try:
+            t.append(make(spark, [("A", 1, 1.0, 1), ("A", 2, 2.0, 1)]))
+        finally:
+            old.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+        assert "_SUCCESS" not in os.listdir(t.path) and t.exists()
+        t.upsert(make(spark, [("A", 3, 3.0, 1)]))
+        assert t.read().count() == 3
+
+
+def test_an_empty_or_missing_folder_is_no_table(spark, folder):
     t = table(spark, folder("t"))
-    t.upsert(make(spark, [("A", i, float(i), 1) for i in range(50)]))
-    t.upsert(make(spark, [("A", i, -1.0, 2) for i in (5, 15, 25, 35)]))
-    assert t.read().count() == 50 and t.read().filter("price = -1").count() == 4
+    assert not t.exists()
+    os.mkdir(t.path)
+    open(os.path.join(t.path, "_SUCCESS"), "w").close()
+    assert not t.exists()
+    t.upsert(make(spark, [("A", 1, 1.0, 1)]))
+    assert t.exists() and t.read().count() == 1
 
 
-def test_an_interrupted_swap_is_finished(spark, folder, monkeypatch):
+def test_reading_never_writes(spark, folder):
     t = table(spark, folder("t"))
-    t.upsert(make(spark, [("A", i, float(i), 1) for i in range(20)]))
-    with monkeypatch.context() as crash:
-        crash.setattr(lake.LakeTable, "_finish_swap", lambda self: None)
-        t.upsert(make(spark, [("A", 3, -3.0, 2)]))
-    assert lake.read_lake(spark, t.path).filter("price = -3").count() == 0
-    # The swap may also have removed old files already.
-    for path in stamps(t.path):
-        if "day=0" in path:
-            os.remove(path)
-    again = table(spark, t.path)
-    assert again.read().count() == 20 and again.read().filter("price = -3").count() == 1
-
-
-def test_an_interrupted_swap_without_partitions(spark, folder):
-    t = table(spark, folder("t"), ())
     t.upsert(make(spark, [("A", 1, 1.0, 1)]))
-    make(spark, [("A", 1, 5.0, 2)]).write.parquet(t._staging)
-    os.rename(t.path, t._retired)  # crashed after the old content was set aside
-    assert table(spark, t.path, ()).read().first().price == 5.0
+    before = sorted(os.walk(folder("")))
+    assert t.exists() and t.read().count() == 1
+    assert sorted(os.walk(folder(""))) == before
 
 
-def test_an_unfinished_staging_folder_is_ignored(spark, folder):
-    t = table(spark, folder("t"))
-    t.upsert(make(spark, [("A", 1, 1.0, 1)]))
-    make(spark, [("A", 1, 5.0, 2)]).write.partitionBy("day").parquet(t._staging)
-    os.remove(f"{t._staging}/_SUCCESS")
-    assert t.read().first().price == 1.0
+def test_overwriting_from_itself(spark, folder):
+    for name, parts in (("a", ()), ("b", ("day",))):
+        t = table(spark, folder(name), parts)
+        t.upsert(make(spark, [("A", i, float(i), 1) for i in range(30)]))
+        t.overwrite(t.read().filter("at >= 15"))
+        assert t.read().count() == 15
 
 
 def test_compaction_leaves_well_packed_partitions_alone(spark, folder):

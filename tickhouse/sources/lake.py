@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from tickhouse.operators.dedup import dedup_keys
-
-# Up to this many touched partitions are named one by one in the scan's partition filter.
-MAX_NAMED_PARTITIONS = 2000
+from tickhouse.session import settle
 
 
 def read_lake(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -72,56 +68,18 @@ def write_partitioned(
     writer.save(path)
 
 
-class Partitions:
-    """The distinct partition values of some rows.
-
-    Few of them are named as literals, which prune the file listing itself; past that number
-    they stay a frame to join with.
-    """
-
-    def __init__(self, rows: DataFrame, names: Sequence[str]):
-        self.names = list(names)
-        self.frame = rows.select(*self.names).distinct()
-        self.named = self.frame.limit(MAX_NAMED_PARTITIONS + 1).collect()
-
-    def __bool__(self) -> bool:
-        return bool(self.named)
-
-    def inside(self, df: DataFrame) -> DataFrame:
-        if len(self.named) > MAX_NAMED_PARTITIONS:
-            return df.join(self.frame, self.names, "left_semi")
-        return df.filter(self._any())
-
-    def outside(self, df: DataFrame) -> DataFrame:
-        if len(self.named) > MAX_NAMED_PARTITIONS:
-            return df.join(self.frame, self.names, "left_anti")
-        return df.filter(~self._any())
-
-    def _any(self) -> Column:
-        if not self.named:
-            return F.lit(False)
-        if len(self.names) == 1:
-            # The key determines the partition, so its columns are never null.
-            return F.col(self.names[0]).isin([row[0] for row in self.named])
-        tests = [
-            reduce(and_, [F.col(n).eqNullSafe(F.lit(v)) for n, v in zip(self.names, row)])
-            for row in self.named
-        ]
-        while len(tests) > 1:  # a balanced tree keeps the expression shallow
-            tests = [reduce(or_, tests[i : i + 2]) for i in range(0, len(tests), 2)]
-        return tests[0]
-
-
 class LakeTable:
     """A Parquet table with a unique key, and partition columns that the key determines.
 
     ``upsert`` appends rows with new keys and rewrites only the partitions in which a key is
-    already stored. The new content of those partitions is first written completely beside the
-    table and only then swapped in, and a swap that a crash interrupted is finished by the next
-    use of the table, so rows that were already there survive a lost driver. Doing an upsert
-    again changes nothing, so a batch that failed half-way can simply be repeated. There is one
-    writer at a time. A table format with its own MERGE can replace this class without touching
-    any operator.
+    already stored, by Spark's dynamic partition overwrite, which writes all new files before it
+    replaces the old ones. Doing an upsert again changes nothing, so a batch that failed half-way
+    can simply be repeated. There is one writer at a time, and reading never writes. Plain files
+    have no transactions: a driver lost in the middle of the final exchange of files leaves
+    that to the repetition, which a table format with its own MERGE would avoid.
+
+    A row without a value in a key or partition column has no place in the table. Such rows are
+    never written; ``upsert`` returns them with a reason.
     """
 
     def __init__(
@@ -140,45 +98,61 @@ class LakeTable:
         self.order_by = list(order_by)
         # Without a declared schema Spark guesses the types of the partition columns.
         self.schema = schema
-        self._staging = f"{self.path}__staging"
-        self._retired = f"{self.path}__retired"
 
     # -- reading ---------------------------------------------------------------------
 
     def exists(self) -> bool:
-        self._finish_swap()
-        return self._has(f"{self.path}/_SUCCESS")
+        """Whether the folder holds a data file; markers and hidden files do not count."""
+        jvm = self.spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(target):
+            return False
+        found = fs.listFiles(target, True)
+        while found.hasNext():
+            if found.next().getPath().getName()[0] not in "_.":
+                return True
+        return False
 
     def read(self) -> DataFrame:
-        self._finish_swap()
         return read_lake(self.spark, self.path, self.schema)
 
     # -- writing ---------------------------------------------------------------------
 
     def overwrite(self, df: DataFrame) -> None:
-        """Replace everything; without partitions, ``df`` may read the table itself."""
-        if not self.partition_by and self.exists():
-            self._swap(df)
-        else:
-            write_partitioned(df, self.path, "overwrite", self.partition_by)
+        """Replace everything; ``df`` may read the table itself."""
+        content = settle(df, "overwrite") if self.exists() else df
+        write_partitioned(content, self.path, "overwrite", self.partition_by)
 
     def append(self, df: DataFrame) -> None:
         write_partitioned(df, self.path, "append", self.partition_by)
 
-    def upsert(self, updates: DataFrame, compare: Sequence[str] = ()) -> None:
+    def without_place(self, rows: DataFrame) -> Column:
+        """Why a row cannot be stored; null if it can."""
+        reason = F.lit(None).cast("string")
+        for name in reversed([*self.keys, *self.partition_by]):
+            if name in rows.columns:
+                reason = F.when(F.col(name).isNull(), F.lit(f"{name}_null")).otherwise(reason)
+        return reason
+
+    def upsert(self, updates: DataFrame, compare: Sequence[str] = ()) -> DataFrame:
         """Replace the rows whose key is in ``updates`` and insert the others.
 
         Of several updates of one key the one that ``order_by`` puts first wins. With
         ``compare``, rows that are stored with the same key and the same values of these
         columns are left out first, so that a source that repeats its whole history rewrites
-        only the partitions in which something changed.
+        only the partitions in which something changed. Returns the rows that cannot be stored,
+        with ``reject_reason``.
         """
-        latest = dedup_keys(updates, self.keys, self.order_by)
+        reasoned = updates.withColumn("reject_reason", self.without_place(updates))
+        rejected = reasoned.filter(F.col("reject_reason").isNotNull())
+        placed = reasoned.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+        latest = dedup_keys(placed, self.keys, self.order_by)
         if not self.exists():
-            self.overwrite(latest)
-            return
+            self.append(latest)
+            return rejected
         if compare:
-            latest = self._changed(latest, compare)
+            latest = settle(self._changed(latest, compare), "changed")
         # Read several times below; if an executor is lost, Spark recomputes its share.
         latest = latest.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -188,30 +162,28 @@ class LakeTable:
                 self._upsert_all(latest)
         finally:
             latest.unpersist()
+        return rejected
 
     def compact(self, target_bytes: int = 128 << 20) -> None:
         """Merge the files of partitions that hold far more files than their size needs.
 
-        File names and sizes come from the scan's metadata, without reading a column.
-        Partitions that are packed well are left alone.
+        Only the list of files is read to find them. Partitions that are packed well are left
+        alone.
         """
         table = self.read()
         if not self.partition_by:
-            self._swap(table)
+            self.overwrite(table)
             return
-        files = table.select(
-            *self.partition_by,
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_size").alias("_bytes"),
-        ).distinct()
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(self.path)
+        kinds = [F.col(n).cast(table.schema[n].dataType).alias(n) for n in self.partition_by]
         loose = (
-            files.groupBy(*self.partition_by)
-            .agg(F.count("*").alias("_files"), F.sum("_bytes").alias("_bytes"))
+            files.groupBy(*kinds)
+            .agg(F.count("*").alias("_files"), F.sum("length").alias("_bytes"))
             .filter(F.col("_files") > 2 * F.ceil(F.col("_bytes") / target_bytes))
+            .select(*self.partition_by)
         )
-        partitions = Partitions(loose, self.partition_by)
-        if partitions:
-            self._swap(partitions.inside(table))
+        if not loose.isEmpty():
+            self._rewrite(self._inside(table, loose))
 
     # -- internals -------------------------------------------------------------------
 
@@ -221,83 +193,45 @@ class LakeTable:
         equal += [F.col(f"s.{name}").eqNullSafe(F.col(f"u.{name}")) for name in compare]
         return updates.alias("u").join(stored, equal, "left_anti")
 
+    def _inside(self, rows: DataFrame, partitions: DataFrame) -> DataFrame:
+        """Rows of these partitions; Spark prunes the scan of a table by them at run time."""
+        return rows.join(partitions, self.partition_by, "left_semi")
+
     def _upsert_all(self, latest: DataFrame) -> None:
-        if latest.isEmpty():
-            return
         stored, keys = self.read(), latest.select(*self.keys)
         if stored.join(keys, self.keys, "left_semi").isEmpty():
             self.append(latest)
         else:
             kept = stored.join(keys, self.keys, "left_anti")
-            self._swap(kept.unionByName(latest, allowMissingColumns=True))
+            self.overwrite(kept.unionByName(latest, allowMissingColumns=True))
 
     def _upsert_partitions(self, latest: DataFrame) -> None:
-        touched = Partitions(latest, self.partition_by)
-        if not touched:
-            return
         keys = latest.select(*self.keys)
-        stored = touched.inside(self.read())
-        known = stored.join(keys, self.keys, "left_semi")
-        rewritten = Partitions(known, self.partition_by)
-        if not rewritten:
+        touched = self._inside(self.read(), latest.select(*self.partition_by).distinct())
+        known = touched.join(keys, self.keys, "left_semi").select(*self.partition_by).distinct()
+        # Written, because a cached frame of this path is computed anew after the append below.
+        known = settle(known, "known-partitions")
+        if known.isEmpty():
             self.append(latest)
             return
         # The rows for other partitions go first, while every file that was read still exists;
         # a repetition after a crash in between finds them stored and replaces them.
-        added = rewritten.outside(latest)
+        added = latest.join(known, self.partition_by, "left_anti")
         if not added.isEmpty():
             self.append(added)
-        kept = rewritten.inside(stored).join(keys, self.keys, "left_anti")
-        self._swap(kept.unionByName(rewritten.inside(latest), allowMissingColumns=True))
-
-    def _swap(self, content: DataFrame) -> None:
-        self._drop(self._staging)
-        write_partitioned(content, self._staging, "overwrite", self.partition_by)
-        self._finish_swap()
+        kept = self._inside(self.read(), known).join(keys, self.keys, "left_anti")
+        updated = self._inside(latest, known)
+        self._rewrite(kept.unionByName(updated, allowMissingColumns=True))
 
-    def _finish_swap(self) -> None:
-        """Move a completely staged rewrite into the table; safe to repeat after a crash."""
-        if not self._has(f"{self._staging}/_SUCCESS"):
-            return
-        if not self.partition_by:
-            # The old content is set aside, not deleted, until the new one is in place.
-            if self._has(self.path):
-                self._drop(self._retired)
-                self._rename(self.path, self._retired)
-            self._rename(self._staging, self.path)
-            self._drop(self._retired)
-            return
-        staged = read_lake(self.spark, self._staging, self.schema)
+    def _rewrite(self, content: DataFrame) -> None:
+        """Replace the partitions that ``content`` has, and no others."""
         (
-            staged.hint("rebalance", *self.partition_by)
+            content.hint("rebalance", *self.partition_by)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*self.partition_by)
             .parquet(self.path)
         )
-        # Without its marker a half-deleted staging folder is never taken for a full one.
-        self._drop(f"{self._staging}/_SUCCESS")
-        self._drop(self._staging)
-
-    # -- file system -----------------------------------------------------------------
-
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), target
-
-    def _has(self, path: str) -> bool:
-        fs, target = self._fs(path)
-        return fs.exists(target)
-
-    def _drop(self, path: str) -> None:
-        fs, target = self._fs(path)
-        fs.delete(target, True)
-
-    def _rename(self, source: str, target: str) -> None:
-        fs, src = self._fs(source)
-        if not fs.rename(src, self._fs(target)[1]):
-            raise OSError(f"cannot rename {source} to {target}")
 
 
 def compact(
