@@ -29,7 +29,9 @@ def pair_moments(wide: DataFrame, n: int) -> DataFrame:
     """Per task and pair of the columns ``s0 .. s<n-1>``: count, means and centred moments.
 
     A batch of rows is a matrix, and the sums of all pairs are a few products of it, so a task
-    keeps n x n sums however many times it reads and emits one row per pair.
+    keeps n x n sums however many times it reads and emits one row per pair. Values are taken
+    relative to each column's first one, so a level does not swallow a small spread and a constant
+    column has moments of exactly zero.
     """
 
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -38,9 +40,9 @@ def pair_moments(wide: DataFrame, n: int) -> DataFrame:
             x = batch.to_numpy(dtype="float64", na_value=np.nan)
             here = ~np.isnan(x)
             if shift is None:
-                # Near the data, so that squares of large prices do not swallow their spread.
-                counts = np.maximum(here.sum(axis=0), 1)
-                shift = np.nansum(x, axis=0) / counts
+                shift = np.full(n, np.nan)
+            new = np.isnan(shift) & here.any(axis=0)
+            shift[new] = x[here.argmax(axis=0)[new], np.flatnonzero(new)]
             x = np.where(here, x - shift, 0.0)
             m = here.astype("float64")
             part = np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
@@ -57,8 +59,10 @@ def pair_moments(wide: DataFrame, n: int) -> DataFrame:
                 "a": a.astype("int32"),
                 "b": b.astype("int32"),
                 "k": k,
-                "mean_a": shift[a] + sum_a / k,
-                "mean_b": shift[b] + sum_b / k,
+                "shift_a": shift[a],
+                "shift_b": shift[b],
+                "mean_a": sum_a / k,
+                "mean_b": sum_b / k,
                 "m2_a": second[a, b] - sum_a * sum_a / k,
                 "m2_b": second[b, a] - sum_b * sum_b / k,
                 "c": cross[a, b] - sum_a * sum_b / k,
@@ -67,7 +71,41 @@ def pair_moments(wide: DataFrame, n: int) -> DataFrame:
 
     return wide.mapInPandas(
         moments,
-        "a int, b int, k double, mean_a double, mean_b double, m2_a double, m2_b double, c double",
+        "a int, b int, k double, shift_a double, shift_b double, mean_a double, mean_b double, "
+        "m2_a double, m2_b double, c double",
+    )
+
+
+def merged_moments(moments: DataFrame) -> DataFrame:
+    """Moments of all tasks together per pair, merged one by one around their own means.
+
+    A pair has one row per task. Means stay relative to the first row's values, so nothing is
+    added to a large level and taken away again.
+    """
+    parts = F.collect_list(
+        F.struct("k", "shift_a", "shift_b", "mean_a", "mean_b", "m2_a", "m2_b", "c")
+    )
+
+    def merge(done, part):
+        k = done["k"] + part["k"]
+        step_a = (part["shift_a"] - done["shift_a"]) + part["mean_a"] - done["mean_a"]
+        step_b = (part["shift_b"] - done["shift_b"]) + part["mean_b"] - done["mean_b"]
+        weight = done["k"] * part["k"] / k
+        return F.struct(
+            k.alias("k"),
+            done["shift_a"].alias("shift_a"),
+            done["shift_b"].alias("shift_b"),
+            (done["mean_a"] + step_a * part["k"] / k).alias("mean_a"),
+            (done["mean_b"] + step_b * part["k"] / k).alias("mean_b"),
+            (done["m2_a"] + part["m2_a"] + step_a * step_a * weight).alias("m2_a"),
+            (done["m2_b"] + part["m2_b"] + step_b * step_b * weight).alias("m2_b"),
+            (done["c"] + part["c"] + step_a * step_b * weight).alias("c"),
+        )
+
+    grouped = moments.groupBy("a", "b").agg(parts.alias("parts"))
+    rest = F.slice("parts", F.lit(2), F.size("parts"))
+    return grouped.select("a", "b", F.aggregate(rest, F.col("parts")[0], merge).alias("m")).select(
+        "a", "b", "m.*"
     )
 
 
@@ -78,30 +116,18 @@ def correlation_matrix(
 
     Aligning by time is one shuffle of one row per symbol and time; every task then reduces its
     rows to one row of moments per pair. A join of the symbols by time would instead emit every
-    pair at every time. A pair is null with fewer than two common times or a constant series.
+    pair at every time. A pair is null with fewer than two common times or a constant series. The
+    result has a cell for every pair of ``symbols``, which are a registry's coins, not the data's.
     """
     names = list(dict.fromkeys(symbols))
     wide = aligned_closes(klines, names, time, value).drop(time)
-    k, ma, mb = F.col("k"), F.col("mean_a"), F.col("mean_b")
-    merged = (
-        pair_moments(wide, len(names))
-        .groupBy("a", "b")
-        .agg(
-            F.sum(k).alias("k"),
-            F.sum(k * ma).alias("sa"),
-            F.sum(k * mb).alias("sb"),
-            (F.sum("m2_a") + F.sum(k * ma * ma)).alias("qa"),
-            (F.sum("m2_b") + F.sum(k * mb * mb)).alias("qb"),
-            (F.sum("c") + F.sum(k * ma * mb)).alias("q"),
-        )
-    )
-    total, sa, sb = F.col("k"), F.col("sa"), F.col("sb")
-    spread_a = F.col("qa") - sa * sa / total
-    spread_b = F.col("qb") - sb * sb / total
-    together = F.col("q") - sa * sb / total
+    merged = merged_moments(pair_moments(wide, len(names)))
+    spread_a, spread_b = F.col("m2_a"), F.col("m2_b")
     corr = F.when(
-        (total > 1) & (spread_a > 0) & (spread_b > 0),
-        together / F.sqrt(spread_a) / F.sqrt(spread_b),
+        (F.col("k") > 1) & (spread_a > 0) & (spread_b > 0),
+        F.greatest(
+            F.lit(-1.0), F.least(F.lit(1.0), F.col("c") / F.sqrt(spread_a) / F.sqrt(spread_b))
+        ),
     )
     half = merged.select("a", "b", corr.alias("correlation"))
     mirrored = half.filter("a < b").select(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.functions import temporal
-from tickhouse.operators.dedup import distinct_rows, latest_per_key
+from tickhouse.operators.dedup import latest_per_key
 
 BAR = ("symbol", "date", "open_price", "high_price", "low_price", "close_price", "total_volume")
 
@@ -72,10 +72,13 @@ def intraday_ohlcv(ticks: DataFrame, as_of: Column) -> DataFrame:
 
 
 def market_summary(daily: DataFrame, ticks: DataFrame, as_of: Column) -> DataFrame:
-    """Daily bars before ``as_of`` plus the bar of ``as_of`` from ticks."""
+    """Daily bars before ``as_of`` plus the bar of ``as_of`` from ticks.
+
+    Both hold a symbol and day once and no day is in both, so nothing is left to remove.
+    """
     history = daily.filter(F.col("date") < as_of.cast("date")).select(*BAR)
     today = intraday_ohlcv(ticks, as_of).select(*BAR)
-    return distinct_rows(history.unionByName(today))
+    return history.unionByName(today)
 
 
 def latest_prices(ticks: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from tickhouse.functions import numeric, temporal
 from tickhouse.functions.text import normalize_symbol, short_name
 from tickhouse.operators.dedup import distinct_on, first_rows, latest_per_key
-from tickhouse.operators.filters import latest_day, symbol_filter
+from tickhouse.operators.filters import symbol_filter
 
 
 def with_global_count(
@@ -74,11 +74,18 @@ def market_overview(
     reference_symbol: str = "BTCUSDT",
     cap_multiple: float = 15.0,
 ) -> DataFrame:
-    """Totals of the newest day: volume, approximated cap, and the reference coin's share."""
+    """Totals of the newest day: volume, approximated cap, and the reference coin's share.
+
+    The summary is read once: its days are totalled and the newest total is kept.
+    """
     of_reference = F.when(F.col("symbol") == reference_symbol, F.col("total_volume"))
-    totals = latest_day(summary, "date").agg(
-        F.coalesce(F.sum("total_volume"), F.lit(0.0)).alias("volume"),
-        F.coalesce(F.sum(of_reference), F.lit(0.0)).alias("reference"),
+    newest = newest_total(
+        summary, F.sum("total_volume").alias("volume"), F.sum(of_reference).alias("reference")
+    )
+    # One row also of an empty summary.
+    totals = newest.agg(
+        F.coalesce(F.max("volume"), F.lit(0.0)).alias("volume"),
+        F.coalesce(F.max("reference"), F.lit(0.0)).alias("reference"),
         F.max("date").alias("day"),
     )
     coins = registry.agg(F.count("*").alias("n")).scalar()
@@ -94,23 +101,46 @@ def market_overview(
     )
 
 
-def _day_changes(summary: DataFrame, registry: DataFrame | None) -> DataFrame:
+def newest_total(summary: DataFrame, *aggs: Column) -> DataFrame:
+    """Aggregates of the newest day, in one pass over the rows; no row without a dated one."""
+    dated = summary.filter(F.col("date").isNotNull())
+    return dated.groupBy("date").agg(*aggs).orderBy(F.desc("date")).limit(1)
+
+
+def _movers(
+    summary: DataFrame, n: int, registry: DataFrame | None, first: Column, then: Column
+) -> DataFrame:
+    """The first ``n`` changes of the newest day.
+
+    One pass: of the rows ranked by day and change at most ``n`` are kept, and those of older
+    days, with which a short day is filled up, are dropped again.
+    """
     change = numeric.pct_change(F.col("open_price"), F.col("close_price"))
-    rows = latest_day(summary, "date").select(
-        "symbol", F.round(change, 2).alias("change_pct")
+    ranked = (
+        summary.filter(F.col("date").isNotNull())
+        .select("date", "symbol", F.round(change, 2).alias("change_pct"))
+        .orderBy(F.desc("date"), first, then)
+        .limit(n)
+    )
+    newest = F.max("date").over(Window.partitionBy(F.lit(0)))
+    rows = (
+        ranked.withColumn("_newest", newest)
+        .filter(F.col("date") == F.col("_newest"))
+        .select("symbol", "change_pct")
     )
     return rows if registry is None else coin_names(rows, registry)
 
 
 def top_gainers(summary: DataFrame, n: int = 5, registry: DataFrame | None = None) -> DataFrame:
     """The ``n`` greatest changes of the newest day, greatest first."""
-    return _day_changes(summary, registry).orderBy(F.desc("change_pct"), "symbol").limit(n)
+    rows = _movers(summary, n, registry, F.desc("change_pct"), F.col("symbol"))
+    return rows.orderBy(F.desc("change_pct"), "symbol")
 
 
 def top_losers(summary: DataFrame, n: int = 5, registry: DataFrame | None = None) -> DataFrame:
     """The last ``n`` of the same ranking, still in descending order."""
-    last = _day_changes(summary, registry).orderBy("change_pct", F.desc("symbol")).limit(n)
-    return last.orderBy(F.desc("change_pct"), "symbol")
+    rows = _movers(summary, n, registry, F.col("change_pct"), F.desc("symbol"))
+    return rows.orderBy(F.desc("change_pct"), "symbol")
 
 
 def coin_summary(
@@ -210,9 +240,12 @@ def dashboard_totals(
 
 def distinct_coins(summary: DataFrame) -> DataFrame:
     """Number of symbols and total volume of the newest day."""
-    return latest_day(summary, "date").agg(
-        F.count_distinct("symbol").alias("active_coins"),
-        F.sum("total_volume").alias("total_volume_24h"),
+    symbols = F.array_size(F.collect_set("symbol")).alias("active_coins")
+    newest = newest_total(summary, symbols, F.sum("total_volume").alias("total_volume_24h"))
+    # One row also of an empty summary.
+    return newest.agg(
+        F.coalesce(F.max("active_coins"), F.lit(0)).cast("bigint").alias("active_coins"),
+        F.max("total_volume_24h").alias("total_volume_24h"),
     )
 
 
@@ -236,10 +269,21 @@ def sentiment_vs_price(market_sentiment: DataFrame, summary: DataFrame) -> DataF
 
 
 def sentiment_price_correlation(joined: DataFrame) -> DataFrame:
-    """Per symbol: does the mood go with the price of the day, and of the next day?"""
+    """Per symbol: does the mood go with the price of the day, and of the next day?
+
+    Null where the mood or the change never varies, over the days that have both.
+    """
+
+    def correlation(x: str, y: str) -> Column:
+        a = F.when(F.col(y).isNotNull(), F.col(x))
+        b = F.when(F.col(x).isNotNull(), F.col(y))
+        varies = (F.max(a) > F.min(a)) & (F.max(b) > F.min(b))
+        together = F.try_divide(F.covar_pop(x, y), F.stddev_pop(a) * F.stddev_pop(b))
+        return F.when(varies, together)
+
     return joined.groupBy("symbol").agg(
-        F.corr("avg_sentiment_score", "change_pct").alias("same_day_corr"),
-        F.corr("avg_sentiment_score", "next_change_pct").alias("next_day_corr"),
+        correlation("avg_sentiment_score", "change_pct").alias("same_day_corr"),
+        correlation("avg_sentiment_score", "next_change_pct").alias("next_day_corr"),
         F.count("*").alias("days"),
     )
 

@@ -55,9 +55,10 @@ def partition_stats(df: DataFrame, part: Sequence[str], aggs: Mapping[str, Colum
 
 
 def relative_performance(df: DataFrame, key: str, time: str, value: str) -> DataFrame:
-    """Value in percent of the key's first value."""
+    """Value in percent of the key's first value; null where that is 0."""
     started = join_per_key(df, [key], [F.min_by(value, time).alias("_start")])
-    return started.withColumn("performance", F.col(value) / F.col("_start") * 100).drop("_start")
+    share = F.try_divide(F.col(value), F.col("_start")) * 100
+    return started.withColumn("performance", share).drop("_start")
 
 
 def min_max_scale(df: DataFrame, key: str, col: str, name: str = "scaled") -> DataFrame:

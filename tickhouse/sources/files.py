@@ -25,21 +25,25 @@ def read_kline_files(
 ) -> DataFrame:
     """Candle dumps, one JSON array of 12-item arrays per symbol.
 
-    A dump can be gigabytes on a single line. No candle field contains a bracket, so ``],`` is
-    a safe record separator: the text source then splits one dump over many tasks and each
-    record is one candle, instead of the whole file being one JSON value in one task.
+    A dump can be gigabytes on a single line. No candle field contains a bracket, so ``]`` is a
+    safe record separator: the text source then splits one dump over many tasks and each record
+    is one candle, instead of the whole file being one JSON value in one task. A record is parsed
+    as the JSON array it is, so empty and null items keep their place; a record that is no JSON
+    has only nulls. A path without a symbol gives a null symbol.
     """
     lines = (
-        spark.read.option("lineSep", "],")
+        spark.read.option("lineSep", "]")
         .text(path)
         .select("value", F.col("_metadata.file_path").alias("file"))
     )
-    items = F.regexp_extract_all("value", F.lit(r'[^\[\]",\s]+'), F.lit(0))
+    record = F.concat(F.lit("["), F.substring_index("value", "[", -1), F.lit("]"))
+    symbol = F.upper(F.regexp_extract("file", symbol_pattern, 1))
     raw = (
-        lines.select(items.alias("item"), "file")
-        .filter(F.size("item") > 0)
+        lines.filter(F.contains("value", F.lit("[")))
+        .select(F.from_json(record, "array<string>").alias("item"), "file")
+        .filter(F.size("item").isNull() | (F.size("item") != 0))
         .select(
-            F.upper(F.regexp_extract("file", symbol_pattern, 1)).alias("symbol"),
+            F.nullif(symbol, F.lit("")).alias("symbol"),
             *[F.get("item", F.lit(i)).alias(name) for i, name in enumerate(KLINE_FIELDS)],
         )
     )
