@@ -197,7 +197,7 @@ def test_equal_strings_have_equal_anchors():
     shared = "".join(pick.choice("abc") for _ in range(40))
     texts = ["".join(pick.choice("abc") for _ in range(n)) + shared + "z" * n for n in (0, 3, 17, 60)]
     data, starts = block(texts)
-    text, first, size, lead, core, span = substrings.anchors(data, starts, 40, 12)
+    text, first, size, lead, core, span = substrings.anchors(data, starts, 40, 20)
     found = set()
     for k, (t, n) in enumerate(zip(texts, (0, 3, 17, 60))):
         mine = (text == k) & (first <= n) & (n < first + size)

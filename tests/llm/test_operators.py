@@ -306,7 +306,7 @@ def test_decontamination(spark):
 # Repeated substrings
 
 
-@pytest.mark.parametrize("seed,threshold,core", [(1, 200, 64), (2, 200, 64), (3, 60, 20)])
+@pytest.mark.parametrize("seed,threshold,core", [(1, 200, 48), (2, 200, 64), (3, 60, 20)])
 def test_repeats(spark, seed, threshold, core):
     pick = random.Random(seed)
     base = "".join(pick.choice("abcdeé ") for _ in range(3000))

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,14 +37,14 @@ from tickhouse.llm.arrays import Rolling, blocks, column_bytes, mix, ranges, sig
 from tickhouse.session import settle
 
 THRESHOLD = 200
-CORE = 64
+CORE = 48
 GRAM = 16
 BLOCKS = (32, 8, 1)
 _PLACE = np.uint64((1 << 30) - 1)
 
 TEXTS = (
     "doc_id long, n_bytes long, sha string, text_name long, "
-    "items array<struct<first:int,starts:int,lead:int,core:long,span:long>>"
+    "items array<struct<spot:long,core:long,span:long>>"
 )
 
 
@@ -65,7 +65,7 @@ def anchors(data: np.ndarray, starts: np.ndarray, threshold: int, core: int):
     if n < threshold:
         return [np.empty(0, np.int64)] * 6
     rolling, other = Rolling(data, 1), Rolling(data, 5)
-    gram = min(GRAM, core)
+    gram = GRAM
     hashes = (rolling.prefix[gram:] - rolling.prefix[:-gram]) * rolling.inverse[: n - gram + 1]
     keys = (hashes & ~_PLACE) | np.arange(n - gram + 1, dtype=np.uint64)
     least = slide_min(keys[: n - core + 1], threshold - core + 1)
@@ -84,6 +84,16 @@ def anchors(data: np.ndarray, starts: np.ndarray, threshold: int, core: int):
     return [text, first - starts[text], size, at - first, signed(core_name), signed(span_name)]
 
 
+def unpacked(name: str) -> Column:
+    """first (start), starts or lead of a spot."""
+    spot = F.col("spot")
+    return {
+        "first": F.shiftright(spot, 32),
+        "starts": F.shiftright(spot, 16).bitwiseAND(F.lit(0xFFFF)),
+        "lead": spot.bitwiseAND(F.lit(0xFFFF)),
+    }[name].cast("long")
+
+
 def text_table(docs: DataFrame, threshold: int, core: int) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, sha, text_name and its anchors."""
 
@@ -92,10 +102,12 @@ def text_table(docs: DataFrame, threshold: int, core: int) -> DataFrame:
             for first, last, data, starts in text_blocks(batch):
                 shas = [hashlib.sha256(data[a:b]) for a, b in zip(starts[:-1], starts[1:])]
                 text, *columns = anchors(data, starts, threshold, core)
-                kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+                first_start, size, lead, core_name, span_name = columns
+                # One number holds where an anchor is; see unpacked().
+                spot = (first_start << 32) | (size << 16) | lead
                 items = pa.StructArray.from_arrays(
-                    [pa.array(c).cast(k) for c, k in zip(columns, kinds)],
-                    names=["first", "starts", "lead", "core", "span"],
+                    [pa.array(c, pa.int64()) for c in (spot, core_name, span_name)],
+                    names=["spot", "core", "span"],
                 )
                 edges = np.searchsorted(text, np.arange(last - first + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -229,7 +241,7 @@ def open_ranks(classes: DataFrame, rank: str) -> DataFrame:
 def repeated_starts(docs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """Intervals of repeated starts: text_name, from, to (places in the text)."""
     items = texts.select("text_name", F.inline("items"))
-    place = F.xxhash64("text_name", "first").alias("place")
+    place = F.xxhash64("text_name", "spot").alias("place")
     ranks = items.select("core", place)
     known = (
         ranks.groupBy("core")
@@ -241,22 +253,24 @@ def repeated_starts(docs: DataFrame, texts: DataFrame, threshold: int) -> DataFr
     classes = settle(rank_classes(shared, "core", "span"), "anchor-classes")
     done = shared.join(classes.where("repeated").select("core", "span"), ["core", "span"]).select(
         "text_name",
-        F.col("first").cast("long").alias("from"),
-        (F.col("first") + F.col("starts") - 1).cast("long").alias("to"),
+        unpacked("first").alias("from"),
+        (unpacked("first") + unpacked("starts") - 1).alias("to"),
     )
     members = classes.join(open_ranks(classes, "core"), "core").select(
         "core", "span", F.col("least").alias("place"), "repeated"
     )
     members = settle(
-        shared.join(members, ["core", "span", "place"]).select(
-            "text_name", "place", "first", "starts", "lead", "repeated"
-        ),
+        shared.join(members, ["core", "span", "place"]).select("text_name", "place", "spot", "repeated"),
         "open-anchors",
     )
     reps = texts.groupBy("text_name").agg(F.min(F.struct("sha", "doc_id")).alias("rep"))
     wanted = (
         members.groupBy("text_name")
-        .agg(F.collect_set(F.struct("place", "first", "starts", "lead")).alias("items"))
+        .agg(
+            F.collect_set(
+                F.struct("place", *[unpacked(n).alias(n) for n in ("first", "starts", "lead")])
+            ).alias("items")
+        )
         .join(reps, "text_name")
         .select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.sha").alias("sha"), "text_name", "items")
     )
@@ -304,6 +318,8 @@ def removed_spans(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE)
     text_name and spans, the maximal runs [from, to) of repeated bytes of every text that has any.
     Rows with equal texts repeat each other wholly if they have ``threshold`` bytes.
     """
+    if not GRAM <= core <= threshold < 1 << 16:
+        raise ValueError(f"core must be from {GRAM} to the threshold, which must be below 65536")
     table = settle(text_table(docs, threshold, core), "texts")
     copies = table.groupBy("text_name").agg(
         F.count("*").alias("copies"), F.max("n_bytes").alias("size")
