@@ -56,6 +56,22 @@ def test_change_log_equals_replay(spark):
         assert rows(got.select("id", "user_id", *FIELDS)) == replay(table, changes)
 
 
+def test_other_columns_stay_and_keys_are_upper_case(spark):
+    table = spark.createDataFrame(
+        [(1, "BTCUSDT", "mine", 1.0), (1, "ETHUSDT", "too", 2.0)],
+        "user_id long, symbol string, memo string, quantity double",
+    )
+    log = spark.createDataFrame(
+        [(1, "delete", 1, "btcusdt", None), (2, "update", 1, "ethusdt", 5.0), (3, "insert", 2, "Sol", 7.0)],
+        "seq long, op string, user_id long, symbol string, quantity double",
+    )
+    got = accounts.apply_changes(table, log, ["user_id", "symbol"], "seq", "op", ["quantity"])
+    assert got.columns == table.columns
+    assert rows(got) == [(1, "ETHUSDT", "too", 5.0), (2, "SOL", None, 7.0)]
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text
+
+
 def test_bad_changes_are_rejected(spark):
     changes = spark.createDataFrame(
         [(1, "insert", 1, 1, "A", "above", 1.0, None), (2, "insert", 1, 1, "A", "near", 1.0, None),

@@ -3,6 +3,7 @@
 import json
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -51,6 +52,56 @@ def test_a_symbol_filled_in_late_gets_its_bars(spark, tmp_path):
     assert again["report"].filter("not passed").count() == 0
 
 
+def test_corrections_and_crashes_reach_gold(spark, tmp_path, monkeypatch):
+    store, source = chains.Lake(spark, str(tmp_path / "lake")), tmp_path / "dump"
+    dump(source, "btcusdt", range(30))
+    chains.load_candles(store, str(source))
+    # The driver dies between silver and gold.
+    dump(source, "btcusdt", range(40))
+    with monkeypatch.context() as crash:
+        crash.setattr(chains.bars, "daily_ohlcv", lambda df: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            chains.load_candles(store, str(source))
+    dump(source, "btcusdt", range(40), close=2.5)
+    out = chains.load_candles(store, str(source))
+    got = {r.date: (r.close_price, r.total_volume) for r in out["gold_daily_ohlcv"].collect()}
+    assert got == {date(2026, 1, 1): (2.5, 240.0), date(2026, 1, 2): (2.5, 160.0)}
+    assert out["silver.historical"].count() == 40
+
+
+def test_bad_rows_are_listed_and_reloading_changes_nothing(spark, tmp_path):
+    store, source = chains.Lake(spark, str(tmp_path / "lake")), tmp_path / "dump"
+    dump(source, "btcusdt", range(3))
+    path = source / "btcusdt_raw_klines.json"
+    path.write_text(path.read_text().replace(str(START + 3_600_000), '"soon"', 1))
+    counts = set()
+    for _ in range(3):
+        out = chains.load_candles(store, str(source))
+        assert [r.reject_reason for r in out["rejected"].collect()] == ["open_time_null"]
+        counts.add((store.bronze_candles().read().count(), out["silver.historical"].count()))
+    assert counts == {(2, 2)}
+
+
+def test_known_articles_are_not_scored_again(spark, tmp_path):
+    store, asked = chains.Lake(spark, str(tmp_path)), []
+
+    def messages(*names):
+        sent = [{"source": "s", "title": f"bull {n}", "url": n, "published_at": "2026-01-01T10:00:00Z"} for n in names]
+        df = spark.createDataFrame([(json.dumps(a),) for a in sent], "raw_value string")
+        return df.withColumn("ingested_at", F.current_timestamp())
+
+    def scorer(df):
+        asked.append(sorted(r.url for r in df.select("url").collect()))
+        return chains.lexicon_sentiment(df, "title")
+
+    chains.load_news(store, messages("a", "b"), scorer)
+    chains.load_news(store, messages("a", "b"), scorer)
+    out = chains.load_news(store, messages("b", "c"), scorer)
+    assert asked == [["a", "b"], ["c"]]
+    assert out["news_sentiment"].count() == 3
+    assert out["market_sentiment"].first().total_articles == 3
+
+
 def test_news_to_dashboard(spark, tmp_path):
     store = chains.Lake(spark, str(tmp_path))
     articles = [

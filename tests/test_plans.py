@@ -122,8 +122,22 @@ def test_upsert_reads_only_the_touched_partitions(spark, tables, tmp_path):
     table = lake.LakeTable(spark, path, ["symbol", "event_time"], ["day"])
     table.overwrite(rows)
     few = rows.filter("day in (3, 4)")
-    text = plan(lake.Partitions(few, ["day"]).inside(table.read()))
-    assert re.search(r"PartitionFilters: \[.*day#\d+ IN \([34],[34]\)", text)
+    days = few.select("day").distinct()
+    text = plan(table._inside(table.read(), days))
+    assert "dynamicpruning" in text or "LeftSemi" in text
+
+
+def test_newest_day_reports_read_their_input_once(spark, candles, tables, tmp_path):
+    path = str(tmp_path / "daily")
+    bars.daily_ohlcv(candles).write.parquet(path)
+    daily = spark.read.parquet(path)
+    for df in (
+        dashboard.market_overview(daily, tables.coins()),
+        dashboard.top_gainers(daily),
+        dashboard.top_losers(daily),
+        dashboard.distinct_coins(daily),
+    ):
+        assert plan(df).count("FileScan parquet") == 1
 
 
 def test_per_key_values_are_joined_without_moving_the_rows(candles):

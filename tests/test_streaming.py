@@ -192,6 +192,31 @@ def test_alerts_fire_once(spark, folder, files, shuffled):
     assert sorted(fired) == sorted(r.id for r in want.collect()) and len(fired) > 5
 
 
+def test_an_alert_fires_again_after_rearming(spark, folder):
+    schema = "id long, user_id long, symbol string, condition string, threshold double, is_active boolean"
+    active = iter([True, True, False, True, True])
+    fired = []
+    for k in range(5):
+        data = [(k, "A", 50.0, 1.0, START + timedelta(hours=k))]
+        source = write_files(spark, data, folder("in"), 1, False)
+        alerts = spark.createDataFrame([(1, 1, "A", "above", 40.0, next(active))], schema)
+        streams.stream_alerts(
+            silver.parse_ticks(bronze(spark, source)), lambda alerts=alerts: alerts, folder("fired"),
+            folder("ckpt"), trigger=CATCH_UP,
+        ).awaitTermination()
+        fired.append(spark.read.parquet(folder("fired")).count())
+    assert fired == [1, 1, 1, 2, 2]
+    assert spark.read.parquet(folder("fired_latch")).count() == 1
+
+
+def test_ties_in_time_take_price_and_volume_of_one_tick(spark, folder):
+    at = START + timedelta(hours=3)
+    data = [(k, "A", p, v, at) for k, (p, v) in enumerate([(5.0, 9.0), (7.0, 1.0), (6.0, 4.0)])]
+    source = write_files(spark, data, folder("in"), 1, False)
+    bar = bars_of(spark, source, folder, "1 day").first()
+    assert (bar.open_price, bar.close_price, bar.total_volume) == (5.0, 6.0, 4.0)
+
+
 def test_alerts_by_last_price(spark, folder):
     data = [(i, "A", p, 1.0, START + timedelta(hours=i)) for i, p in enumerate([5.0, 50.0, 20.0])]
     source = write_files(spark, data, folder("in"), 1, False)

@@ -131,6 +131,10 @@ def change_rules() -> dict[str, Column]:
     }
 
 
+def _at_position(picks: str, position: Column) -> Column:
+    return F.get(F.filter(picks, lambda pick: pick["_seq"] == position), F.lit(0))
+
+
 def apply_changes(
     table: DataFrame,
     changes: DataFrame,
@@ -144,36 +148,49 @@ def apply_changes(
     """The table after a log of inserts, partial updates and deletes, applied in ``seq`` order.
 
     An update changes only its non-null fields. Changes of rows that do not exist are ignored;
-    with the owner among ``keys`` so are changes by anybody else. The log is folded to one row
-    per key by one partial aggregation: a field's last value counts when it is not older than
-    the key's last insert or delete, so no key's history is ever brought together or sorted.
+    with the owner among ``keys`` so are changes by anybody else. Columns of the table that are
+    neither keys nor fields keep their stored values and are null in inserted rows. Columns
+    named in ``upper`` are compared and stored in upper case, keys as well.
+
+    The log is folded by one partial aggregation to the positions that count: a key's last insert
+    or delete, and for each field the last change that names it. Positions are numbers, so no
+    key's history is brought together or sorted; only the changes at these positions are read
+    again for their values, at most one per field and key.
     """
-    op, at = F.col(op_col), F.col(seq)
-    is_reset = op.isin("insert", "delete")
-    log = changes.withColumns({name: F.upper(name) for name in upper if name in fields})
-    folded = [
-        F.max(F.when(is_reset, at)).alias("_reset"),
-        F.max_by(op, F.when(is_reset, at)).alias("_reset_op"),
-    ]
+    keys = list(keys)
+    at = F.col(seq)
+    kind = F.when(F.col(op_col) == "insert", 1).when(F.col(op_col) == "delete", 2).otherwise(0)
+    raised = {name: F.upper(name) for name in upper if name in (*fields, *keys)}
+    log = changes.withColumns({**raised, "_kind": kind})
+    # Positions double as (position, kind) numbers: the last insert or delete and which it was.
+    folded = [F.max(F.when(F.col("_kind") > 0, at * 2 + F.col("_kind") - 1)).alias("_reset")]
     for name in fields:
-        given = F.when((op != "delete") & F.col(name).isNotNull(), at)
-        folded += [
-            F.max(given).alias(f"_at_{name}"),
-            F.max_by(name, given).alias(f"_new_{name}"),
-        ]
+        given = (F.col("_kind") != 2) & F.col(name).isNotNull()
+        folded.append(F.max(F.when(given, at)).alias(f"_at_{name}"))
     latest = log.groupBy(*keys).agg(*folded)
+    if fields:
+        named = F.array(*[F.col(f"_at_{name}") for name in fields])
+        picks = (
+            log.select(*keys, at.alias("_seq"), *[F.col(n).alias(f"_new_{n}") for n in fields])
+            .join(latest.select(*keys, named.alias("_named")), keys)
+            .filter(F.array_contains("_named", F.col("_seq")))
+            .groupBy(*keys)
+            .agg(F.collect_list(F.struct("_seq", *[f"_new_{n}" for n in fields])).alias("_picks"))
+        )
+        latest = latest.join(picks, keys, "left")
 
-    joined = table.withColumn("_stored", F.lit(True)).join(latest, list(keys), "full_outer")
-    inserted = F.coalesce(F.col("_reset_op") == "insert", F.lit(False))
-    deleted = F.coalesce(F.col("_reset_op") == "delete", F.lit(False))
+    stored = table.withColumns({n: F.upper(n) for n in upper if n in keys})
+    joined = stored.withColumn("_stored", F.lit(True)).join(latest, keys, "full_outer")
+    reset_at, was_delete = F.floor(F.col("_reset") / 2), F.col("_reset") % 2 == 1
+    inserted = F.coalesce(~was_delete, F.lit(False))
+    deleted = F.coalesce(was_delete, F.lit(False))
     alive = ~deleted & (inserted | F.coalesce(F.col("_stored"), F.lit(False)))
-    out = []
+    out = {}
     for name in fields:
-        changed = F.when(
-            F.col("_reset").isNull() | (F.col(f"_at_{name}") >= F.col("_reset")),
-            F.col(f"_new_{name}"),
-        )
+        here = F.col(f"_at_{name}")
+        pick = _at_position("_picks", here)
+        changed = F.when(F.col("_reset").isNull() | (here >= reset_at), pick[f"_new_{name}"])
         base = F.when(inserted, F.lit((defaults or {}).get(name))).otherwise(F.col(name))
         kind = table.schema[name].dataType
-        out.append(F.coalesce(changed.cast(kind), base.cast(kind)).alias(name))
-    return joined.filter(alive).select(*keys, *out)
+        out[name] = F.coalesce(changed.cast(kind), base.cast(kind)).alias(name)
+    return joined.filter(alive).select(*[out.get(name, F.col(name)) for name in table.columns])

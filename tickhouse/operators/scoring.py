@@ -114,6 +114,13 @@ def lexicon_sentiment(
     ).drop("_w", "_p", "_n")
 
 
+def article_key(news: DataFrame) -> Column:
+    """The article's own id, or one derived from its link and title."""
+    given = F.col("article_id").cast("string") if "article_id" in news.columns else F.lit(None)
+    link = F.col("url") if "url" in news.columns else F.lit("")
+    return F.coalesce(given, F.sha2(F.concat_ws("|", link, "title"), 256))
+
+
 def enrich_news(
     news: DataFrame,
     scorer: Callable[[DataFrame], DataFrame],
@@ -124,11 +131,8 @@ def enrich_news(
 
     ``scorer`` adds the three columns of ``score_sentiment`` to a frame.
     """
-    given = F.col("article_id").cast("string") if "article_id" in news.columns else F.lit(None)
-    link = F.col("url") if "url" in news.columns else F.lit("")
-    derived = F.sha2(F.concat_ws("|", link, "title"), 256)
     return scorer(news).select(
-        F.coalesce(given, derived).alias("article_id"),
+        article_key(news).alias("article_id"),
         "title",
         symbol_from_title(F.col("title"), rules, mode).alias("symbol"),
         "published_at",

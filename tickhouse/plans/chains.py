@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from tickhouse import schemas
 from tickhouse.functions import temporal
 from tickhouse.operators import bars, dashboard, dedup, mood, quality, silver
-from tickhouse.operators.incremental import new_rows
-from tickhouse.operators.scoring import enrich_news, lexicon_sentiment
+from tickhouse.operators.scoring import article_key, enrich_news, lexicon_sentiment
 from tickhouse.session import settle
 from tickhouse.sources.files import SYMBOL_IN_PATH, read_kline_files
 from tickhouse.sources.lake import LakeTable, read_lake, read_lake_stream
@@ -68,46 +67,48 @@ def load_candles(
     lake: Lake,
     dump: str,
     symbol_pattern: str = SYMBOL_IN_PATH,
-    per_symbol: bool = True,
     as_of: Column | None = None,
     publish: Publish = keep_only,
 ) -> dict[str, DataFrame]:
-    """Candle dumps to bronze (upsert), new clean rows to silver, then the daily bars.
+    """Candle dumps to bronze (upsert), clean rows to silver, then the daily bars.
 
     With ``as_of`` also the market summary of that day, with today's bar from the lake's ticks,
-    and the quality report over both. A dump that is loaded again changes nothing.
+    and the quality report over both. A dump that is loaded again changes nothing, and candles
+    that cannot be placed (no symbol or no time) are not loaded; ``out["rejected"]`` has them with
+    their reason.
+
+    Each layer is brought up to date by what differs from the layer below, not by what this load
+    added, so corrected candles reach silver and gold, and a load that a crash cut short is
+    made up for by the next one. Silver takes only candles of the dump's time range.
     """
     bronze = lake.bronze_candles()
-    dumped = read_kline_files(lake.spark, dump, symbol_pattern)
+    dumped = settle(read_kline_files(lake.spark, dump, symbol_pattern), "dump")
     calendar = tuple(part for part in lake.candle_parts if part != "symbol")
     # A dump repeats its symbol's whole history; only what is new or corrected is written.
     values = [name for name in dumped.columns if name not in ("symbol", "open_time", "ingested_at")]
-    bronze.upsert(temporal.with_parts(dumped, "open_time", calendar), compare=values)
+    rejected = bronze.upsert(temporal.with_parts(dumped, "open_time", calendar), compare=values)
 
     stored = lake.table("silver", "historical")
+    span = dumped.agg(F.min("open_time").alias("low"), F.max("open_time").alias("high"))
     rows = bronze.read()
-    first_load = not stored.exists()
-    if not first_load:
-        rows = new_rows(rows, stored.read(), "open_time", "symbol" if per_symbol else None)
+    if stored.exists():
+        low, high = span.select("low").scalar(), span.select("high").scalar()
+        rows = temporal.since_year(rows, low).filter(F.col("open_time").between(low, high))
     clean = dedup.dedup_keys(
         silver.silver_klines(rows), ["symbol", "open_time"], [F.desc("ingested_at")]
     )
-    days = clean.select("symbol", temporal.day_of(F.col("open_time")).alias("date")).distinct()
-    touched = settle(days, "touched")  # before the load changes what is new
-    if first_load:
-        stored.overwrite(clean)
-    else:
-        stored.append(clean)
+    stored.upsert(clean, compare=values)
     stored.compact()
 
     daily = lake.table("gold", "gold_daily_ohlcv")
-    candles = silver.stg_historical(stored.read())
-    if daily.exists():
-        daily.upsert(bars.daily_ohlcv_touched(candles, touched))
-    else:
-        daily.overwrite(bars.daily_ohlcv(candles))
+    fresh = bars.daily_ohlcv(silver.stg_historical(stored.read()))
+    daily.upsert(fresh, compare=[name for name in fresh.columns if name not in ("symbol", "date")])
     publish("silver.historical", stored.read())
-    out = {"silver.historical": stored.read(), "gold_daily_ohlcv": daily.read()}
+    out = {
+        "silver.historical": stored.read(),
+        "gold_daily_ohlcv": daily.read(),
+        "rejected": rejected,
+    }
     if as_of is not None:
         prices = lake.silver_prices()
         ticks = prices.read() if prices.exists() else _empty(lake, schemas.PRICES)
@@ -165,14 +166,31 @@ def load_news(
     latest_prices: DataFrame | None = None,
     publish: Publish = keep_only,
 ) -> dict[str, DataFrame]:
-    """News messages to silver, scored and tagged, then daily mood and dashboard rows."""
+    """News messages to silver, scored and tagged, then daily mood and dashboard rows.
+
+    Articles are stored once by url and title, however often a feed sends them, and only those
+    that have no score yet are scored.
+    """
     parsed = parse_payload(messages, schemas.NEWS_PAYLOAD, keep=("ingested_at",))
     news = lake.table("silver", "news")
-    news.overwrite(silver.silver_news(parsed, ("url", "title")))
+    clean = settle(silver.silver_news(parsed, ("url", "title")), "news")
+    if news.exists():
+        held = news.read().select("url", "title").alias("h")
+        same = [F.col(f"h.{c}").eqNullSafe(F.col(f"c.{c}")) for c in ("url", "title")]
+        clean = settle(clean.alias("c").join(held, same, "left_anti"), "new-news")
+    if not news.exists() or not clean.isEmpty():
+        news.append(clean)
     rate = scorer or (lambda df: lexicon_sentiment(df, "title"))
     scored = lake.table("silver", "news_sentiment")
+    unscored = news.read()
+    if scored.exists():
+        keyed = unscored.withColumn("article_id", article_key(unscored))
+        unscored = settle(
+            keyed.join(scored.read().select("article_id"), "article_id", "left_anti"), "unscored"
+        )
     # Written before it is used twice, so that no text is scored twice.
-    scored.overwrite(enrich_news(news.read(), rate))
+    if not scored.exists() or not unscored.isEmpty():
+        scored.append(settle(enrich_news(unscored, rate), "scored"))
     publish("silver.news", news.read())
     publish("silver.news_sentiment", scored.read())
     market = lake.table("gold", "market_sentiment")

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickhouse.operators.accounts import evaluate_alerts
 from tickhouse.operators.bars import latest_prices, merge_latest
 from tickhouse.operators.silver import silver_ticks, stg_prices
+from tickhouse.session import settle
 from tickhouse.sources.lake import LakeTable, append_stream
 from tickhouse.sources.messages import bronze_envelope, read_message_stream
 from tickhouse.sources.serving import jdbc_stream_append
@@ -18,6 +19,8 @@ from tickhouse.sources.serving import jdbc_stream_append
 Trigger = Mapping[str, object]
 EVERY_30_SECONDS: Trigger = {"processingTime": "30 seconds"}
 CATCH_UP: Trigger = {"availableNow": True}
+# Fired alerts of so many batches share a folder.
+BATCHES_PER_FOLDER = 1000
 
 stream_to_serving = jdbc_stream_append
 
@@ -99,10 +102,12 @@ def stream_dedup(
 def stream_daily_bars(sdf: DataFrame, delay: str) -> DataFrame:
     """Daily bars of a tick stream, for update mode.
 
-    Rows arrive in any order, so first and last are chosen by event time. Like the batch form,
-    the volume is the last rolling total. Ticks behind the watermark no longer change a bar.
+    Rows arrive in any order, so first and last are chosen by event time, and among ticks of one
+    time by their offset where the stream has it, so price and volume come from one tick and a
+    replay gives the same bar. Like the batch form, the volume is the last rolling total. Ticks
+    behind the watermark no longer change a bar.
     """
-    when = F.col("event_time")
+    when = F.struct("event_time", "offset") if "offset" in sdf.columns else F.col("event_time")
     bars = (
         sdf.withWatermark("event_time", delay)
         .groupBy(F.window("event_time", "1 day").alias("w"), "symbol")
@@ -158,39 +163,53 @@ def stream_alerts(
     look_at: str = "extremes",
     trigger: Trigger = EVERY_30_SECONDS,
 ) -> StreamingQuery:
-    """Append every alert to ``fired_path`` when it first fires; each fires once.
+    """Store every alert in ``fired_path`` when it fires; it fires again only after re-arming.
 
     A batch is reduced to one row per symbol before it meets the alerts, so the work is the
     size of the ticks plus the size of the alerts, never their product. ``extremes`` fires on
     any price in the batch; ``last`` on its newest price, as polling would. ``alerts`` is asked
-    for the current alerts in every batch. What fired is one partition per batch, which a
-    replay overwrites with the same rows; alerts of other batches' partitions stay latched. Batch
-    numbers belong to a checkpoint, so a folder of fired alerts has one checkpoint for life.
+    for the current alerts in every batch.
+
+    ``<fired_path>_latch`` holds one row per alert that ever fired: the batch it last fired in and
+    the batch that last found it switched off. An alert is latched from the first until the
+    second. Both are only looked at as far as they are older than the running batch, so a replay
+    comes to the same result. Fired alerts are keyed by alert and batch; batch numbers belong to a
+    checkpoint, so a folder of fired alerts has one checkpoint for life.
     """
     reduce_batch = {"extremes": batch_extremes, "last": batch_last}[look_at]
     spark = ticks.sparkSession
     fired_schema = (
         "id bigint, user_id bigint, symbol string, condition string, threshold double, "
-        "current_price double, batch_id bigint"
+        "current_price double, batch_id bigint, batches bigint"
+    )
+    fired = LakeTable(spark, fired_path, ["id", "batch_id"], ["batches"], schema=fired_schema)
+    latch = LakeTable(
+        spark, f"{fired_path.rstrip('/')}_latch", ["id"], schema="id bigint, fired bigint, released bigint"
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        hits = evaluate_alerts(alerts(), reduce_batch(batch), "high_price", "low_price")
-        if batch_id > 0:
-            before = (
-                spark.read.schema(fired_schema)
-                .option("ignoreMissingFiles", True)
-                .parquet(fired_path)
-                .filter(F.col("batch_id") < batch_id)
+        now = F.lit(batch_id).cast("bigint")
+        listed = alerts()
+        hits = evaluate_alerts(listed, reduce_batch(batch), "high_price", "low_price")
+        released = None
+        if latch.exists():
+            state = latch.read().filter(
+                (F.col("fired") < now) & (F.col("released").isNull() | (F.col("released") >= now))
             )
-            hits = hits.join(before.select("id"), "id", "left_anti")
-        (
-            hits.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(fired_path)
+            off = listed.filter(~F.col("is_active")).select("id")
+            hits = hits.join(state.select("id"), "id", "left_anti")
+            released = state.join(off, "id", "left_semi").withColumn("released", now)
+        # Spark asks for the hits twice; they must not change when the latch does.
+        hits = settle(
+            hits.withColumns({"batch_id": now, "batches": F.floor(now / BATCHES_PER_FOLDER)}), "hits"
         )
+        changed = hits.select("id", now.alias("fired"), F.lit(None).cast("bigint").alias("released"))
+        if released is not None:
+            changed = settle(changed.unionByName(released), "latch")
+        if not hits.isEmpty():
+            fired.upsert(hits)
+        if not changed.isEmpty():
+            latch.upsert(changed)
 
     return _foreach(ticks, write, checkpoint, trigger)
 

@@ -522,6 +522,62 @@ def _(t):
     )
 
 
+FLAT = (
+    "select open_time, symbol, case symbol when 'CLICK' then 7.0 when 'ERROR' then 60000.1 + close / 1e6 "
+    "when 'VIEW' then 60000.1 + close / 1e6 else close end as close from klines"
+)
+
+
+@query(
+    "a12_flat_series",
+    "select a.symbol as symbol_a, b.symbol as symbol_b, case when max(a.close) > min(a.close) "
+    "and max(b.close) > min(b.close) then round(covar_pop(a.close - a.l, b.close - b.l) / "
+    "stddev_pop(a.close - a.l) / stddev_pop(b.close - b.l), 4) end as correlation "
+    "from (select k.*, case when symbol in ('ERROR', 'VIEW') then 60000.1 else 0 end as l "
+    f"from ({FLAT}) k) a join (select k.*, case when symbol in ('ERROR', 'VIEW') then 60000.1 "
+    f"else 0 end as l from ({FLAT}) k) b on a.open_time = b.open_time group by 1, 2",
+    "klines",
+)
+def _(t):
+    """A constant series, and small steps on a high level."""
+    high = F.lit(60000.1) + F.col("close") / 1e6
+    close = F.when(F.col("symbol") == "CLICK", 7.0).when(F.col("symbol").isin("ERROR", "VIEW"), high)
+    rows = t.klines().withColumn("close", close.otherwise(F.col("close")))
+    return analytics.correlation_matrix(rows, SYMBOLS).withColumn(
+        "correlation", F.round("correlation", 4)
+    )
+
+
+@query(
+    "w7_zero_start",
+    "select symbol, open_time, case when s > 0 then round(v / s * 100, 6) end as performance from "
+    "(select *, first_value(v) over (partition by symbol order by open_time) as s from (select "
+    "symbol, open_time, case when symbol = 'VIEW' and open_time < timestamp '2024-01-02' then 0 "
+    "else close end as v from klines))",
+    "klines",
+)
+def _(t):
+    start = (F.col("symbol") == "VIEW") & (F.col("open_time") < F.expr("timestamp_ntz'2024-01-02'"))
+    rows = t.klines().select(
+        "symbol", "open_time", F.when(start, F.lit(0.0)).otherwise(F.col("close")).alias("v")
+    )
+    return series.relative_performance(rows, "symbol", "open_time", "v").select(
+        "symbol", "open_time", F.round("performance", 6).alias("performance")
+    )
+
+
+@query(
+    "j8_constant_mood",
+    "select symbol, cast(null as double) as same_day_corr, cast(null as double) as next_day_corr, "
+    f"count(*) as days from ({VS_PRICE}) group by symbol",
+    "mood summary",
+)
+def _(t):
+    """All neutral: no correlation, and no failure."""
+    joined = dashboard.sentiment_vs_price(market(t), summary(t))
+    return dashboard.sentiment_price_correlation(joined.withColumn("avg_sentiment_score", F.lit(0.0)))
+
+
 STOP = ", ".join(f"'{w}'" for w in analytics.STOPWORDS)
 WORDS = (
     "select word, count(*) as count from (select unnest(regexp_extract_all(lower({col}), "
@@ -1002,13 +1058,13 @@ def change_log(t: Tables):
     "case when volume_24h < 70 then price end as threshold, "
     "case when volume_24h > 90 then false end as is_active "
     "from ticks t join events e on t.event_id = e.event_id), "
-    "base as (select id, symbol, condition, threshold, is_active from alerts), "
+    "base as (select id, user_id, symbol, condition, threshold, is_active from alerts), "
     "reset as (select id, max(seq) as r, arg_max(op, seq) as rop from log "
     "where op <> 'update' group by id), "
     "fold as (select l.id, max(rop) as rop, "
     + ", ".join(f"{FOLD.format(f=f)} as {f}" for f in FIELDS)
     + " from log l left join reset s on l.id = s.id group by l.id) "
-    "select coalesce(b.id, f.id) as id, coalesce(f.symbol, case when rop is null then b.symbol end) "
+    "select coalesce(b.id, f.id) as id, b.user_id, coalesce(f.symbol, case when rop is null then b.symbol end) "
     "as symbol, coalesce(f.condition, case when rop is null then b.condition end) as condition, "
     "coalesce(f.threshold, case when rop is null then b.threshold end) as threshold, "
     "coalesce(f.is_active, case when rop is null then b.is_active else true end) as is_active "
@@ -1022,6 +1078,65 @@ def _(t):
     )
 
 
+@query(
+    "u5_positions",
+    "select * from (with log as (select event_id as seq, event_id % 20000 as id, case symbol "
+    "when 'SIGNUP' then 'insert' when 'ERROR' then 'delete' else 'update' end as op, "
+    "case when volume_24h > 60 then symbol end as symbol, "
+    "case when volume_24h > 20 then event_id % 9 end as quantity, "
+    "case when price > 20 then price end as avg_buy_price from ticks), "
+    "reset as (select id, max(seq) as r, arg_max(op, seq) as rop from log "
+    "where op <> 'update' group by id), "
+    "fold as (select l.id, max(rop) as rop, "
+    + ", ".join(f"{FOLD.format(f=f)} as {f}" for f in ("symbol", "quantity", "avg_buy_price"))
+    + " from log l left join reset s on l.id = s.id group by l.id) "
+    "select coalesce(b.id, f.id) as id, b.user_id, "
+    + ", ".join(
+        f"coalesce(f.{f}, case when rop is null then b.{f} end) as {f}"
+        for f in ("symbol", "quantity", "avg_buy_price")
+    )
+    + " from positions b full outer join fold f on b.id = f.id "
+    "where coalesce(rop, 'none') <> 'delete' and (rop = 'insert' or b.id is not null))",
+    "ticks positions",
+)
+def _(t):
+    kind, price, volume = F.col("symbol"), F.col("price"), F.col("volume_24h")
+    log = t.ticks().select(
+        F.col("event_id").alias("seq"),
+        (F.col("event_id") % 20000).alias("id"),
+        F.when(kind == "SIGNUP", "insert").when(kind == "ERROR", "delete").otherwise("update")
+        .alias("op"),
+        F.when(volume > 60, F.lower(kind)).alias("symbol"),
+        F.when(volume > 20, F.col("event_id") % 9).alias("quantity"),
+        F.when(price > 20, price).alias("avg_buy_price"),
+    )
+    return accounts.apply_changes(
+        t.positions(), log, ["id"], "seq", "op", ["symbol", "quantity", "avg_buy_price"]
+    )
+
+
+@query(
+    "u5_watchlist",
+    "select * from (with listed as (select distinct user_id, symbol from alerts), "
+    "last as (select user_id % 30 as user_id, upper(event_type) as symbol, "
+    "arg_max(value > 50, event_id) as added from events group by 1, 2) "
+    "select coalesce(b.user_id, l.user_id) as user_id, coalesce(b.symbol, l.symbol) as symbol, "
+    "case when b.user_id is not null then 'stored' end as memo "
+    "from listed b full outer join last l on b.user_id = l.user_id and b.symbol = l.symbol "
+    "where coalesce(added, true))",
+    "alerts",
+)
+def _(t):
+    listed = t.alerts().select("user_id", "symbol").distinct().withColumn("memo", F.lit("stored"))
+    log = t.raw("events").select(
+        F.col("event_id").alias("seq"),
+        (F.col("user_id") % 30).alias("user_id"),
+        F.lower("event_type").alias("symbol"),
+        F.when(F.col("value") > 50, "insert").otherwise("delete").alias("op"),
+    )
+    return accounts.apply_changes(listed, log, ["user_id", "symbol"], "seq", "op", [])
+
+
 # -- quality ---------------------------------------------------------------------------
 
 
@@ -1052,6 +1167,45 @@ def _(t):
     return quality.score_range(market(t)).select("symbol", "sentiment_date")
 
 
+@query(
+    "q1_planted",
+    "select symbol, date from daily where date_part('day', date) % 3 = 0 and high_price > low_price",
+    "daily",
+)
+def _(t):
+    """Every third day has its extremes exchanged."""
+    third = F.dayofmonth("date") % 3 == 0
+    swapped = bars.daily_ohlcv(t.klines()).withColumns(
+        {
+            "low_price": F.when(third, F.col("high_price")).otherwise(F.col("low_price")),
+            "high_price": F.when(third, F.col("low_price")).otherwise(F.col("high_price")),
+        }
+    )
+    return quality.low_le_high(swapped).select("symbol", "date")
+
+
+@query(
+    "q2_planted",
+    "select symbol, date, 2::bigint as cnt from daily where date_part('day', date) % 4 = 0",
+    "daily",
+)
+def _(t):
+    """Every fourth day is there twice."""
+    daily = bars.daily_ohlcv(t.klines())
+    return quality.unique_symbol_date(daily.unionByName(daily.filter(F.dayofmonth("date") % 4 == 0)))
+
+
+@query(
+    "q3_planted",
+    "select symbol, sentiment_date from mood where abs(avg_sentiment_score * 2) > 1",
+    "mood",
+)
+def _(t):
+    """Scores are doubled, which takes the strong ones out of their range."""
+    doubled = market(t).withColumn("avg_sentiment_score", F.col("avg_sentiment_score") * 2)
+    return quality.score_range(doubled).select("symbol", "sentiment_date")
+
+
 @query(
     "q4_volume_positive",
     "select symbol, open_time, volume as total_volume from klines where volume <= 0",

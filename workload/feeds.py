@@ -47,6 +47,29 @@ def silver_table(t: Tables, parts=DAYS) -> lake.LakeTable:
     return lake.LakeTable(t.spark, path, ["symbol", "event_time"], parts, newest)
 
 
+ENVELOPES = (
+    "select symbol as kafka_key, 'crypto.prices' as topic, (event_id % 4)::int as partition, "
+    "event_id as offset, event_time as kafka_timestamp, symbol as said_symbol, price as said_price, "
+    "volume_24h as said_volume, epoch_us(event_time) // 1000 as said_time, source as said_source from ticks"
+)
+
+
+def with_payload(envelopes):
+    """Envelopes with the fields of their unparsed payload instead of its text."""
+    def said(field, kind="string"):
+        return F.get_json_object("raw_value", f"$.{field}").cast(kind)
+
+    return envelopes.withColumns(
+        {
+            "said_symbol": said("symbol"),
+            "said_price": said("price", "double"),
+            "said_volume": said("volume_24h", "double"),
+            "said_time": said("timestamp", "bigint"),
+            "said_source": said("source"),
+        }
+    ).drop("raw_value", "ingested_at")
+
+
 # -- sources and sinks -----------------------------------------------------------------
 
 
@@ -67,12 +90,11 @@ def _(t):
 
 @query(
     "s2_bronze_envelope",
-    "select symbol as kafka_key, 'crypto.prices' as topic, (event_id % 4)::int as partition, "
-    "event_id as offset, event_time as kafka_timestamp from ticks",
+    ENVELOPES,
     "ticks",
 )
 def _(t):
-    return messages.bronze_envelope(t.messages()).drop("raw_value", "ingested_at")
+    return with_payload(messages.bronze_envelope(t.messages()))
 
 
 @query(
@@ -127,11 +149,11 @@ def _(t):
     return files.read_articles(t.spark, path).drop("description")
 
 
-@query("s6_read_lake", "select event_id, user_id, event_type, value from events")
+@query("s6_read_lake", "select event_id, ts, user_id, event_type, value, props from events")
 def _(t):
     return lake.read_lake(
         t.spark, f"{t.sf_dir}/events.parquet",
-        "event_id bigint, user_id bigint, event_type string, value double",
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     )
 
 
@@ -351,6 +373,28 @@ def _(t):
     return table.read().select("symbol", "event_time", "price")
 
 
+@query(
+    "j2_null_partition",
+    "select event_id, case when event_id % 7 = 0 then 'day_null' when event_id % 5 = 0 then "
+    "'symbol_null' end as reject_reason from ticks",
+    "ticks",
+)
+def _(t):
+    """Rows without a key or partition come back with their reason; all others are stored once."""
+    rows = t.ticks().select(
+        "event_id",
+        F.when((F.col("event_id") % 5 != 0) | (F.col("event_id") % 7 == 0), F.col("symbol")).alias("symbol"),
+        F.when(F.col("event_id") % 7 != 0, F.dayofmonth("event_time")).alias("day"),
+    )
+    table = lake.LakeTable(t.spark, scratch_dir(t.spark, "upsert"), ["event_id", "symbol"], ["day"])
+    for _load in (1, 2):
+        rejected = table.upsert(rows)
+    return (
+        table.read().select("event_id", F.lit(None).cast("string").alias("reject_reason"))
+        .unionByName(rejected.select("event_id", "reject_reason"))
+    )
+
+
 # -- scalar functions ------------------------------------------------------------------
 
 
@@ -575,13 +619,11 @@ def _(t):
 
 @query(
     "r1_bronze_stream",
-    "select symbol as kafka_key, 'crypto.prices' as topic, (event_id % 4)::int as partition, "
-    "event_id as offset, event_time as kafka_timestamp from ticks",
+    ENVELOPES,
     "ticks",
 )
 def _(t):
-    rows = lake.read_lake(t.spark, landed(t), schemas.ENVELOPE)
-    return rows.drop("raw_value", "ingested_at")
+    return with_payload(lake.read_lake(t.spark, landed(t), schemas.ENVELOPE))
 
 
 CLEAN = "select symbol, price, volume_24h, event_time from clean"
@@ -624,6 +666,55 @@ def _(t):
     return t.spark.read.parquet(out)
 
 
+def landed_feed(t: Tables, sent, topic: str):
+    """Payloads as broker messages, streamed into a bronze folder and read back."""
+    source, path = scratch_dir(t.spark, "feed"), scratch_dir(t.spark, "bronze")
+    sent.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.encode("raw_value", "UTF-8").alias("value"),
+        F.lit(topic).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("id").cast("bigint").alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+    ).repartition(3).write.parquet(source)
+    finished(
+        streams.bronze_stream(
+            t.spark, {"format": "parquet", "path": source, "maxFilesPerTrigger": "1"}, path,
+            scratch_dir(t.spark, "checkpoint"), topic, "earliest", CATCH_UP,
+        )
+    )
+    return lake.read_lake(t.spark, path, schemas.ENVELOPE)
+
+
+@query(
+    "r1_news",
+    "select source, title, article_id::varchar as url, published_at, content, article_id as offset "
+    "from news where title is not null and title <> ''",
+    "news",
+)
+def _(t):
+    sent = news_messages(t).withColumn("id", F.get_json_object("raw_value", "$.url"))
+    rows = messages.parse_payload(landed_feed(t, sent, "crypto.news"), schemas.NEWS_PAYLOAD, keep=["offset"])
+    return rows.filter(F.col("title") != "").select(
+        "source", "title", "url", temporal.iso_timestamp(F.col("published_at")).alias("published_at"),
+        "content", "offset",
+    )
+
+
+@query(
+    "r1_social",
+    "select subreddit, post_id, text, score, created_utc::double as created_utc, type from social",
+    "social",
+)
+def _(t):
+    sent = social_messages(t).withColumn("id", F.monotonically_increasing_id())
+    rows = messages.parse_payload(landed_feed(t, sent, "crypto.social"), schemas.SOCIAL_PAYLOAD)
+    return rows.select(
+        "subreddit", "post_id", "text", F.col("score").cast("int").alias("score"),
+        F.col("created_utc").cast("double").alias("created_utc"), "type",
+    )
+
+
 @query("r5_idempotent_replay", CLEAN, "clean")
 def _(t):
     table = silver_table(t)
@@ -711,14 +802,47 @@ def _(t):
     return chains.load_candles(store, dump, r"symbol=([^/]+)/")["gold_daily_ohlcv"]
 
 
+@query(
+    "p1_corrected_candle",
+    "select symbol, date, open_price, high_price, low_price, close_price + 1 as close_price, "
+    "total_volume from daily",
+    "daily",
+)
+def _(t):
+    """All closes are corrected by a second dump, which reaches the bars."""
+    store = chains.Lake(t.spark, scratch_dir(t.spark, "lake"))
+    chains.load_candles(store, t.kline_dump(), r"symbol=([^/]+)/")
+    again = t.kline_dump(close=F.col("close") + 1)
+    return chains.load_candles(store, again, r"symbol=([^/]+)/")["gold_daily_ohlcv"]
+
+
+@query(
+    "p1_reload_bad_rows",
+    "select symbol, reject_reason, n, stored from (select symbol, 'open_time_null' as reject_reason, "
+    "count(*) as n from klines where date_part('hour', open_time) = 5 group by symbol), "
+    "(select count(*) as stored from klines where date_part('hour', open_time) <> 5)",
+    "klines",
+)
+def _(t):
+    """Candles without a readable time are listed, and three loads are one load."""
+    store = chains.Lake(t.spark, scratch_dir(t.spark, "lake"))
+    opened = F.unix_millis(F.col("open_time").cast("timestamp")).cast("string")
+    dump = t.kline_dump(opened=F.when(F.hour("open_time") == 5, F.lit('"soon"')).otherwise(opened))
+    for _load in range(3):
+        out = chains.load_candles(store, dump, r"symbol=([^/]+)/")
+    stored = store.bronze_candles().read().agg(F.count("*")).scalar()
+    return (
+        out["rejected"].groupBy("symbol", "reject_reason").agg(F.count("*").alias("n"))
+        .withColumn("stored", stored)
+    )
+
+
 @query(
     "p2_prices_chain",
-    "select distinct symbol, event_time::date as date, "
-    "first_value(price) over w as open_price, max(price) over (partition by symbol) as high_price, "
-    "min(price) over (partition by symbol) as low_price, last_value(price) over w as close_price, "
-    "last_value(volume_24h) over w as total_volume from clean "
-    "where event_time::date = (select d from as_of) window w as (partition by symbol "
-    "order by event_time rows between unbounded preceding and unbounded following)",
+    "select symbol, event_time::date as date, arg_min(price, event_time) as open_price, "
+    "max(price) as high_price, min(price) as low_price, arg_max(price, event_time) as close_price, "
+    "arg_max(volume_24h, event_time) as total_volume from clean "
+    "where event_time::date = (select d from as_of) group by 1, 2",
     "clean as_of",
 )
 def _(t):
@@ -760,15 +884,19 @@ def _(t):
 )
 def _(t):
     store = chains.Lake(t.spark, scratch_dir(t.spark, "lake"))
-    post = jsontext.encode("subreddit", "post_id", "title", "text", "score", "num_comments",
-                           "created_utc", "url", "type")
-    sent = t.social().select(post.alias("raw_value"), F.current_timestamp().alias("ingested_at"))
+    sent = social_messages(t)
     # The feed sends every post twice.
     return chains.load_social(store, sent.unionByName(sent)).select(
         "subreddit", "post_id", "text", "created_utc", "created_at", "type"
     )
 
 
+def social_messages(t: Tables):
+    post = jsontext.encode("subreddit", "post_id", "title", "text", "score", "num_comments",
+                           "created_utc", "url", "type")
+    return t.social().select(post.alias("raw_value"), F.current_timestamp().alias("ingested_at"))
+
+
 def gold_tables(t: Tables):
     return gold.build_gold(
         t.ticks(), t.klines(), t.news_sentiment(), t.as_of(), normalize=False,

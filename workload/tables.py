@@ -193,14 +193,20 @@ class Tables:
             "latestFirst": str(backwards).lower(),
         }
 
-    def kline_dump(self) -> str:
-        """The candles as dump files of JSON arrays, in one folder per symbol."""
+    def kline_dump(self, close: Column | None = None, opened: Column | None = None) -> str:
+        """The candles as dump files of JSON arrays, in one folder per symbol.
+
+        ``close`` replaces the closes and ``opened`` the text of the opening times.
+        """
         path = scratch_dir(self.spark, "klines")
         k = self.klines()
+        written = opened
+        if close is not None:
+            k = k.withColumn("close", close)
         opened = F.unix_millis(F.col("open_time").cast("timestamp"))
         texts = ("open", "high", "low", "close", "volume")
         items = [
-            opened.cast("string"),
+            opened.cast("string") if written is None else written,
             *[F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"')) for c in texts],
             (opened + 3599999).cast("string"),
             F.lit('"0"'),
@@ -243,27 +249,16 @@ SQL = {
         "count(*) as number_of_trades from ticks group by 1, 2"
     ),
     "daily": (
-        "select distinct symbol, cast(open_time as date) as date, "
-        "first_value(open) over (partition by symbol, cast(open_time as date) order by open_time) "
-        "as open_price, "
-        "max(high) over (partition by symbol, cast(open_time as date)) as high_price, "
-        "min(low) over (partition by symbol, cast(open_time as date)) as low_price, "
-        "last_value(close) over (partition by symbol, cast(open_time as date) order by open_time "
-        "rows between unbounded preceding and unbounded following) as close_price, "
-        "sum(volume) over (partition by symbol, cast(open_time as date)) as total_volume "
-        "from klines where open > 0"
+        "select symbol, open_time::date as date, arg_min(open, open_time) as open_price, "
+        "max(high) as high_price, min(low) as low_price, arg_max(close, open_time) as close_price, "
+        "sum(volume) as total_volume from klines where open > 0 group by 1, 2"
     ),
     "as_of": "select cast(max(ts) as date) as d from events",
     "today": (
-        "select distinct symbol, cast(event_time as date) as date, "
-        "first_value(price) over (partition by symbol order by event_time) as open_price, "
-        "max(price) over (partition by symbol) as high_price, "
-        "min(price) over (partition by symbol) as low_price, "
-        "last_value(price) over (partition by symbol order by event_time "
-        "rows between unbounded preceding and unbounded following) as close_price, "
-        "last_value(volume) over (partition by symbol order by event_time "
-        "rows between unbounded preceding and unbounded following) as total_volume "
-        "from staged where cast(event_time as date) = (select d from as_of)"
+        "select symbol, event_time::date as date, arg_min(price, event_time) as open_price, "
+        "max(price) as high_price, min(price) as low_price, arg_max(price, event_time) as close_price, "
+        "arg_max(volume, event_time) as total_volume from staged "
+        "where event_time::date = (select d from as_of) group by 1, 2"
     ),
     "summary": (
         "select symbol, date, open_price, high_price, low_price, close_price, total_volume "
@@ -292,17 +287,14 @@ SQL = {
         "from news join labels on doc_id = article_id"
     ),
     "mood": (
-        "select date_trunc('day', published_at)::timestamp as sentiment_date, symbol, "
+        "select *, case when avg_sentiment_score > 0.2 then 'Bullish' when avg_sentiment_score < -0.2 "
+        "then 'Bearish' else 'Neutral' end as market_mood from (select "
+        "date_trunc('day', published_at)::timestamp as sentiment_date, symbol, "
         "avg(sentiment_score) as avg_sentiment_score, count(*) as total_articles, "
-        "cast(sum(case when sentiment_label = 'positive' then 1 else 0 end) as bigint) "
-        "as positive_count, "
-        "cast(sum(case when sentiment_label = 'negative' then 1 else 0 end) as bigint) "
-        "as negative_count, "
-        "cast(sum(case when sentiment_label = 'neutral' then 1 else 0 end) as bigint) "
-        "as neutral_count, "
-        "case when avg(sentiment_score) > 0.2 then 'Bullish' "
-        "when avg(sentiment_score) < -0.2 then 'Bearish' else 'Neutral' end as market_mood "
-        "from news_sentiment where sentiment_score is not null group by 1, 2"
+        "count(*) filter (sentiment_label = 'positive') as positive_count, "
+        "count(*) filter (sentiment_label = 'negative') as negative_count, "
+        "count(*) filter (sentiment_label = 'neutral') as neutral_count "
+        "from news_sentiment where sentiment_score is not null group by 1, 2)"
     ),
     "social": (
         "select role as subreddit, conv_id::varchar || '-' || turn::varchar as post_id, "
