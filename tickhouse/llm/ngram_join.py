@@ -98,9 +98,12 @@ def set_table(docs: DataFrame, words: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, alive: DataFrame, words: int) -> DataFrame:
-    """sid, n and grams of the sets in ``alive`` (sid, rep: a document that has it)."""
+    """sid, n and grams of the sets in ``alive`` (sid, rep: a document that has it).
+
+    Neither side has a bound, so the join is always by shuffle and behaves alike at every size.
+    """
     texts = docs.select("doc_id", "text").join(
-        alive.select("rep", "sid"), F.col("doc_id").eqNullSafe(F.col("rep"))
+        alive.select("rep", "sid").hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep"))
     )
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
