@@ -129,12 +129,13 @@ def trailing(
     rows are shuffled once, by series and block; a block is a run of whole time buckets with
     about ``block`` rows, and gets copies of the last ``lookback`` rows before it, so the result
     is the same as over the whole series. Choose ``bucket`` so that one bucket of the busiest
-    series is a fair share of work. Rows without a key or time have no place in a series and
-    are left out.
+    series is a fair share of work. Rows without a key or time have no place in a series; they are
+    kept with nulls in the added columns.
     """
     if lookback > block:
         raise ValueError("lookback must not be larger than a block")
-    placed = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
+    has_place = F.col(key).isNotNull() & F.col(time).isNotNull()
+    placed = df.filter(has_place)
     table = settle(block_table(placed, key, time, lookback, bucket, block), "blocks")
     bucketed = placed.withColumn("_bucket", F.date_trunc(bucket, time))
     rows = (
@@ -155,7 +156,8 @@ def trailing(
     )
     spec = Window.partitionBy(key, "_block").orderBy(time)
     both = rows.unionByName(copies.select(rows.columns)) if lookback else rows
-    return both.withColumns(dict(columns(spec))).filter("_own").drop("_block", "_own")
+    done = both.withColumns(dict(columns(spec))).filter("_own").drop("_block", "_own")
+    return done.unionByName(df.filter(~has_place), allowMissingColumns=True)
 
 
 def sequence_windows(

@@ -132,11 +132,14 @@ def load_prices(
     topic: str = "crypto.prices",
     trigger: streams.Trigger = streams.CATCH_UP,
     publish: Publish = keep_only,
+    files_per_batch: int = 1000,
 ) -> dict[str, DataFrame]:
     """Messages to bronze, bronze to silver, then newest prices and the market summary.
 
-    The summary's history are the lake's daily bars, as far as candles were loaded. Both streams run until they have caught up; with another trigger they are started by
-    ``bronze_stream`` and ``silver_stream`` directly and the gold part runs on its own.
+    The summary's history are the lake's daily bars, as far as candles were loaded. Both streams run
+    until they have caught up; with another trigger they are started by ``bronze_stream`` and
+    ``silver_stream`` directly and the gold part runs on its own. ``files_per_batch`` bounds what
+    one batch of a backlog reads; the message source has its own limit in ``source``.
     """
     bronze_path = lake.path("bronze", "prices")
     streams.bronze_stream(
@@ -146,7 +149,9 @@ def load_prices(
     table = lake.silver_prices()
     newest = lake.table("gold", "gold_latest_prices")
     streams.silver_stream(
-        read_lake_stream(lake.spark, bronze_path, schemas.ENVELOPE),
+        read_lake_stream(
+            lake.spark, bronze_path, schemas.ENVELOPE, {"maxFilesPerTrigger": str(files_per_batch)}
+        ),
         table, lake.checkpoint("silver_prices"), trigger, parts=lake.tick_parts, latest=newest,
     ).awaitTermination()
 

@@ -78,18 +78,18 @@ def stream_dedup(
     keys: Sequence[str],
     time: str,
     delay: str,
-    spread_by: str | None = None,
+    spread_by: str | None = "offset",
     slices: int = 16,
 ) -> DataFrame:
     """The first row per key, remembering keys only as long as the watermark requires.
 
     A stateful operator cannot combine rows before its shuffle, so copies of one hot key would
-    all meet in one task. ``spread_by`` (a column that differs between copies, such as the
-    message offset) dedups within slices of the copies first, and only one row per slice and
-    key reaches the final step.
+    all meet in one task. ``spread_by`` (a column that differs between copies; the message offset,
+    where there is one) dedups within slices of the copies first, and only one row per slice and
+    key reaches the final step. None turns that off.
     """
     out = sdf.withWatermark(time, delay)
-    if spread_by is not None:
+    if spread_by in sdf.columns:
         slice_of = F.pmod(F.xxhash64(spread_by), F.lit(slices))
         out = (
             out.withColumn("_slice", slice_of)

@@ -212,6 +212,41 @@ def _(t):
     return dashboard.dashboard_stats(bars.latest_prices(t.staged_ticks()), market(t))
 
 
+@query(
+    "j1_normalized",
+    "select coalesce(p.symbol, s.symbol) as symbol, latest_price, latest_volume_24h, "
+    "last_updated, avg_sentiment_score, market_mood, sentiment_date as last_sentiment_update, "
+    "count(case when latest_price > 1 then 1 end) over () as active_coins "
+    "from latest_prices p full outer join (select * from mood qualify row_number() over "
+    "(partition by symbol order by sentiment_date desc) = 1) s on p.symbol = s.symbol",
+    "latest_prices mood",
+)
+def _(t):
+    """Prices named by pair meet news named by coin."""
+    prices = bars.latest_prices(t.staged_ticks())
+    pairs = prices.withColumn("symbol", F.concat("symbol", F.lit("USDT")))
+    return dashboard.dashboard_stats(pairs, market(t), normalize=True)
+
+
+@query(
+    "a5_market_report",
+    "select * from (with newest as (select symbol, round(case when open_price > 0 then (close_price - open_price) / "
+    "open_price * 100 else 0 end, 2) as c, total_volume from summary "
+    "where date = (select max(date) from summary)) select round(sum(total_volume), 2) as "
+    "total_volume_24h, (select string_agg(symbol, ',' order by c desc, symbol) from (select * from "
+    "newest order by c desc, symbol limit 3)) as gainers, (select string_agg(symbol, ',' order by "
+    "c desc, symbol) from (select * from newest order by c, symbol desc limit 3)) as losers from newest)",
+    "summary",
+)
+def _(t):
+    def names(movers):
+        return F.array_join(F.transform(movers, lambda coin: coin["symbol"]), ",")
+
+    return dashboard.market_report(summary(t), t.coins(), 3).select(
+        "total_volume_24h", names("top_gainers").alias("gainers"), names("top_losers").alias("losers")
+    )
+
+
 FIRED = (
     "select id, user_id, a.symbol, condition, threshold, close_price as current_price "
     "from alerts a join (select symbol, close_price from summary "
@@ -898,6 +933,26 @@ def _(t):
     )
 
 
+@query(
+    "w11_null_keys",
+    "select event_id, symbol, round((price - p) / nullif(p, 0) * 100, 6) as price_change_pct from "
+    "(select *, case when symbol is not null then lag(price) over (partition by symbol order by "
+    "event_time) end as p from (select event_id, case when event_id % 9 <> 0 then symbol end as "
+    "symbol, event_time, price from ticks))",
+    "ticks",
+)
+def _(t):
+    """Rows without a symbol keep their place in the table, without a change."""
+    rows = t.ticks().select(
+        "event_id", F.when(F.col("event_id") % 9 != 0, F.col("symbol")).alias("symbol"),
+        "event_time", "price",
+    )
+    moved = series.pct_changes(rows, "symbol", "event_time", ["price"])
+    return moved.select(
+        "event_id", "symbol", F.round("price_change_pct", 6).alias("price_change_pct")
+    )
+
+
 # -- sorts and top-k -------------------------------------------------------------------
 
 
@@ -1287,6 +1342,22 @@ def _(t):
     ).select("article_id", F.round("sentiment_score", 8).alias("sentiment_score"), "sentiment_label")
 
 
+@query(
+    "g1_whole_texts_unsigned",
+    "select article_id, case when trim(content) = '' then 0 else (length(content) % 100) / 100::double "
+    "end as sentiment_score, case when trim(content) = '' then 'neutral' when length(content) % 3 = 0 "
+    "then 'positive' when length(content) % 3 = 1 then 'negative' else 'neutral' end as "
+    "sentiment_label from news",
+    "news",
+)
+def _(t):
+    """Whole texts, with the model's confidence as it is."""
+    scored = scoring.score_sentiment(
+        t.news().select("article_id", "content"), "content", local_scorer(), signed=False
+    )
+    return scored.select("article_id", "sentiment_score", "sentiment_label")
+
+
 def local_scorer():
     """The stand-in as a closure, which workers get by value and need not import."""
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickhouse import schemas
 from tickhouse.functions import jsontext, numeric, temporal, text
-from tickhouse.operators import accounts, quality, silver
+from tickhouse.operators import accounts, quality, scoring, silver
 from tickhouse.plans import chains, gold
 from tickhouse.session import scratch_dir
 from tickhouse.sources import files, lake, messages
@@ -515,18 +515,19 @@ def _(t):
 
 @query(
     "x9_case_coalesce",
-    "select event_id, case when volume_24h > 50 then 'high' when volume_24h > 10 then 'mid' "
-    "else 'low' end as class, coalesce(case when price > 20 then symbol end, 'none') "
-    "as name, (case when price > 20 then symbol end) is null as missing from ticks",
-    "ticks",
+    "select article_id, case sentiment_label when 'positive' then abs(sentiment_score) when 'negative' "
+    "then -abs(sentiment_score) else 0 end as signed, case when abs(sentiment_score) > 0.75 "
+    "then 'Bullish' when abs(sentiment_score) < 0.35 then 'Bearish' else 'Neutral' end as class "
+    "from news_sentiment",
+    "news_sentiment",
 )
 def _(t):
-    volume = F.col("volume_24h")
-    maybe = F.when(F.col("price") > 20, F.col("symbol"))
-    return t.ticks().select(
-        "event_id",
-        F.when(volume > 50, "high").when(volume > 10, "mid").otherwise("low").alias("class"),
-        F.coalesce(maybe, F.lit("none")).alias("name"), maybe.isNull().alias("missing"),
+    """The library's own CASE expressions: signed scores and mood classes."""
+    strength = F.abs("sentiment_score")
+    return t.news_sentiment().select(
+        "article_id",
+        scoring.signed_score(strength, F.col("sentiment_label")).alias("signed"),
+        numeric.mood(strength - 0.55).alias("class"),
     )
 
 
