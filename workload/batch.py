@@ -1308,6 +1308,10 @@ def _hits(lexicon):
     )
 
 
+def title_hits(lexicon):
+    return _hits(lexicon).replace("content", "title")
+
+
 @query(
     "g2_lexicon_sentiment",
     "select article_id, round(case when p + n > 0 then (p - n)::double / (p + n) else 0 end, 8) "
@@ -1383,9 +1387,9 @@ TAG = (
     "case when p + n > 0 then (p - n)::double / (p + n) else 0 end as sentiment_score, "
     "case when p > n then 'positive' when p < n then 'negative' else 'neutral' end "
     "as sentiment_label, source from (select *, "
-    + _hits(POS).replace("content", "title")
+    + title_hits(POS)
     + " as p, "
-    + _hits(NEG).replace("content", "title")
+    + title_hits(NEG)
     + " as n from news)",
     "news",
 )

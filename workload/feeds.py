@@ -11,6 +11,7 @@ from tickhouse.plans import chains, gold
 from tickhouse.session import scratch_dir
 from tickhouse.sources import files, lake, messages
 from tickhouse.streaming import ticks as streams
+from workload import batch
 from workload.registry import query
 from workload.tables import TOPIC, Tables
 
@@ -213,6 +214,28 @@ def _(t):
     ).csv(path)
 
 
+@query(
+    "s14_export_odd_values",
+    "select event_id::varchar as \"Id\", coalesce(case when event_id % 3 <> 0 then 'say \"' || symbol || "
+    "'\",' || chr(10) || 'x' end, '') as \"Said\", '{\"v\":' || (event_id % 5) || '}' as \"Nested\" "
+    "from ticks",
+    "ticks",
+)
+def _(t):
+    """Nulls, quotes, commas, line feeds and nested values survive the CSV."""
+    path = scratch_dir(t.spark, "csv")
+    said = F.concat(F.lit('say "'), F.col("symbol"), F.lit('",\nx'))
+    rows = t.ticks().select(
+        "event_id", F.when(F.col("event_id") % 3 != 0, said).alias("said"),
+        F.struct((F.col("event_id") % 5).alias("v")).alias("nested"),
+    )
+    files.export_csv(rows, path, {"event_id": "Id", "said": "Said", "nested": "Nested"})
+    back = t.spark.read.options(header=True, escape='"', multiLine=True, emptyValue="").schema(
+        "Id string, Said string, Nested string"
+    ).csv(path)
+    return back.withColumn("Said", F.coalesce("Said", F.lit("")))
+
+
 @query(
     "s14_export_json",
     "select title as \"Title\", published_at as \"Published\", source as \"Source\" from news",
@@ -860,21 +883,27 @@ def news_messages(t: Tables):
     return t.news().select(article.alias("raw_value"), F.current_timestamp().alias("ingested_at"))
 
 
-@query(
-    "p3_news_chain",
-    "select date_trunc('day', published_at)::timestamp as sentiment_date, symbol, "
-    "count(*) as total_articles from (select published_at, case "
-    "when contains(lower(title), 'bitcoin') or contains(lower(title), 'btc') then 'BTC' "
-    "when contains(lower(title), 'ethereum') or contains(lower(title), 'eth') then 'ETH' "
-    "when contains(lower(title), 'ripple') or contains(lower(title), 'xrp') then 'XRP' "
-    "when contains(lower(title), 'shiba') or contains(lower(title), 'shib') then 'SHIB' "
-    "else 'Other' end as symbol from news) group by 1, 2",
-    "news",
+# Days and symbols of scored titles, every column of the mood table.
+TITLE_MOOD = (
+    "select *, case when avg_sentiment_score > 0.2 then 'Bullish' when avg_sentiment_score < -0.2 then "
+    "'Bearish' else 'Neutral' end as market_mood from (select date_trunc('day', published_at)::timestamp "
+    f"as sentiment_date, {batch.TAG} as symbol, round(avg(case when p + n > 0 then (p - n)::double / "
+    "(p + n) else 0 end), 8) as avg_sentiment_score, count(*) as total_articles, "
+    "count(*) filter (p > n) as positive_count, count(*) filter (p < n) as negative_count, "
+    f"count(*) filter (p = n) as neutral_count from (select *, {batch.title_hits(batch.POS)} as p, "
+    f"{batch.title_hits(batch.NEG)} as n from news) group by 1, 2)"
 )
+
+
+@query("p3_news_chain", TITLE_MOOD, "news")
 def _(t):
+    """Two loads, the second of all articles again: none is stored or scored twice."""
     store = chains.Lake(t.spark, scratch_dir(t.spark, "lake"))
-    market = chains.load_news(store, news_messages(t))["market_sentiment"]
-    return market.select("sentiment_date", "symbol", "total_articles")
+    rate = lambda df: scoring.lexicon_sentiment(df, "title", batch.POS, batch.NEG)
+    first = news_messages(t)
+    chains.load_news(store, first.filter(F.pmod(F.xxhash64("raw_value"), F.lit(2)) == 0), rate)
+    market = chains.load_news(store, first, rate)["market_sentiment"]
+    return market.withColumn("avg_sentiment_score", F.round("avg_sentiment_score", 8))
 
 
 @query(
@@ -905,29 +934,53 @@ def gold_tables(t: Tables):
     )
 
 
-@query(
-    "p4_build_gold",
-    "select 'gold_daily_ohlcv' as model, count(*) as rows, count(distinct symbol) as symbols "
-    "from daily union all select 'gold_latest_prices', count(*), count(distinct symbol) "
-    "from latest_prices union all select 'market_sentiment', count(*), count(distinct symbol) "
-    "from mood union all select 'daily_market_summary', count(*), count(distinct symbol) "
-    "from summary union all select 'gold_dashboard_stats', count(*), count(distinct symbol) "
-    "from (select coalesce(p.symbol, m.symbol) as symbol from latest_prices p full outer join "
-    "(select distinct symbol from mood) m on p.symbol = m.symbol)",
-    "daily latest_prices mood summary",
+GOLD_ROWS = (
+    "select 'gold_daily_ohlcv' as model, symbol, date::varchar as day, open_price as a, close_price as b, "
+    "total_volume as c from daily union all "
+    "select 'daily_market_summary', symbol, date::varchar, open_price, close_price, total_volume "
+    "from summary union all "
+    "select 'gold_latest_prices', symbol, last_updated::date::varchar, latest_price, latest_volume_24h, "
+    "null from latest_prices union all "
+    "select 'market_sentiment', symbol, sentiment_date::date::varchar, round(avg_sentiment_score, 8), "
+    "total_articles, positive_count from mood union all "
+    "select 'gold_dashboard_stats', coalesce(p.symbol, m.symbol), m.sentiment_date::date::varchar, "
+    "latest_price, round(avg_sentiment_score, 8), "
+    "(select count(*) from latest_prices where latest_price > 1) from latest_prices p full outer join "
+    "(select * from mood qualify row_number() over (partition by symbol order by sentiment_date desc) "
+    "= 1) m on p.symbol = m.symbol"
 )
+
+
+@query("p4_build_gold", GOLD_ROWS, "daily latest_prices mood summary")
 def _(t):
-    written = gold_tables(t)
-    counts = [
-        df.agg(
-            F.lit(name).alias("model"), F.count("*").alias("rows"),
-            F.count_distinct("symbol").alias("symbols"),
+    """Every row of every gold table, as a day and three values."""
+    values = {
+        "gold_daily_ohlcv": ("date", "open_price", "close_price", "total_volume"),
+        "daily_market_summary": ("date", "open_price", "close_price", "total_volume"),
+        "gold_latest_prices": ("last_updated", "latest_price", "latest_volume_24h", None),
+        "market_sentiment": ("sentiment_date", "avg_sentiment_score", "total_articles", "positive_count"),
+        "gold_dashboard_stats": (
+            "last_sentiment_update", "latest_price", "avg_sentiment_score", "active_coins"
+        ),
+    }
+    parts = []
+    for name, df in gold_tables(t).items():
+        day, *columns = values[name]
+        numbers = [
+            F.round(F.col(c).cast("double"), 8) if c == "avg_sentiment_score"
+            else F.col(c).cast("double") if c else F.lit(None).cast("double")
+            for c in columns
+        ]
+        parts.append(
+            df.select(
+                F.lit(name).alias("model"), "symbol",
+                F.col(day).cast("date").cast("string").alias("day"),
+                *[n.alias(label) for n, label in zip(numbers, "abc")],
+            )
         )
-        for name, df in written.items()
-    ]
-    out = counts[0]
-    for df in counts[1:]:
-        out = out.unionByName(df)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
 
 
