@@ -14,7 +14,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 # Bytes of text that one pass handles; a text above it is a pass of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
