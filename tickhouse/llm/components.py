@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.session import settle
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(
+    links: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = settle
+) -> DataFrame:
     """(node, root) for every end of the links (a, b), root being the least node it is linked with.
 
     Every round hands the neighbours of a node on to the least of them, so paths shrink by more
     than half, and the number of links never grows. Minima are combined before they are shuffled
     and joins may split popular nodes; nothing of the graph is collected. Rounds are written to
-    the shared folder and end when a round changes nothing. Nodes without links are not returned.
+    the shared folder by ``keep`` and end when a round changes nothing. Nodes without links are not
+    returned.
     """
     up = F.greatest("a", "b")
     down = F.least("a", "b")
-    edges = settle(
+    edges = keep(
         links.where(F.col("a") != F.col("b")).select(up.alias("a"), down.alias("b")).distinct(),
         "links",
     )
@@ -38,8 +43,8 @@ def components(links: DataFrame) -> DataFrame:
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .distinct()
         )
-        large = settle(large, "large-star")
+        large = keep(large, "large-star")
         root = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(root, "a")
         small = joined.select("b", "m").where(F.col("b") != F.col("m")).union(joined.select("a", "m"))
-        edges = settle(small.toDF("a", "b").distinct(), "small-star")
+        edges = keep(small.toDF("a", "b").distinct(), "small-star")

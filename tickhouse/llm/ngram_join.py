@@ -18,7 +18,7 @@ is exact: two sets of one component need no link of their own any more.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 
 from tickhouse.llm.arrays import Rolling, lower, mix, signed, text_blocks, word_spans
 from tickhouse.llm.components import components
-from tickhouse.session import settle
+from tickhouse.llm.scratch import Scratch
+
+Keep = Callable[[DataFrame, str], DataFrame]
 
 WORDS = 4
 # Similarity of at least this many hundredths.
@@ -131,14 +133,17 @@ def prefix_size(n: Column, hundredths: int) -> Column:
     return n - F.ceil(n * hundredths / F.lit(100)).cast("long") + 1
 
 
-def prefixes(full: DataFrame, hundredths: int) -> DataFrame:
+def prefixes(full: DataFrame, hundredths: int, keep: Keep) -> DataFrame:
     """sid, n, own (n-grams of this set alone) and the rest of the prefixes: by_count, by_hash1/2.
 
     N-grams of one set come first in every order, so a prefix is ``own`` of them and what follows.
     Sets whose own n-grams fill the prefix cannot link and are left out.
     """
     rows = full.select("sid", "n", F.explode("grams").alias("gram"))
-    counts = rows.groupBy("gram").agg(F.count("*").alias("df")).where(F.col("df") > 1)
+    # Written, because Spark splits a hot n-gram's rows only where both sides of a join are shuffled.
+    counts = keep(
+        rows.groupBy("gram").agg(F.count("*").alias("df")).where(F.col("df") > 1), "counts"
+    )
     shared = rows.join(counts, "gram")
     grouped = shared.groupBy("sid", "n").agg(F.collect_list(F.struct("df", "gram")).alias("shared"))
     own = F.col("n") - F.size("shared")
@@ -191,13 +196,13 @@ def verified(pairs: DataFrame, orders: DataFrame, full: DataFrame, hundredths: i
     )
 
 
-def set_links(full: DataFrame, hundredths: int) -> DataFrame:
+def set_links(full: DataFrame, hundredths: int, keep: Keep) -> DataFrame:
     """Links (a, b) between the sets of ``full`` whose components are those of all links."""
-    orders = settle(prefixes(full, hundredths), "prefixes")
+    orders = keep(prefixes(full, hundredths, keep), "prefixes")
     postings = orders.select(
         "sid", "n", (F.col("own") / F.col("n")).alias("alone"), "own", F.posexplode("by_count").alias("pos", "gram")
     ).withColumn("rest", F.col("n") - F.col("own") - F.col("pos"))
-    hubs = (
+    hubs = keep(
         postings.groupBy("gram")
         .agg(F.min(F.struct("alone", "sid", "n", "rest")).alias("hub"), F.count("*").alias("sets"))
         .where(F.col("sets") > 1)
@@ -206,11 +211,12 @@ def set_links(full: DataFrame, hundredths: int) -> DataFrame:
             F.col("hub.sid").alias("hub"),
             F.col("hub.n").alias("hub_n"),
             F.col("hub.rest").alias("hub_rest"),
-        )
+        ),
+        "hubs",
     )
-    rows = settle(postings.select("gram", "sid", "n", "rest").join(hubs, "gram"), "postings")
+    rows = keep(postings.select("gram", "sid", "n", "rest").join(hubs, "gram"), "postings")
     pair = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    first = settle(
+    first = keep(
         rows.where(F.col("sid") != F.col("hub"))
         .where(may_link(F.col("n"), F.col("rest"), F.col("hub_n"), F.col("hub_rest"), hundredths))
         .select(F.col("hub").alias("x"), F.col("sid").alias("y"))
@@ -218,8 +224,8 @@ def set_links(full: DataFrame, hundredths: int) -> DataFrame:
         .distinct(),
         "hub-pairs",
     )
-    links = settle(verified(first, orders, full, hundredths), "hub-links")
-    roots = components(links)
+    links = keep(verified(first, orders, full, hundredths), "hub-links")
+    roots = components(links, keep)
     labelled = (
         rows.join(roots.withColumnRenamed("node", "sid"), "sid", "left")
         .withColumn("root", F.coalesce("root", "sid"))
@@ -228,7 +234,7 @@ def set_links(full: DataFrame, hundredths: int) -> DataFrame:
         .withColumn("apart", F.col("root") != F.col("hub_root"))
         .select("gram", "sid", "n", "rest", "root", "apart")
     )
-    labelled = settle(labelled, "labelled")
+    labelled = keep(labelled, "labelled")
     apart = labelled.where("apart").select(
         "gram", F.col("sid").alias("x"), F.col("n").alias("nx"), F.col("rest").alias("rx"), F.col("root").alias("root_x")
     )
@@ -242,7 +248,7 @@ def set_links(full: DataFrame, hundredths: int) -> DataFrame:
         .distinct()
         .join(first, ["a", "b"], "left_anti")
     )
-    return links.union(verified(settle(across, "cross-pairs"), orders, full, hundredths))
+    return links.union(verified(keep(across, "cross-pairs"), orders, full, hundredths))
 
 
 def link_components(docs: DataFrame, words: int = WORDS, hundredths: int = HUNDREDTHS) -> DataFrame:
@@ -256,9 +262,11 @@ def link_components(docs: DataFrame, words: int = WORDS, hundredths: int = HUNDR
     Extra columns are ignored; an empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = settle(set_table(docs, words), "sets")
+    work = Scratch(docs.sparkSession)
+    keep = work.keep
+    sets = keep(set_table(docs, words), "sets")
     named = sets.where(F.col("n") > 0)
-    reps = settle(
+    reps = keep(
         named.groupBy("sid").agg(F.max("n").alias("n"), F.min("doc_id").alias("rep")), "set-names"
     )
     grams = named.select("sid", F.explode("low").alias("gram"))
@@ -272,13 +280,14 @@ def link_components(docs: DataFrame, words: int = WORDS, hundredths: int = HUNDR
     alive = reps.join(alone, "sid", "left").where(
         F.coalesce("alone", F.lit(0)) < prefix_size(F.col("n"), hundredths)
     )
-    full = settle(full_sets(docs, settle(alive.select("sid", "rep"), "alive"), words), "full-sets")
-    roots = components(set_links(full, hundredths)).toDF("sid", "root")
+    full = keep(full_sets(docs, keep(alive.select("sid", "rep"), "alive"), words), "full-sets")
+    roots = components(set_links(full, hundredths, keep), keep).toDF("sid", "root")
     placed = reps.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     least = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
     labels = placed.join(least, "root").select("sid", "component_id")
-    return sets.select("doc_id", "n", "sid").join(labels, "sid", "left").select(
+    result = sets.select("doc_id", "n", "sid").join(labels, "sid", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+    return work.finish(result)[0]

@@ -25,7 +25,7 @@ third of all documents is one class after its first round.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickhouse.llm.arrays import Rolling, blocks, column_bytes, mix, ranges, signed, text_blocks
-from tickhouse.session import settle
+from tickhouse.llm.scratch import Scratch
 
 THRESHOLD = 200
 CORE = 48
@@ -238,19 +238,23 @@ def open_ranks(classes: DataFrame, rank: str) -> DataFrame:
     )
 
 
-def repeated_starts(docs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+def repeated_starts(
+    docs: DataFrame, texts: DataFrame, threshold: int, keep: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
     """Intervals of repeated starts: text_name, from, to (places in the text)."""
     items = texts.select("text_name", F.inline("items"))
     place = F.xxhash64("text_name", "spot").alias("place")
     ranks = items.select("core", place)
-    known = (
+    # Written, because Spark splits a hot rank's rows only where both sides of a join are shuffled.
+    known = keep(
         ranks.groupBy("core")
         .agg(F.min("place").alias("least"), F.max("place").alias("last"))
         .where(F.col("least") < F.col("last"))
-        .select("core")
+        .select("core"),
+        "shared-cores",
     )
-    shared = settle(items.join(known, "core").select("*", place), "shared-anchors")
-    classes = settle(rank_classes(shared, "core", "span"), "anchor-classes")
+    shared = keep(items.join(known, "core").select("*", place), "shared-anchors")
+    classes = keep(rank_classes(shared, "core", "span"), "anchor-classes")
     done = shared.join(classes.where("repeated").select("core", "span"), ["core", "span"]).select(
         "text_name",
         unpacked("first").alias("from"),
@@ -259,7 +263,7 @@ def repeated_starts(docs: DataFrame, texts: DataFrame, threshold: int) -> DataFr
     members = classes.join(open_ranks(classes, "core"), "core").select(
         "core", "span", F.col("least").alias("place"), "repeated"
     )
-    members = settle(
+    members = keep(
         shared.join(members, ["core", "span", "place"]).select("text_name", "place", "spot", "repeated"),
         "open-anchors",
     )
@@ -274,7 +278,7 @@ def repeated_starts(docs: DataFrame, texts: DataFrame, threshold: int) -> DataFr
         .join(reps, "text_name")
         .select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.sha").alias("sha"), "text_name", "items")
     )
-    regions = settle(region_table(docs, wanted, threshold), "regions")
+    regions = keep(region_table(docs, wanted, threshold), "regions")
     single = members.where(~F.col("repeated")).select("place").distinct()
     intervals = regions.select(
         "place",
@@ -284,8 +288,8 @@ def repeated_starts(docs: DataFrame, texts: DataFrame, threshold: int) -> DataFr
     )
     found = []
     for size in BLOCKS:
-        rows = settle(block_ranks(regions.join(intervals, "place"), size, threshold), f"blocks-{size}")
-        classes = settle(rank_classes(rows, "common", "covered"), f"classes-{size}")
+        rows = keep(block_ranks(regions.join(intervals, "place"), size, threshold), f"blocks-{size}")
+        classes = keep(rank_classes(rows, "common", "covered"), f"classes-{size}")
         found.append(
             rows.join(classes.where("repeated").select("common", "covered"), ["common", "covered"])
             .join(single, "place", "left_semi")
@@ -320,11 +324,13 @@ def removed_spans(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE)
     """
     if not GRAM <= core <= threshold < 1 << 16:
         raise ValueError(f"core must be from {GRAM} to the threshold, which must be below 65536")
-    table = settle(text_table(docs, threshold, core), "texts")
+    work = Scratch(docs.sparkSession)
+    keep = work.keep
+    table = keep(text_table(docs, threshold, core), "texts")
     copies = table.groupBy("text_name").agg(
         F.count("*").alias("copies"), F.max("n_bytes").alias("size")
     )
-    starts = repeated_starts(docs, table, threshold)
+    starts = repeated_starts(docs, table, threshold, keep)
     partly = starts.groupBy("text_name").agg(
         F.collect_list(F.struct(F.col("from"), (F.col("to") + threshold).alias("to"))).alias("found")
     )
@@ -343,7 +349,8 @@ def removed_spans(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE)
         )
     )
     texts = table.select("doc_id", "n_bytes", "sha", "text_name")
-    return texts, settle(spans, "spans")
+    texts, spans = work.finish(texts, spans)
+    return texts, spans
 
 
 def merge_spans(found):
