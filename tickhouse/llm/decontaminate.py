@@ -197,15 +197,14 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     labels = spark.sparkContext.broadcast([names[i] for i in range(len(names))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.int64())
         for batch in batches:
-            rows = []
-            for _, _, data, starts in text_blocks(batch):
-                rows += summarize(data, starts, [b.value for b in blocks], labels.value)
-            if batch.num_rows:
-                kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.int64())
+            for first, last, data, starts in text_blocks(batch):
+                rows = summarize(data, starts, [b.value for b in blocks], labels.value)
                 new = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, *new], names=[*batch.schema.names, *added]
+                    [*batch.slice(first, last - first).columns, *new],
+                    names=[*batch.schema.names, *added],
                 )
 
     longs = T.LongType()

@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 from tickhouse.llm.arrays import Rolling, lower, ranges, text_blocks, word_spans
 
 # Documented bounds of the training sample: about so many labelled documents, at most so many bytes.
-TRAIN_DOCS = 10_000
-TRAIN_BYTES = 48 << 20
+TRAIN_DOCS = 8_000
+TRAIN_BYTES = 32 << 20
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
@@ -355,10 +355,10 @@ def with_scores(docs: DataFrame, model: Model) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.from_bytes(shared.value)
         for batch in batches:
-            if batch.num_rows:
-                parts = [own.scores(data, starts) for _, _, data, starts in text_blocks(batch)]
+            for first, last, data, starts in text_blocks(batch):
+                part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(np.concatenate(parts), pa.float64())],
+                    [*part.columns, pa.array(own.scores(data, starts), pa.float64())],
                     names=[*batch.schema.names, "score"],
                 )
 
