@@ -394,6 +394,55 @@ def test_sketches_merge_and_keep_their_error(spark):
     assert abs(fence["high"] - (q3 + reach)) < 0.05 * (q3 + reach)
 
 
+def test_fences_follow_each_group(spark):
+    rng = np.random.default_rng(2)
+    groups = {"a": (0.02, 5.0, 0.1), "b": (0.2, 7.0, 0.3)}
+    rows, wanted = [], {}
+    for source, (scale, middle, spread) in groups.items():
+        ratio = np.where(rng.random(600) < 0.9, 0.0, rng.uniform(0, scale, 600))
+        length = rng.normal(middle, spread, 600)
+        rows += [("en", source, *[float(x)] * 3, float(y)) for x, y in zip(ratio, length)]
+        q1, q3 = np.quantile(length, [0.25, 0.75])
+        tail = np.quantile(ratio, quality.TAIL)
+        wanted[source] = (tail, q3 + quality.REACH * (q3 - q1), q1 - quality.REACH * (q3 - q1))
+    names = ", ".join(f"{r} double" for r in quality.RULES)
+    got = {
+        r["source"]: r
+        for r in quality.thresholds(frame(spark, rows, f"lang string, source string, {names}"), 0).collect()
+    }
+    for source, (tail, high, low) in wanted.items():
+        for rule in ("symbol_ratio", "dup_line_ratio", "repeat_ratio"):
+            fence = got[source][f"fence_{rule}"]
+            assert fence["low"] is None and abs(fence["high"] - tail) < 0.1 * tail
+        fence = got[source]["fence_word_length"]
+        assert abs(fence["high"] - high) < 0.03 * high and abs(fence["low"] - low) < 0.03 * low
+    assert all(got["a"][f"fence_{r}"]["high"] < got["b"][f"fence_{r}"]["high"] for r in quality.RULES)
+
+
+def test_every_quality_rule_fires(spark):
+    pick = random.Random(6)
+    words = [f"word{k}" for k in range(400)]
+
+    def line(n):
+        return " ".join(pick.choice(words) for _ in range(n))
+
+    rows = [(k, "\n".join(line(8) for _ in range(12)), "en", "s") for k in range(200)]
+    lines = [pick.choice(words) for _ in range(4)] + [line(8) for _ in range(12)]
+    odd = {
+        "symbol_ratio": f"{line(96)} ### $$$",
+        "dup_line_ratio": "\n".join([*lines, *lines[:4]]),
+        "repeat_ratio": line(80) + " " + " ".join(["again and more"] * 4),
+        "word_length": " ".join(f"{w}s" * 2 for w in line(80).split()),
+    }
+    rows += [(1000 + k, text, "en", "s") for k, text in enumerate(odd.values())]
+    got = quality.judge(frame(spark, rows, f"{DOCS}, lang string, source string")).collect()
+    by_id = {r["doc_id"]: r for r in got}
+    assert not any(r["base_failed"] for r in got)
+    for k, rule in enumerate(odd):
+        assert rule in by_id[1000 + k]["failed"] and not by_id[1000 + k]["kept"]
+    assert all(by_id[k]["kept"] for k in range(200))
+
+
 # Packing and files
 
 

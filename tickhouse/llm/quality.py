@@ -4,9 +4,10 @@ A sketch is a histogram over buckets that grow by a fixed factor, so any quantil
 within that relative error. Buckets are counted by one aggregation that combines in every task
 before it shuffles, sketches merge by adding counts, and their size does not depend on the rows.
 
-A document fails a rule if its value lies beyond the fence of its group: the upper quartile plus
-``REACH`` times the larger of the quartiles' distance and a least spread (for the rules in BOTH, the
-lower quartile less as much, too). A group of fewer than ``MIN_GROUP`` documents is judged by the
+A document fails a rule if its value lies beyond the fence of its group. The rules in TAILS have
+values that are mostly zero, so their quartiles say nothing: their fence is the ``TAIL`` quantile of
+the group. The fence of the others is the upper quartile plus ``REACH`` times the quartiles' distance
+(for the rules in BOTH, the lower quartile less as much, too). A group of fewer than ``MIN_GROUP`` documents is judged by the
 fence of its language, and a language as small by the fence of all documents.
 """
 
@@ -30,16 +31,19 @@ COUNTS = (
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
-# Rule: value, least spread. Fixed parameters of the method.
+# Rule: least distance of its quartiles, for groups of values as good as equal; a tail needs none.
 RULES = {
-    "symbol_ratio": 0.015,
-    "dup_line_ratio": 0.15,
-    "repeat_ratio": 0.11,
-    "word_length": 0.5,
+    "symbol_ratio": 0.0,
+    "dup_line_ratio": 0.0,
+    "repeat_ratio": 0.0,
+    "word_length": 0.05,
 }
+# Fixed parameters of the method.
+TAILS = ("symbol_ratio", "dup_line_ratio", "repeat_ratio")
+TAIL = 0.95
 BOTH = ("word_length",)
 REACH = 4.0
-GROWTH = 1.02
+GROWTH = 1.005
 LEAST = 1e-4
 MIN_GROUP = 100
 
@@ -145,6 +149,11 @@ def value_of(bucket: Column) -> Column:
     )
 
 
+def edge_of(bucket: Column) -> Column:
+    """The largest value of a bucket."""
+    return F.pow(F.lit(GROWTH), bucket.cast("double")) * LEAST
+
+
 def sketches(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The sketch of every rule per group: keys, rule, bucket, n (rows of ``rule_values``)."""
     entries = F.explode(
@@ -172,19 +181,23 @@ def fences(sketch: DataFrame, keys: list[str], min_group: int) -> DataFrame:
         "total", F.sum("n").over(whole)
     )
 
-    def quantile(q):
-        return F.min(F.when(F.col("upto") >= q * F.col("total"), value_of(F.col("bucket"))))
+    def quantile(q, of=value_of):
+        return F.min(F.when(F.col("upto") >= q * F.col("total"), of(F.col("bucket"))))
 
     quartiles = ranked.groupBy(*group).agg(
-        quantile(0.25).alias("q1"), quantile(0.75).alias("q3"), F.first("total").alias("total")
+        quantile(0.25).alias("q1"),
+        quantile(0.75).alias("q3"),
+        quantile(TAIL, edge_of).alias("tail"),
+        F.first("total").alias("total"),
     )
     least = F.lit(0.0)
     for rule, spread in RULES.items():
         least = F.when(F.col("rule") == rule, F.lit(spread)).otherwise(least)
     reach = REACH * F.greatest(F.col("q3") - F.col("q1"), least)
     low = F.when(F.col("rule").isin(*BOTH), F.col("q1") - reach)
+    high = F.when(F.col("rule").isin(*TAILS), F.col("tail")).otherwise(F.col("q3") + reach)
     return quartiles.where(F.col("total") >= min_group).select(
-        *group, low.alias("low"), (F.col("q3") + reach).alias("high")
+        *group, low.alias("low"), high.alias("high")
     )
 
 
