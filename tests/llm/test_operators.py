@@ -419,6 +419,17 @@ def test_fences_follow_each_group(spark):
     assert all(got["a"][f"fence_{r}"]["high"] < got["b"][f"fence_{r}"]["high"] for r in quality.RULES)
 
 
+def test_fences_do_not_switch_with_the_group_size(spark):
+    names = ", ".join(f"{r} double" for r in quality.RULES)
+    highs = []
+    for n in (1, 99, 101, 9900):
+        rows = [("en", "big", 0.0, 0.0, 0.0, 5.0)] * (100 * n) + [("en", "s", 0.2, 0.2, 0.2, 5.0)] * n
+        got = quality.thresholds(frame(spark, rows[-2100:], f"lang string, source string, {names}"))
+        highs.append(got.where("source = 's'").first()["fence_symbol_ratio"]["high"])
+    assert highs[0] < 0.01 and abs(highs[1] - 0.1) < 0.005 and 0 <= highs[2] - highs[1] < 0.005
+    assert abs(highs[3] - 0.2) < 0.002
+
+
 def test_every_quality_rule_fires(spark):
     pick = random.Random(6)
     words = [f"word{k}" for k in range(400)]

@@ -7,8 +7,10 @@ before it shuffles, sketches merge by adding counts, and their size does not dep
 A document fails a rule if its value lies beyond the fence of its group. The rules in TAILS have
 values that are mostly zero, so their quartiles say nothing: their fence is the ``TAIL`` quantile of
 the group. The fence of the others is the upper quartile plus ``REACH`` times the quartiles' distance
-(for the rules in BOTH, the lower quartile less as much, too). A group of fewer than ``MIN_GROUP`` documents is judged by the
-fence of its language, and a language as small by the fence of all documents.
+(for the rules in BOTH, the lower quartile less as much, too).
+
+Small groups borrow from coarser ones without a switch: a group's fence is the mean of its own and
+its language's, weighted by its documents and ``PRIOR``, and so is a language's with that of all.
 """
 
 from __future__ import annotations
@@ -45,7 +47,8 @@ BOTH = ("word_length",)
 REACH = 4.0
 GROWTH = 1.005
 LEAST = 1e-4
-MIN_GROUP = 100
+# Documents that the coarser fence counts for.
+PRIOR = 100
 
 
 def line_spans(data: np.ndarray, starts: np.ndarray):
@@ -172,8 +175,8 @@ def merge(sketch: DataFrame, keys: list[str]) -> DataFrame:
     return sketch.groupBy(*keys, "rule", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fences(sketch: DataFrame, keys: list[str], min_group: int) -> DataFrame:
-    """low and high per group and rule, of groups with ``min_group`` rows at least."""
+def fences(sketch: DataFrame, keys: list[str], prior: int) -> DataFrame:
+    """low and high per group and rule, and their weight against a coarser fence of ``prior`` rows."""
     group = [*keys, "rule"]
     running = Window.partitionBy(*group).orderBy("bucket")
     whole = Window.partitionBy(*group)
@@ -196,51 +199,50 @@ def fences(sketch: DataFrame, keys: list[str], min_group: int) -> DataFrame:
     reach = REACH * F.greatest(F.col("q3") - F.col("q1"), least)
     low = F.when(F.col("rule").isin(*BOTH), F.col("q1") - reach)
     high = F.when(F.col("rule").isin(*TAILS), F.col("tail")).otherwise(F.col("q3") + reach)
-    return quartiles.where(F.col("total") >= min_group).select(
-        *group, low.alias("low"), high.alias("high")
-    )
+    weight = F.col("total") / (F.col("total") + F.lit(prior))
+    return quartiles.select(*group, low.alias("low"), high.alias("high"), weight.alias("weight"))
+
+
+def blend(fine: Column, coarse: Column) -> Column:
+    """The fence between two, by the weight of the finer one."""
+    weight = fine["weight"]
 
+    def mean(end):
+        return (weight * fine[end] + (1 - weight) * coarse[end]).alias(end)
 
-def thresholds(rows: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """One row per (lang, source): a struct low_/high_ column per rule, the finest that is known."""
+    return F.struct(mean("low"), mean("high"))
+
+
+def thresholds(rows: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """One row per (lang, source): a struct low_/high_ column per rule, blended with coarser ones."""
     fine = sketches(rows, ["lang", "source"])
     middle = merge(fine, ["lang"])
     coarse = merge(middle, [])
-    groups = fine.select("lang", "source", "rule").distinct()
-    own = fences(fine, ["lang", "source"], min_group).select(
-        F.col("lang").alias("l1"), F.col("source").alias("s1"), F.col("rule").alias("r1"),
-        F.struct("low", "high").alias("own"),
-    )
-    by_lang = fences(middle, ["lang"], min_group).select(
-        F.col("lang").alias("l2"), F.col("rule").alias("r2"), F.struct("low", "high").alias("by_lang")
-    )
-    overall = fences(coarse, [], 1).select(
-        F.col("rule").alias("r3"), F.struct("low", "high").alias("overall")
+    fence = F.struct("low", "high", "weight")
+    own = fences(fine, ["lang", "source"], prior).select("lang", "source", "rule", fence.alias("own"))
+    by_lang = fences(middle, ["lang"], prior).select(
+        F.col("lang").alias("l2"), F.col("rule").alias("r2"), fence.alias("by_lang")
     )
+    overall = fences(coarse, [], prior).select(F.col("rule").alias("r3"), fence.alias("overall"))
     joined = (
-        groups.join(
-            own,
-            groups["lang"].eqNullSafe(F.col("l1"))
-            & groups["source"].eqNullSafe(F.col("s1"))
-            & (groups["rule"] == F.col("r1")),
-            "left",
-        )
-        .join(by_lang, groups["lang"].eqNullSafe(F.col("l2")) & (groups["rule"] == F.col("r2")), "left")
-        .join(overall, groups["rule"] == F.col("r3"), "left")
-        .select("lang", "source", "rule", F.coalesce("own", "by_lang", "overall").alias("fence"))
+        own.join(by_lang, own["lang"].eqNullSafe(F.col("l2")) & (own["rule"] == F.col("r2")))
+        .join(overall, own["rule"] == F.col("r3"))
+        .withColumn("by_lang", blend(F.col("by_lang"), F.col("overall")))
+        .select("lang", "source", "rule", blend(F.col("own"), F.col("by_lang")).alias("fence"))
     )
     return joined.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("rule") == r, F.col("fence"))).alias(f"fence_{r}") for r in RULES]
     )
 
 
-def judge(docs: DataFrame, min_words: int = 50, min_group: int = MIN_GROUP) -> DataFrame:
+def judge(docs: DataFrame, min_words: int = 50, min_group: int = PRIOR) -> DataFrame:
     """``docs`` (text, lang, source and others) with COUNTS, base_failed, failed and kept.
 
     base_failed: fewer than ``min_words`` words, or more than half of them in repeated windows.
     failed lists the rules beyond the fences; kept is false if either says so. Fences are learned
-    from documents that pass the base rules. Null languages and sources are groups like others, null
-    and empty texts have no words, an empty table gives an empty result; every row is kept, columns
+    from documents that pass the base rules; next to a group's own fence, that of its language counts
+    as ``min_group`` documents. Null languages and sources are groups like others, null and empty
+    texts have no words, an empty table gives an empty result; every row is kept, columns
     of the added names are replaced, and the text is not returned.
     """
     added = ("base_failed", "failed", "kept")
