@@ -26,14 +26,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each component of near copies.
+    """The row with the least doc_id, then the least hash of its text, of each component of near copies.
 
-    Of rows with the same doc_id one stays. Rows without a doc_id cannot be told apart and stay.
+    Rows with one doc_id and texts that are not linked all stay, each for its component; of rows with
+    the same doc_id and text the least stays. Rows without a doc_id cannot be told apart and stay.
     """
-    linked = ngram_join.link_components(docs)
-    first = linked.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    first = ngram_join.representatives(docs)
+    mine = docs.withColumn("text_id", F.xxhash64("text")).join(first, ["doc_id", "text_id"], "left_semi")
+    row = F.min(F.struct(*docs.columns)).alias("row")
+    named = mine.groupBy("doc_id", "text_id").agg(row).select("row.*")
+    return named.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -140,6 +140,23 @@ def test_op10(spark, texts):
         start += len(ids)
 
 
+def test_pipeline_keeps_unlinked_texts_of_one_doc_id(spark):
+    one, two, three = (" ".join(f"{w}{k}" for k in range(60)) for w in ("red", "green", "blue"))
+    rows = [
+        (5, one), (5, two), (7, one), (7, two), (5, one), (8, three), (8, three + " end"),
+        (9, ""), (9, None), (9, two), (None, one),
+    ]
+    schema = "doc_id long, text string, lang string"
+    docs = spark.createDataFrame([(*r, "en") for r in rows], schema).repartition(3)
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, SF)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    last = [r for r in got if r[0] == 8]
+    assert len(last) == 1 and last[0][1] in (three, three + " end")
+    wanted = [(5, one), (5, two), (9, ""), (9, None), (None, one), *last]
+    assert got == sorted(wanted, key=repr)
+
+
 def test_pipeline_against_brute_force(spark, oracle, texts):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]

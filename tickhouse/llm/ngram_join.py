@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickhouse.llm.arrays import Rolling, lower, mix, signed, text_blocks, word_spans
 from tickhouse.llm.components import components
@@ -76,7 +77,12 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 
 def set_table(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n (size of the set), sid (its name) and low (its n-grams of the counted quarter)."""
+    """doc_id, n (size of the set), sid (its name) and low (its n-grams of the counted quarter).
+
+    Columns of ``docs`` other than doc_id and text are carried along.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    source = docs.select("doc_id", "text", *others)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,13 +96,15 @@ def set_table(docs: DataFrame, words: int) -> DataFrame:
                         pa.array(counts.astype(np.int64)),
                         pa.array(signed(whole), mask=counts == 0),
                         _lists(signed(name[low]), np.bincount(owner[low], minlength=len(counts))),
+                        *batch.slice(first, last - first).columns[2:],
                     ],
-                    names=["doc_id", "n", "sid", "low"],
+                    names=["doc_id", "n", "sid", "low", *others],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        make, "doc_id long, n long, sid long, low array<long>"
-    )
+    schema = T.StructType.fromDDL("doc_id long, n long, sid long, low array<long>")
+    for c in others:
+        schema.add(source.schema[c])
+    return source.mapInArrow(make, schema)
 
 
 def full_sets(docs: DataFrame, alive: DataFrame, words: int) -> DataFrame:
@@ -263,7 +271,37 @@ def link_components(docs: DataFrame, words: int = WORDS, hundredths: int = HUNDR
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     work = Scratch(docs.sparkSession)
-    keep = work.keep
+    result = labelled_rows(docs, words, hundredths, work.keep).select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
+    return work.finish(result)[0]
+
+
+def representatives(docs: DataFrame, words: int = WORDS, hundredths: int = HUNDREDTHS) -> DataFrame:
+    """doc_id and text_id (``xxhash64`` of the text) of one row of each component with a doc_id.
+
+    The row with the least doc_id, then the least text_id. Rows with one doc_id may be of several
+    components, each of which has its own. Texts without words are components of their own.
+    """
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_id")
+    )
+    work = Scratch(docs.sparkSession)
+    rows = labelled_rows(docs, words, hundredths, work.keep).where(F.col("doc_id").isNotNull())
+    least = (
+        rows.where(F.col("n") > 0)
+        .groupBy("root")
+        .agg(F.min(F.struct("doc_id", "text_id")).alias("row"))
+        .select("row.doc_id", "row.text_id")
+    )
+    alone = rows.where(F.col("n") == 0).select("doc_id", "text_id").distinct()
+    return work.finish(least.union(alone))[0]
+
+
+def labelled_rows(docs: DataFrame, words: int, hundredths: int, keep) -> DataFrame:
+    """The rows of ``set_table`` without low, and for texts with words their root and component_id."""
     sets = keep(set_table(docs, words), "sets")
     named = sets.where(F.col("n") > 0)
     reps = keep(
@@ -284,10 +322,5 @@ def link_components(docs: DataFrame, words: int = WORDS, hundredths: int = HUNDR
     roots = components(set_links(full, hundredths, keep), keep).toDF("sid", "root")
     placed = reps.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     least = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
-    labels = placed.join(least, "root").select("sid", "component_id")
-    result = sets.select("doc_id", "n", "sid").join(labels, "sid", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
-    return work.finish(result)[0]
+    labels = placed.join(least, "root").select("sid", "root", "component_id")
+    return sets.drop("low").join(labels, "sid", "left")
