@@ -12,10 +12,11 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from test_numbers import brute_counts, brute_matches, brute_repeats, brute_sets
 from tickhouse.llm import (
-    attribution, chat, decontaminate, grammar, ngram_join, op05, packing, quality, substrings,
-    toxicity, urls,
+    attribution, chat, decontaminate, grammar, ngram_join, op02, op05, packing, quality,
+    substrings, toxicity, urls,
 )
 from tickhouse.llm.arrays import column_bytes
 from tickhouse.llm.components import components
@@ -353,6 +354,22 @@ def test_repeats_edges(spark):
     assert substrings.remove_repeats(docs.limit(0)).columns == docs.columns
 
 
+# Toxicity
+
+
+def test_toxic_documents_are_found(spark):
+    assert toxicity.TRAIN_DOCS >= 10_000 and toxicity.TRAIN_BYTES >= 48 << 20
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where(op02.held_out())
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    scored = op02.run(spark, sf).where("predicted = 1").select("doc_id").collect()
+    staged = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, sf).select("doc_id").collect()}
+    for marked in ({r["doc_id"] for r in scored}, {k for k in toxic if k not in staged}):
+        found = [toxic[k] for k in marked if k in toxic]
+        assert sum(found) > 0.7 * sum(toxic.values()) and sum(found) > 0.8 * len(found)
+
+
 # Quality
 
 

@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 from tickhouse.llm.arrays import Rolling, lower, ranges, text_blocks, word_spans
 
 # Documented bounds of the training sample: about so many labelled documents, at most so many bytes.
-TRAIN_DOCS = 8_000
-TRAIN_BYTES = 32 << 20
+TRAIN_DOCS = 10_000
+TRAIN_BYTES = 48 << 20
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
