@@ -35,7 +35,7 @@ from tickhouse.llm.arrays import Rolling, lower, signed, text_blocks, word_spans
 from tickhouse.llm.scratch import Scratch
 
 # Bytes of text in a shard; a longer text is a shard of its own.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 # Terms of the items in a block.
 BLOCK_TERMS = 1 << 16
 # Ranges of documents that are opened together.
