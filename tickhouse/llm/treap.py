@@ -40,7 +40,8 @@ SHARD_BYTES = 2 << 20
 BLOCK_TERMS = 1 << 16
 # Ranges of documents that are opened together.
 TOGETHER = 64
-# Shards that a task holds at a time.
+# Documents, and shards, that a task holds at a time.
+DOCS_PER_BATCH = 1000
 SHARDS_PER_BATCH = 4
 
 SHARD = "doc_ids array<long>, terms array<long>, df array<int>, side int, deep int, top long, cells binary, drops binary"
@@ -380,14 +381,16 @@ def searcher(k: int):
 
 @contextmanager
 def rows_per_batch(spark: SparkSession, n: int):
-    """Arrow batches of ``n`` rows for the jobs that run inside; rows of an index are large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, n)
+    """Batches of ``n`` rows for the jobs that run inside: texts, and even more shards, are large rows."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, n)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def top_documents(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
@@ -403,11 +406,12 @@ def top_documents(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     the blocks to the tasks while they are below its broadcast threshold, and pairs partitions beyond.
     """
     work = Scratch(docs.sparkSession)
-    index = index_documents(docs, work.keep)
-    numbered = work.keep(item_terms(items), "items")
-    blocks = work.keep(item_blocks(index, numbered), "blocks").select("items")
-    pairs = index.shards.crossJoin(blocks)
+    with rows_per_batch(docs.sparkSession, DOCS_PER_BATCH):
+        index = index_documents(docs, work.keep)
+        numbered = work.keep(item_terms(items), "items")
     with rows_per_batch(docs.sparkSession, SHARDS_PER_BATCH):
+        blocks = work.keep(item_blocks(index, numbered), "blocks").select("items")
+        pairs = index.shards.crossJoin(blocks)
         found = work.keep(pairs.mapInArrow(searcher(k), "item long, doc_id long, score long"), "found")
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_first("doc_id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
