@@ -32,8 +32,8 @@ def rows(spark, name):
     return {r["doc_id"]: r for r in QUERIES[name](spark, SF).collect()}
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
