@@ -252,10 +252,12 @@ def test_few_passes(spark):
 
 def test_repaired_rows(spark):
     rows = [("c", 0, "system", "Be kind."), ("c", 1, "assistant", "Hello."), ("c", 2, "tool", "Go!"), ("c", 3, None, None)]
+    rows += [("d", 0, "user", "Hi.")]
     df = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
     got = dialogue.Repair(df).rows().orderBy("at", "n").select("edit", "turn", "role", "text").collect()
     assert [tuple(r) for r in got] == [
-        ("K", 0, "system", "Be kind."), ("I", None, "user", ""), ("K", 1, "assistant", "Hello."),
+        ("K", 0, "system", "Be kind."), ("R", 1, "user", "Hello."), ("R", 2, "assistant", "Go!"),
+        ("K", 0, "user", "Hi."), ("I", None, "assistant", ""),
     ]
     assert dialogue.Repair(df.limit(0)).rows().count() == 0
 
