@@ -25,7 +25,7 @@ third of all documents is one class after its first round.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -129,19 +129,16 @@ def region_table(docs: DataFrame, wanted: DataFrame, threshold: int) -> DataFram
 
     ``wanted`` has doc_id, sha and items (place, first, starts, lead) of the texts to read.
     """
-    texts = docs.select("doc_id", "text").join(
-        wanted.withColumnRenamed("doc_id", "rep"), F.col("doc_id").eqNullSafe(F.col("rep"))
-    )
+    # Rows that share a doc_id, or have none, meet by their texts.
+    same = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.sha2("text", 256) == F.col("sha"))
+    texts = docs.select("doc_id", "text").join(wanted.withColumnRenamed("doc_id", "rep"), same)
     kept = ("place", "first", "starts", "lead")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, starts = column_bytes(batch.column(0))
-            shas = batch.column(1).to_pylist()
-            for i, (a, b) in enumerate(zip(starts[:-1], starts[1:])):
-                if hashlib.sha256(data[a:b]).hexdigest() != shas[i]:
-                    continue  # another text of the same doc_id
-                items = batch.column(3)[i].values
+            for i, a in enumerate(starts[:-1]):
+                items = batch.column(2)[i].values
                 place, first, size, lead = (
                     items.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in kept
                 )
@@ -151,7 +148,7 @@ def region_table(docs: DataFrame, wanted: DataFrame, threshold: int) -> DataFram
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(place),
-                        pa.array(np.full(len(place), batch.column(2)[i].as_py())),
+                        pa.array(np.full(len(place), batch.column(1)[i].as_py())),
                         pa.array(first + lead),
                         pa.array(-lead),
                         pa.array(size),
@@ -163,7 +160,7 @@ def region_table(docs: DataFrame, wanted: DataFrame, threshold: int) -> DataFram
                 )
 
     return (
-        texts.select("text", "sha", "text_name", "items")
+        texts.select("text", "text_name", "items")
         .mapInArrow(make, "place long, text_name long, anchor long, low long, starts long, bytes binary")
         .dropDuplicates(["place"])
     )
@@ -239,10 +236,15 @@ def open_ranks(classes: DataFrame, rank: str) -> DataFrame:
 
 
 def repeated_starts(
-    docs: DataFrame, texts: DataFrame, threshold: int, keep: Callable[[DataFrame, str], DataFrame]
-) -> DataFrame:
-    """Intervals of repeated starts: text_name, from, to (places in the text)."""
-    items = texts.select("text_name", F.inline("items"))
+    docs: DataFrame, table: DataFrame, threshold: int, work: Scratch
+) -> tuple[DataFrame, DataFrame]:
+    """(texts, starts): ``table`` without its anchors, and the intervals of repeated starts.
+
+    starts has text_name, from and to (places in the text). A table is deleted after its last reader,
+    ``table`` too.
+    """
+    keep = work.keep
+    items = table.select("text_name", F.inline("items"))
     place = F.xxhash64("text_name", "spot").alias("place")
     ranks = items.select("core", place)
     # Written, because Spark splits a hot rank's rows only where both sides of a join are shuffled.
@@ -254,11 +256,16 @@ def repeated_starts(
         "shared-cores",
     )
     shared = keep(items.join(known, "core").select("*", place), "shared-anchors")
+    texts = keep(table.drop("items"), "texts")
+    work.free(known, table)
     classes = keep(rank_classes(shared, "core", "span"), "anchor-classes")
-    done = shared.join(classes.where("repeated").select("core", "span"), ["core", "span"]).select(
-        "text_name",
-        unpacked("first").alias("from"),
-        (unpacked("first") + unpacked("starts") - 1).alias("to"),
+    done = keep(
+        shared.join(classes.where("repeated").select("core", "span"), ["core", "span"]).select(
+            "text_name",
+            unpacked("first").alias("from"),
+            (unpacked("first") + unpacked("starts") - 1).alias("to"),
+        ),
+        "whole-anchors",
     )
     members = classes.join(open_ranks(classes, "core"), "core").select(
         "core", "span", F.col("least").alias("place"), "repeated"
@@ -267,6 +274,7 @@ def repeated_starts(
         shared.join(members, ["core", "span", "place"]).select("text_name", "place", "spot", "repeated"),
         "open-anchors",
     )
+    work.free(shared, classes)
     reps = texts.groupBy("text_name").agg(F.min(F.struct("sha", "doc_id")).alias("rep"))
     wanted = (
         members.groupBy("text_name")
@@ -279,7 +287,8 @@ def repeated_starts(
         .select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.sha").alias("sha"), "text_name", "items")
     )
     regions = keep(region_table(docs, wanted, threshold), "regions")
-    single = members.where(~F.col("repeated")).select("place").distinct()
+    single = keep(members.where(~F.col("repeated")).select("place").distinct(), "single")
+    work.free(members)
     intervals = regions.select(
         "place",
         F.array(
@@ -290,20 +299,23 @@ def repeated_starts(
     for size in BLOCKS:
         rows = keep(block_ranks(regions.join(intervals, "place"), size, threshold), f"blocks-{size}")
         classes = keep(rank_classes(rows, "common", "covered"), f"classes-{size}")
-        found.append(
+        repeated = (
             rows.join(classes.where("repeated").select("common", "covered"), ["common", "covered"])
             .join(single, "place", "left_semi")
             .select("place", "from", "to")
         )
+        found.append(keep(repeated, f"found-{size}"))
         if size > 1:
             kept = classes.join(open_ranks(classes, "common"), "common").select(
                 "common", "covered", F.col("least").alias("place")
             )
-            intervals = (
+            intervals = keep(
                 rows.join(kept, ["common", "covered", "place"])
                 .groupBy("place")
-                .agg(F.collect_set(F.struct("from", "to")).alias("open"))
+                .agg(F.collect_set(F.struct("from", "to")).alias("open")),
+                f"open-{size}",
             )
+        work.free(rows, classes)
     blocks_done = found[0]
     for more in found[1:]:
         blocks_done = blocks_done.union(more)
@@ -312,7 +324,9 @@ def repeated_starts(
         (F.col("anchor") + F.col("from")).alias("from"),
         (F.col("anchor") + F.col("to")).alias("to"),
     )
-    return done.union(placed)
+    placed = keep(placed, "placed")
+    work.free(regions, *found)
+    return texts, done.union(placed)
 
 
 def removed_spans(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE) -> tuple[DataFrame, DataFrame]:
@@ -325,12 +339,11 @@ def removed_spans(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE)
     if not GRAM <= core <= threshold < 1 << 16:
         raise ValueError(f"core must be from {GRAM} to the threshold, which must be below 65536")
     work = Scratch(docs.sparkSession)
-    keep = work.keep
-    table = keep(text_table(docs, threshold, core), "texts")
-    copies = table.groupBy("text_name").agg(
+    table = work.keep(text_table(docs, threshold, core), "anchors")
+    texts, starts = repeated_starts(docs, table, threshold, work)
+    copies = texts.groupBy("text_name").agg(
         F.count("*").alias("copies"), F.max("n_bytes").alias("size")
     )
-    starts = repeated_starts(docs, table, threshold, keep)
     partly = starts.groupBy("text_name").agg(
         F.collect_list(F.struct(F.col("from"), (F.col("to") + threshold).alias("to"))).alias("found")
     )
@@ -348,7 +361,6 @@ def removed_spans(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE)
             .alias("spans"),
         )
     )
-    texts = table.select("doc_id", "n_bytes", "sha", "text_name")
     texts, spans = work.finish(texts, spans)
     return texts, spans
 
@@ -373,11 +385,12 @@ def merge_spans(found):
     )
 
 
-def cut_spans(texts: DataFrame) -> DataFrame:
+def cut_spans(texts: DataFrame, whole_characters: bool = False) -> DataFrame:
     """Applies ``spans`` to ``text`` of each row: adds kept (bytes), n_removed and n_spans.
 
     ``texts`` has text, spans and other columns; null spans remove nothing, spans are disjoint and
-    ascending. The text is dropped.
+    ascending. With ``whole_characters``, a character of which a byte is removed goes as a whole, so
+    that what is kept is text. The text is dropped.
     """
     others = [c for c in texts.columns if c not in ("text", "spans", "kept", "n_removed", "n_spans")]
     source = texts.select("text", "spans", *[F.col(f"`{c}`") for c in others])
@@ -398,6 +411,11 @@ def cut_spans(texts: DataFrame) -> DataFrame:
             np.add.at(change, begin[span] + shift, 1)
             np.add.at(change, until[span] + shift, -1)
             keep = np.cumsum(change[:-1]) == 0
+            if whole_characters:
+                character = np.cumsum((data & 0xC0) != 0x80) - 1
+                broken = np.zeros(len(data) + 1, bool)
+                broken[character[~keep]] = True
+                keep = ~broken[character]
             left = np.concatenate([[0], np.cumsum(keep)])[starts]
             kept = pa.Array.from_buffers(
                 pa.large_binary(),
@@ -447,8 +465,8 @@ def removal_report(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE
     )
     read = docs.join(
         reps.select("text_name", F.col("rep.doc_id").alias("rep"), F.col("rep.sha").alias("sha"), "spans"),
-        F.col("doc_id").eqNullSafe(F.col("rep")),
-    ).where(F.sha2("text", 256) == F.col("sha"))
+        F.col("doc_id").eqNullSafe(F.col("rep")) & (F.sha2("text", 256) == F.col("sha")),
+    )
     cut = (
         cut_spans(read.select("text", "spans", "text_name"))
         .select("text_name", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -495,14 +513,12 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE
     untouched = joined.where(F.col("spans").isNull()).select(*mine.columns)
     others = [c for c in mine.columns if c != f"_{names.index('text')}"]
     found = joined.where(F.col("spans").isNotNull()).select(text.alias("text"), "spans", *others)
-    cut = cut_spans(found).withColumn(f"_{names.index('text')}", whole_characters(F.col("kept")))
+    cut = cut_spans(found, whole_characters=True).withColumn(
+        f"_{names.index('text')}", F.col("kept").cast("string")
+    )
     rewritten = cut.where(F.length(text) > 0)
     if "n_chars" in names:
         counted = F.length(text).cast(docs.schema["n_chars"].dataType)
         rewritten = rewritten.withColumn(f"_{names.index('n_chars')}", counted)
     return untouched.unionByName(rewritten.select(*mine.columns)).toDF(*names)
 
-
-def whole_characters(kept):
-    """The text of bytes; broken characters, and U+FFFD, which marks them, are dropped."""
-    return F.replace(F.make_valid_utf8(kept.cast("string")), F.lit("\ufffd"), F.lit(""))
