@@ -108,13 +108,13 @@ def set_table(docs: DataFrame, words: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, alive: DataFrame, words: int) -> DataFrame:
-    """sid, n and grams of the sets in ``alive`` (sid, rep: a document that has it).
+    """sid, n and grams of the sets in ``alive`` (sid, and a document that has it: rep, rep_text).
 
-    Neither side has a bound, so the join is always by shuffle and behaves alike at every size.
+    A document is found by its doc_id and its text's hash, because many may share a doc_id or have
+    none. Neither side has a bound, so the join is always by shuffle and behaves alike at every size.
     """
-    texts = docs.select("doc_id", "text").join(
-        alive.select("rep", "sid").hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep"))
-    )
+    same = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.xxhash64("text") == F.col("rep_text"))
+    texts = docs.select("doc_id", "text").join(alive.select("rep", "rep_text", "sid").hint("merge"), same)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,10 +302,13 @@ def representatives(docs: DataFrame, words: int = WORDS, hundredths: int = HUNDR
 
 def labelled_rows(docs: DataFrame, words: int, hundredths: int, keep) -> DataFrame:
     """The rows of ``set_table`` without low, and for texts with words their root and component_id."""
-    sets = keep(set_table(docs, words), "sets")
+    sets = keep(set_table(docs.withColumn("rep_text", F.xxhash64("text")), words), "sets")
     named = sets.where(F.col("n") > 0)
+    # The least doc_id of a set, if one of its documents has any.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rep_text")).alias("first")
+    reps = named.groupBy("sid").agg(F.max("n").alias("n"), first)
     reps = keep(
-        named.groupBy("sid").agg(F.max("n").alias("n"), F.min("doc_id").alias("rep")), "set-names"
+        reps.select("sid", "n", F.col("first.doc_id").alias("rep"), "first.rep_text"), "set-names"
     )
     grams = named.select("sid", F.explode("low").alias("gram"))
     alone = (
@@ -318,9 +321,9 @@ def labelled_rows(docs: DataFrame, words: int, hundredths: int, keep) -> DataFra
     alive = reps.join(alone, "sid", "left").where(
         F.coalesce("alone", F.lit(0)) < prefix_size(F.col("n"), hundredths)
     )
-    full = keep(full_sets(docs, keep(alive.select("sid", "rep"), "alive"), words), "full-sets")
+    full = keep(full_sets(docs, keep(alive.select("sid", "rep", "rep_text"), "alive"), words), "full-sets")
     roots = components(set_links(full, hundredths, keep), keep).toDF("sid", "root")
     placed = reps.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     least = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
     labels = placed.join(least, "root").select("sid", "root", "component_id")
-    return sets.drop("low").join(labels, "sid", "left")
+    return sets.drop("low", "rep_text").join(labels, "sid", "left")
