@@ -106,14 +106,20 @@ def test_alerts_join_one_row_per_symbol(tables, candles):
     assert "SortMergeJoin" in text or "BroadcastHashJoin" in text
 
 
-def test_blocked_windows_never_sort_a_whole_symbol(candles):
-    df = series.pct_changes(candles, "symbol", "open_time", ["close"], bucket="day")
-    text = plan(df)
+def test_trailing_windows_scan_and_shuffle_once(spark, tables, tmp_path):
+    path = str(tmp_path / "candles")
+    tables.klines().select("symbol", "open_time", "close").write.parquet(path)
+    stored = spark.read.parquet(path)
+    short = plan(series.pct_changes(stored, "symbol", "open_time", ["close"]))
+    assert short.count("Scan parquet") == 1 and short.count("Exchange hashpartitioning") == 1
+    cut = series.pct_changes(stored, "symbol", "open_time", ["close"], block=100)
+    text = plan(cut)
+    # The rows once, and the list of split points.
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", text)
+    assert len(scans) == 2 and sum("close#" in s for s in scans) == 1
+    assert text.count("Exchange hashpartitioning") == 1
     specs = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", text)
-    assert specs and all("_bucket" in s or "_block" in s for s in specs)
-    assert "WindowGroupLimit" in text and "SortMergeJoin" not in text
-    # One shuffle of the rows, and one of the few that are copied.
-    assert shuffles(df) == 2
+    assert specs and all("_part" in s for s in specs)
 
 
 def test_upsert_reads_only_the_touched_partitions(spark, tables, tmp_path):

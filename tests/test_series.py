@@ -27,20 +27,36 @@ def plain():
     return Window.partitionBy("symbol").orderBy("t")
 
 
-@pytest.mark.parametrize(
-    "block,bucket",
-    [(6, "minute"), (6, "year"), (8, "hour"), (13, "day"), (100, "day"), (100_000, "minute")],
-)
-def test_blocks_give_the_plain_windows(prices, block, bucket):
+@pytest.mark.parametrize("block", [1, 6, 8, 13, 100, 100_000])
+def test_parts_give_the_plain_windows(prices, block):
     frame = plain().rowsBetween(-6, 0)
     want = prices.select(
         "symbol", "t", F.round(F.avg("v").over(frame), 9), F.round(F.stddev_samp("v").over(frame), 9)
     )
-    got = series.rolling_features(prices, "symbol", "t", ["v"], 7, block=block, bucket=bucket)
+    got = series.rolling_features(prices, "symbol", "t", ["v"], 7, block=block)
     got = got.select("symbol", "t", F.round("v_rolling_mean", 9), F.round("v_rolling_std", 9))
     assert rows(got) == rows(want)
 
 
+def test_a_series_inside_one_hour_with_tied_times(spark):
+    data = [("HOT", i // 3, i, float(i % 17 + 1)) for i in range(3000)] + [("B", 5, 0, 1.0), (None, 5, 1, 2.0)]
+    df = spark.createDataFrame(data, "symbol string, at long, id long, v double")
+    df = df.select("symbol", F.timestamp_millis("at").alias("t"), "id", "v")
+    got = series.trailing(
+        df, "symbol", "t", 5, lambda w: {"past": F.collect_list("id").over(w.rowsBetween(-5, -1))}, block=40
+    )
+    past = {r.id: r.past for r in got.filter("symbol = 'HOT'").collect()}
+    assert len(past) == 3000 and got.count() == 3002
+    # Each row is behind exactly one other, in order of time; rows of one time in any order.
+    before = {i: p[-1] for i, p in past.items() if p}
+    assert len(before) == 2999 and len(set(before.values())) == 2999
+    for i, p in past.items():
+        assert len(p) == 5 or i < 6
+        assert all(a // 3 <= b // 3 for a, b in zip(p, [*p[1:], i]))
+        assert not p or past[p[-1]][-4:] == p[:-1][-4:]
+    assert got.filter("symbol is null").first().past is None
+
+
 @pytest.mark.parametrize("block", [1, 2, 7, 5000])
 def test_changes(prices, block):
     last = F.lag("v").over(plain())
@@ -52,10 +68,9 @@ def test_changes(prices, block):
 def test_vectors(prices):
     past = F.collect_list("v").over(plain().rowsBetween(-60, -1))
     want = prices.select("symbol", "t", past.alias("w"), "v").filter(F.size("w") == 60)
-    got = series.sequence_windows(prices, "symbol", "t", "v", 60, block=64)
-    assert rows(got) == rows(want) and got.count() > 900
-    with pytest.raises(ValueError):
-        series.sequence_windows(prices, "symbol", "t", "v", 60, block=59)
+    for block in (20, 64):
+        got = series.sequence_windows(prices, "symbol", "t", "v", 60, block=block)
+        assert rows(got) == rows(want) and got.count() > 900
 
 
 def test_scaling_and_performance(spark):

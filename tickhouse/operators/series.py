@@ -2,7 +2,7 @@
 
 A plain window over a key sorts all rows of that key in one task, and one symbol may hold a
 third of a table. So whole-key values are aggregated and joined back, and trailing windows run
-over blocks of a series, into which the rows in front of the block are copied.
+over parts of a series, whose first rows are computed again behind the last rows of the part before.
 """
 
 from __future__ import annotations
@@ -12,10 +12,14 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from tickhouse.session import settle
 
-BLOCK = 100_000
+# Rows of a part of a long series.
+BLOCK = 1_000_000
+# Parts that rows without a key or time are spread over.
+LOOSE_PARTS = 64
 
 
 def join_per_key(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
@@ -71,93 +75,99 @@ def min_max_scale(df: DataFrame, key: str, col: str, name: str = "scaled") -> Da
     return ranged.withColumn(name, scaled).drop("_lo", "_hi")
 
 
-def block_table(
-    df: DataFrame, key: str, time: str, lookback: int, bucket: str, block: int
-) -> DataFrame:
-    """Which block each time bucket of each series belongs to, from the bucket sizes alone.
+def split_points(df: DataFrame, key: str, time: str, lookback: int, block: int) -> DataFrame:
+    """Times that cut the long series into parts of about ``block`` rows.
 
-    ``_start`` is the position of a bucket's first row in its series and ``_block`` the multiple
-    of ``block`` it falls into. ``_later`` lists the following blocks (number and start) that
-    begin within ``lookback`` rows of the bucket's end; as a block number never repeats within
-    ``block`` positions, there are at most two.
+    Returns key, ``_splits``, ``_from`` and ``_steps``. Splits come from a sample of the two columns:
+    of a series' sampled times, each once, every so many-th is a split. ``_from`` is, for each split,
+    the time ``lookback`` places before it in the sample. Each sampled time has a row, so at least
+    ``lookback`` rows lie from there to the split; on average a sixteenth of a part does.
+    ``_steps`` has an element for each step of a binary search.
     """
-    counts = df.groupBy(key, F.date_trunc(bucket, time).alias("_bucket")).agg(
-        F.count("*").alias("_n")
-    )
-    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    start = F.coalesce(F.sum("_n").over(before), F.lit(0))
-    buckets = counts.withColumn("_start", start).withColumn(
-        "_block", F.expr(f"_start div {block}")
+    placed = df.select(key, time).filter(F.col(key).isNotNull() & F.col(time).isNotNull())
+    every = 16 * lookback + 32
+    if block > every:
+        placed = placed.sample(every / block, seed=1)
+    else:
+        every = max(block, lookback + 1)
+    in_order = Window.partitionBy(key).orderBy(time)
+    points = placed.distinct().select(
+        key,
+        F.row_number().over(in_order).alias("_number"),
+        F.struct(F.col(time).alias("at"), F.lag(time, lookback).over(in_order).alias("from")).alias("_split"),
     )
-    in_order = Window.partitionBy(key).orderBy("_block")
-    following = [
-        F.struct(
-            F.lead("_block", step).over(in_order).alias("block"),
-            F.lead("_first", step).over(in_order).alias("first"),
-        )
-        for step in (1, 2)
-    ]
-    blocks = (
-        buckets.groupBy(key, "_block")
-        .agg(F.min("_start").alias("_first"))
-        .select(key, "_block", F.array(*following).alias("_following"))
+    lists = (
+        points.filter((F.col("_number") > lookback) & (F.col("_number") % every == 0))
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_list("_split")).alias("_split"))
     )
-    end = F.col("_start") + F.col("_n")
-    return buckets.join(blocks, [key, "_block"]).select(
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size("_split") + 1)).cast("int"))
+    return lists.select(
         key,
-        "_bucket",
-        "_block",
-        end.alias("_end"),
-        F.filter("_following", lambda b: b["first"] - end < lookback).alias("_later"),
+        F.col("_split.at").alias("_splits"),
+        F.col("_split.from").alias("_from"),
+        steps.alias("_steps"),
     )
 
 
+def part_of(time: str) -> Column:
+    """How many ``_splits`` are not after ``time``, by binary search; 0 in a series without splits."""
+
+    def halve(at, _):
+        middle = F.shiftright(at["low"] + at["high"], 1)
+        here = F.get("_splits", middle) <= F.col(time)
+        closer = F.when(
+            here, F.struct((middle + 1).alias("low"), at["high"].alias("high"))
+        ).otherwise(F.struct(at["low"].alias("low"), middle.alias("high")))
+        return F.when(at["low"] < at["high"], closer).otherwise(at)
+
+    start = F.struct(F.lit(0).alias("low"), F.size("_splits").alias("high"))
+    found = F.aggregate("_steps", start, halve)["low"]
+    return F.when(F.col("_splits").isNull(), 0).otherwise(found)
+
+
 def trailing(
     df: DataFrame,
     key: str,
     time: str,
     lookback: int,
     columns: Callable[[Window], Mapping[str, Column]],
-    bucket: str = "hour",
     block: int = BLOCK,
 ) -> DataFrame:
     """Add columns computed over each row and the ``lookback`` rows before it in its series.
 
-    ``columns`` gets the window specification (partitioned and ordered, without a frame). The
-    rows are shuffled once, by series and block; a block is a run of whole time buckets with
-    about ``block`` rows, and gets copies of the last ``lookback`` rows before it, so the result
-    is the same as over the whole series. Choose ``bucket`` so that one bucket of the busiest
-    series is a fair share of work. Rows without a key or time have no place in a series; they are
-    kept with nulls in the added columns.
+    ``columns`` gets the window specification (partitioned and ordered, without a frame). Long
+    series are cut into parts of about ``block`` rows at sampled times, and the rows are shuffled
+    once, by series and part. A part also gets the rows before its lower end from a time on that is
+    known to hold ``lookback`` rows, so the result is that of the whole series. A part may be as short as
+    one time, a series may lie inside one hour, and rows of one time are taken in the order of their hash.
+    Rows without a key or time have no place in a series; they are kept with nulls in the added columns.
     """
-    if lookback > block:
-        raise ValueError("lookback must not be larger than a block")
+    splits = settle(split_points(df, key, time, lookback, block), "splits")
+    tie = F.xxhash64(*[f.name for f in df.schema.fields if not _has_map(f.dataType)])
     has_place = F.col(key).isNotNull() & F.col(time).isNotNull()
-    placed = df.filter(has_place)
-    table = settle(block_table(placed, key, time, lookback, bucket, block), "blocks")
-    bucketed = placed.withColumn("_bucket", F.date_trunc(bucket, time))
-    rows = (
-        bucketed.join(table.select(key, "_bucket", "_block"), [key, "_bucket"])
-        .drop("_bucket")
-        .withColumn("_own", F.lit(True))
-    )
-    # Only buckets near the end of a block are looked at again, and of those the last rows.
-    edges = table.filter(F.size("_later") > 0).select(key, "_bucket", "_end", "_later")
-    latest = Window.partitionBy(key, "_bucket").orderBy(F.col(time).desc())
-    copies = (
-        bucketed.join(edges, [key, "_bucket"])
-        .withColumn("_back", F.row_number().over(latest))
-        .filter(F.col("_back") <= lookback)
-        .withColumn("_to", F.explode("_later"))
-        .filter(F.col("_to.first") - (F.col("_end") - F.col("_back")) <= lookback)
-        .withColumns({"_block": F.col("_to.block"), "_own": F.lit(False)})
-    )
-    spec = Window.partitionBy(key, "_block").orderBy(time)
-    both = rows.unionByName(copies.select(rows.columns)) if lookback else rows
-    done = both.withColumns(dict(columns(spec))).filter("_own").drop("_block", "_own")
-    return done.unionByName(df.filter(~has_place), allowMissingColumns=True)
+    # Rows without a place are no series and are spread.
+    apart = F.pmod(tie, F.lit(LOOSE_PARTS)).cast("int")
+    own = F.lit(True)
+    if splits.isEmpty():
+        part = F.when(has_place, 0).otherwise(apart)
+        parted = df.select("*", part.alias("_part"), tie.alias("_tie"))
+    else:
+        placed = df.join(splits, key, "left").select(
+            *df.columns, F.when(has_place, part_of(time)).otherwise(apart).alias("_at"), "_from", tie.alias("_tie")
+        )
+        # get() is null above the last split, and for a series without splits.
+        copied = F.coalesce(has_place & (F.get("_from", F.col("_at")) <= F.col(time)), F.lit(False))
+        parts = F.when(copied, F.array("_at", F.col("_at") + 1)).otherwise(F.array("_at"))
+        parted = placed.select(*df.columns, "_at", "_tie", F.explode(parts).alias("_part"))
+        own = F.col("_part") == F.col("_at")
+    spec = Window.partitionBy(key, "_part").orderBy(time, "_tie")
+    added = {name: F.when(has_place, column) for name, column in columns(spec).items()}
+    return parted.withColumns(added).filter(own).drop("_part", "_at", "_tie")
+
+
+def _has_map(kind: T.DataType) -> bool:
+    return "map<" in kind.simpleString()
 
 
 def sequence_windows(

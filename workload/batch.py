@@ -878,7 +878,7 @@ SCALED = (
 )
 def _(t):
     scaled = series.min_max_scale(t.klines(), "symbol", "close")
-    windows = series.sequence_windows(scaled, "symbol", "open_time", "scaled", 60, bucket="day")
+    windows = series.sequence_windows(scaled, "symbol", "open_time", "scaled", 60)
     v = F.col("window")
     return windows.select(
         "symbol", "open_time",
@@ -908,7 +908,7 @@ def _(t):
 )
 def _(t):
     daily = bars.daily_ohlcv(silver.stg_historical(t.klines()))
-    rolled = series.rolling_features(daily, "symbol", "date", ["close_price"], bucket="year")
+    rolled = series.rolling_features(daily, "symbol", "date", ["close_price"])
     return rolled.select(
         "symbol", "date",
         F.round("close_price_rolling_mean", 6).alias("close_price_rolling_mean"),
@@ -926,7 +926,7 @@ def _(t):
     "klines",
 )
 def _(t):
-    moved = series.pct_changes(t.klines(), "symbol", "open_time", ["close", "volume"], bucket="day")
+    moved = series.pct_changes(t.klines(), "symbol", "open_time", ["close", "volume"])
     return moved.select(
         "symbol", "open_time", F.round("close_change_pct", 6).alias("close_change_pct"),
         F.round("volume_change_pct", 6).alias("volume_change_pct"),
