@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tickhouse import schemas
-from tickhouse.operators import silver
-from tickhouse.plans import chains, gold
+from tickhouse.operators import bars, digests, silver
+from tickhouse.plans import chains, gold, increments
 
 DAY = 86_400_000
 START = 1_767_225_600_000  # 2026-01-01
@@ -69,6 +69,54 @@ def test_corrections_and_crashes_reach_gold(spark, tmp_path, monkeypatch):
     assert out["silver.historical"].count() == 40
 
 
+def test_only_changed_days_are_recomputed(spark, tmp_path):
+    store, source = chains.Lake(spark, str(tmp_path / "lake")), tmp_path / "dump"
+    days = lambda out: sorted((r.symbol, r.date.day, r.gone) for r in out["recomputed"].collect())
+    dump(source, "btcusdt", range(72))
+    dump(source, "ethusdt", range(30))
+    assert len(days(chains.load_candles(store, str(source)))) == 5
+    assert days(chains.load_candles(store, str(source))) == []  # a repeat
+    dump(source, "btcusdt", range(73))  # one candle more
+    assert days(chains.load_candles(store, str(source))) == [("BTCUSDT", 4, False)]
+    # One candle is corrected, and one day taken out.
+    stored = store.table("silver", "historical")
+    hour = F.hour("open_time") + 24 * (F.dayofmonth("open_time") - 1)
+    rows_ = stored.read().filter("not (symbol = 'ETHUSDT' and day(open_time) = 2)")
+    high = F.when((hour == 30) & (F.col("symbol") == "BTCUSDT"), 9.0).otherwise(F.col("high"))
+    stored.overwrite(rows_.withColumn("high", high))
+    tables = [store.table("gold", n) for n in ("gold_daily_ohlcv", "daily_bar_digests", "candle_file_stamps")]
+    changed = increments.refresh_bars(stored, *tables)
+    assert days({"recomputed": changed}) == [("BTCUSDT", 2, False), ("ETHUSDT", 2, True)]
+    wanted = bars.daily_ohlcv(silver.stg_historical(stored.read())).select(*bars.BAR)
+    assert rows(tables[0].read().select(*bars.BAR)) == rows(wanted)
+    assert increments.refresh_bars(stored, *tables).count() == 0
+    keys = tables[0].read().groupBy("symbol", "date").count()
+    assert keys.filter("count > 1").count() == 0
+
+
+def test_digests_are_of_multisets(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("b", 1), ("c", None)], "k string, v int")
+    of = lambda d: digests.group_digests(d, ["k"], ["v"])
+    differ = lambda x, y: rows(digests.changed_groups(of(x), of(y), ["k"]))
+    assert differ(df, df.orderBy(F.desc("v")).repartition(3)) == []
+    assert differ(df, df.distinct()) == [("b", False)]
+    assert differ(df, df.filter("k <> 'c'")) == [("c", True)]
+    assert differ(df.limit(0), df) == [("a", False), ("b", False), ("c", False)]
+    assert differ(df, df.fillna(0)) == [("c", False)]
+
+
+def test_later_posts_leave_earlier_ones(spark, tmp_path):
+    store = chains.Lake(spark, str(tmp_path / "lake"))
+    post = lambda i, text: (json.dumps({"post_id": i, "text": text, "created_utc": 1767225600}),)
+    load = lambda *posts: chains.load_social(
+        store, spark.createDataFrame(list(posts), "raw_value string").withColumn("ingested_at", F.current_timestamp())
+    )
+    load(post("a", "one"))
+    load(post("b", "two"), post(None, "nobody"))
+    got = load(post("b", "three"), post("a", "one"))
+    assert rows(got.select("post_id", "text")) == [("a", "one"), ("b", "three")]
+
+
 def test_bad_rows_are_listed_and_reloading_changes_nothing(spark, tmp_path):
     store, source = chains.Lake(spark, str(tmp_path / "lake")), tmp_path / "dump"
     dump(source, "btcusdt", range(3))

@@ -12,6 +12,7 @@ from tickhouse import schemas
 from tickhouse.functions import temporal
 from tickhouse.operators import bars, dashboard, dedup, mood, quality, silver
 from tickhouse.operators.scoring import article_key, enrich_news, lexicon_sentiment
+from tickhouse.plans.increments import refresh_bars
 from tickhouse.session import settle
 from tickhouse.sources.files import SYMBOL_IN_PATH, read_kline_files
 from tickhouse.sources.lake import LakeTable, read_lake, read_lake_stream
@@ -75,11 +76,12 @@ def load_candles(
     With ``as_of`` also the market summary of that day, with today's bar from the lake's ticks,
     and the quality report over both. A dump that is loaded again changes nothing, and candles
     that cannot be placed (no symbol or no time) are not loaded; ``out["rejected"]`` has them with
-    their reason.
+    their reason, and ``out["recomputed"]`` the days whose bars were computed again.
 
     Each layer is brought up to date by what differs from the layer below, not by what this load
     added, so corrected candles reach silver and gold, and a load that a crash cut short is
-    made up for by the next one. Silver takes only candles of the dump's time range.
+    made up for by the next one. Silver takes only candles of the dump's time range; bars are
+    computed again only for days whose candles have another digest than before.
     """
     bronze = lake.bronze_candles()
     dumped = settle(read_kline_files(lake.spark, dump, symbol_pattern), "dump")
@@ -101,13 +103,18 @@ def load_candles(
     stored.compact()
 
     daily = lake.table("gold", "gold_daily_ohlcv")
-    fresh = bars.daily_ohlcv(silver.stg_historical(stored.read()))
-    daily.upsert(fresh, compare=[name for name in fresh.columns if name not in ("symbol", "date")])
+    recomputed = refresh_bars(
+        stored,
+        daily,
+        lake.table("gold", "daily_bar_digests"),
+        lake.table("gold", "candle_file_stamps"),
+    )
     publish("silver.historical", stored.read())
     out = {
         "silver.historical": stored.read(),
         "gold_daily_ohlcv": daily.read(),
         "rejected": rejected,
+        "recomputed": recomputed,
     }
     if as_of is not None:
         prices = lake.silver_prices()
@@ -211,10 +218,15 @@ def load_news(
 
 
 def load_social(lake: Lake, messages: DataFrame, publish: Publish = keep_only) -> DataFrame:
-    """Post messages to silver, one row per post however often the feed re-sent it."""
+    """Post messages to silver, one row per post however often the feed re-sent it.
+
+    Posts of earlier loads stay; one that comes again with another content replaces the stored one.
+    Posts without an id cannot be told apart and are not stored.
+    """
     parsed = parse_payload(messages, schemas.SOCIAL_PAYLOAD, keep=("ingested_at",))
     table = lake.table("silver", "social")
-    table.overwrite(silver.silver_social(parsed, ("post_id",)))
+    posts = silver.silver_social(parsed, ("post_id",))
+    table.upsert(posts, compare=[c for c in posts.columns if c not in ("post_id", "ingested_at")])
     publish("silver.social", table.read())
     return table.read()
 

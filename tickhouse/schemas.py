@@ -58,6 +58,7 @@ DAILY_BAR = (
 LATEST_PRICES = (
     "symbol string, latest_price double, latest_volume_24h double, last_updated timestamp"
 )
+DIGEST = "n bigint, low_1 bigint, high_1 bigint, low_2 bigint, high_2 bigint"
 MARKET_SENTIMENT = (
     "sentiment_date timestamp, symbol string, avg_sentiment_score double, total_articles bigint, "
     "positive_count bigint, negative_count bigint, neutral_count bigint, market_mood string"
@@ -114,6 +115,8 @@ CATALOG = {
     "silver.social": TableSpec("silver", SOCIAL, ("post_id",)),
     "silver.news_sentiment": TableSpec("silver", NEWS_SENTIMENT, ("article_id",)),
     "gold.gold_daily_ohlcv": TableSpec("gold", DAILY_BAR, ("symbol", "date")),
+    "gold.daily_bar_digests": TableSpec("gold", f"symbol string, date date, {DIGEST}", ("symbol", "date")),
+    "gold.candle_file_stamps": TableSpec("gold", f"year int, {DIGEST}", ("year",)),
     "gold.daily_market_summary": TableSpec("gold", DAILY_BAR, ("symbol", "date")),
     "gold.gold_latest_prices": TableSpec("gold", LATEST_PRICES, ("symbol",)),
     "gold.market_sentiment": TableSpec("gold", MARKET_SENTIMENT, ("sentiment_date", "symbol")),

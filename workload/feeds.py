@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickhouse import schemas
 from tickhouse.functions import jsontext, numeric, temporal, text
 from tickhouse.operators import accounts, quality, scoring, silver
-from tickhouse.plans import chains, gold
+from tickhouse.plans import chains, gold, increments
 from tickhouse.session import scratch_dir
 from tickhouse.sources import files, lake, messages
 from tickhouse.streaming import ticks as streams
@@ -840,6 +840,42 @@ def _(t):
     return chains.load_candles(store, again, r"symbol=([^/]+)/")["gold_daily_ohlcv"]
 
 
+DAY_5 = "date_part('day', open_time) = 5"
+
+
+@query(
+    "p1_recomputed_days",
+    f"select distinct symbol, open_time::date as date, false as gone from klines where {DAY_5}",
+    "klines",
+)
+def _(t):
+    """A second dump corrects one day: only that day's bars are computed again."""
+    store = chains.Lake(t.spark, scratch_dir(t.spark, "lake"))
+    chains.load_candles(store, t.kline_dump(), r"symbol=([^/]+)/")
+    again = t.kline_dump(close=F.col("close") + F.when(F.dayofmonth("open_time") == 5, 1).otherwise(0))
+    return chains.load_candles(store, again, r"symbol=([^/]+)/")["recomputed"]
+
+
+@query(
+    "p1_removed_candles",
+    "select symbol, open_time::date as date, arg_min(open, open_time) as open_price, max(high) as "
+    "high_price, min(low) as low_price, arg_max(close, open_time) as close_price, sum(volume) as "
+    f"total_volume from klines where not ({DAY_5}) and date_part('hour', open_time) <> 7 group by 1, 2",
+    "klines",
+)
+def _(t):
+    """Candles of a day and of an hour are taken out of silver; the bars follow."""
+    store = chains.Lake(t.spark, scratch_dir(t.spark, "lake"))
+    chains.load_candles(store, t.kline_dump(), r"symbol=([^/]+)/")
+    stored = store.table("silver", "historical")
+    gone = (F.dayofmonth("open_time") == 5) | (F.hour("open_time") == 7)
+    stored.overwrite(stored.read().filter(~gone))
+    names = ("gold_daily_ohlcv", "daily_bar_digests", "candle_file_stamps")
+    gold_tables_ = [store.table("gold", name) for name in names]
+    increments.refresh_bars(stored, *gold_tables_)
+    return gold_tables_[0].read()
+
+
 @query(
     "p1_reload_bad_rows",
     "select symbol, reject_reason, n, stored from (select symbol, 'open_time_null' as reject_reason, "
@@ -921,10 +957,28 @@ def _(t):
     )
 
 
-def social_messages(t: Tables):
+@query(
+    "p3_social_second_load",
+    "select subreddit, post_id, case when created_utc % 3 = 0 then text || '!' else text end as text, "
+    "created_utc from social where text is not null",
+    "social",
+)
+def _(t):
+    """Three loads: some posts, the others, and a third of them again with another text."""
+    store = chains.Lake(t.spark, scratch_dir(t.spark, "lake"))
+    half = F.pmod(F.xxhash64("raw_value"), F.lit(2)) == 0
+    chains.load_social(store, social_messages(t).filter(half))
+    chains.load_social(store, social_messages(t).filter(~half))
+    edited = t.social().filter("created_utc % 3 = 0").withColumn("text", F.concat("text", F.lit("!")))
+    stored = chains.load_social(store, social_messages(t, edited))
+    return stored.select("subreddit", "post_id", "text", "created_utc")
+
+
+def social_messages(t: Tables, posts=None):
     post = jsontext.encode("subreddit", "post_id", "title", "text", "score", "num_comments",
                            "created_utc", "url", "type")
-    return t.social().select(post.alias("raw_value"), F.current_timestamp().alias("ingested_at"))
+    posts = t.social() if posts is None else posts
+    return posts.select(post.alias("raw_value"), F.current_timestamp().alias("ingested_at"))
 
 
 def gold_tables(t: Tables):
