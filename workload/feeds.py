@@ -10,6 +10,7 @@ from tickhouse.operators import accounts, quality, scoring, silver
 from tickhouse.plans import chains, gold, increments
 from tickhouse.session import scratch_dir
 from tickhouse.sources import files, lake, messages
+from tickhouse.streaming import alerts
 from tickhouse.streaming import ticks as streams
 from workload import batch
 from workload.registry import query
@@ -795,6 +796,58 @@ def _(t):
     )
 
 
+def alert_changes(t: Tables, version: int, active, path: str, where="true") -> None:
+    """The alerts as one more file of changes."""
+    changes = t.alerts().filter(where).select(
+        "id", "user_id", "symbol", "condition", F.col("threshold").cast("double").alias("threshold"),
+        active.alias("is_active"), F.lit(version).cast("long").alias("version"),
+    )
+    changes.coalesce(1).write.mode("append").parquet(path)
+
+
+def fired_alerts(t: Tables, ticks, changes: str, out: str, checkpoint: str) -> None:
+    stream = t.spark.readStream.schema(alerts.CHANGES).parquet(changes)
+    finished(alerts.keep_fired(silver.parse_ticks(ticks), stream, out, checkpoint, trigger=CATCH_UP))
+
+
+MET = (
+    "select id, user_id, a.symbol, condition, threshold, is_active from alerts a join (select symbol, "
+    "max(price) as hi, min(price) as lo from ticks group by symbol) p on a.symbol = p.symbol "
+    "where (condition = 'above' and hi >= threshold) or (condition = 'below' and lo <= threshold)"
+)
+
+
+@query("r7_alert_state", f"select id, user_id, symbol, condition, threshold from ({MET}) where is_active", "alerts ticks")
+def _(t):
+    """The same with latches in operator state."""
+    names = ("changes", "fired", "checkpoint")
+    changes, out, checkpoint = (scratch_dir(t.spark, name) for name in names)
+    alert_changes(t, 1, F.col("is_active"), changes)
+    fired_alerts(t, bronze_rows(t), changes, out, checkpoint)
+    return t.spark.read.schema(alerts.FIRED).parquet(out).select("id", "user_id", "symbol", "condition", "threshold")
+
+
+@query(
+    "r7_rearmed_alerts",
+    f"select id, count(*) as times from (select id from ({MET}) where is_active union all "
+    f"select id from ({MET}) where id % 3 = 0) group by id",
+    "alerts ticks",
+)
+def _(t):
+    """All ticks twice; in between, every third alert is switched off and on."""
+    names = ("changes", "fired", "checkpoint", "bronze")
+    changes, out, checkpoint, folder = (scratch_dir(t.spark, name) for name in names)
+    alert_changes(t, 1, F.col("is_active"), changes)
+    for version in (2, 4):
+        t.bronze().write.mode("append").parquet(folder)
+        ticks = lake.read_lake_stream(t.spark, folder, schemas.ENVELOPE)
+        fired_alerts(t, ticks, changes, out, checkpoint)
+        alert_changes(t, version, F.lit(False), changes, "id % 3 = 0")
+        alert_changes(t, version + 1, F.lit(True), changes, "id % 3 = 0")
+    fired = t.spark.read.schema(alerts.FIRED).parquet(out)
+    return fired.groupBy("id").agg(F.count("*").alias("times"))
+
+
 @query("r8_late_data", CLEAN, "clean")
 def _(t):
     """Ticks that arrive after newer ones still reach silver, in their old partitions."""
