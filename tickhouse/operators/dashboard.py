@@ -240,7 +240,7 @@ def dashboard_totals(
 
 def distinct_coins(summary: DataFrame) -> DataFrame:
     """Number of symbols and total volume of the newest day."""
-    symbols = F.array_size(F.collect_set("symbol")).alias("active_coins")
+    symbols = F.count_distinct("symbol").alias("active_coins")
     newest = newest_total(summary, symbols, F.sum("total_volume").alias("total_volume_24h"))
     # One row also of an empty summary.
     return newest.agg(

@@ -31,13 +31,15 @@ def bronze_stream(
     path: str,
     checkpoint: str,
     topic: str = "crypto.prices",
-    starting: str = "latest",
+    starting: str | Mapping[int, int] = "latest",
     trigger: Trigger = EVERY_30_SECONDS,
     name: str | None = None,
     fmt: str = "parquet",
+    positions: str | None = None,
+    fail_on_data_loss: bool = False,
 ) -> StreamingQuery:
     """Land a topic's messages unparsed, with their position and arrival time."""
-    raw = read_message_stream(spark, source, topic, starting)
+    raw = read_message_stream(spark, source, topic, starting, fail_on_data_loss, positions)
     return append_stream(bronze_envelope(raw), path, checkpoint, trigger, name, fmt)
 
 

@@ -90,6 +90,72 @@ def _(t):
     )
 
 
+def read_from(t: Tables, source, starting, path: str, name: str):
+    """Catch up with the messages of ``source``; ``name`` keeps the checkpoint and the positions."""
+    stream = messages.read_message_stream(t.spark, source, TOPIC, starting, positions=f"{name}-positions")
+    finished(lake.append_stream(stream, path, name, CATCH_UP))
+    return t.spark.read.schema(messages.RAW_MESSAGE).parquet(path).select("partition", "offset")
+
+
+def stored_messages(t: Tables, where: str, path: str) -> dict[str, str]:
+    """Messages written behind those that ``path`` has."""
+    t.messages().filter(where).write.mode("append").parquet(path)
+    return {"format": "parquet", "path": path}
+
+
+def last_offset(t: Tables) -> int:
+    return t.messages().agg(F.max("offset")).first()[0]
+
+
+@query(
+    "s1_start_latest",
+    "select (event_id % 4)::int as partition, event_id as offset from ticks "
+    "where event_id >= (select max(event_id) // 2 from ticks)",
+    "ticks",
+)
+def _(t):
+    """Half of the messages are stored before the stream starts; the rest come in two parts."""
+    path, out, name = (scratch_dir(t.spark, n) for n in ("messages", "read", "checkpoint"))
+    half = last_offset(t) // 2
+    source = stored_messages(t, f"offset < {half}", path)
+    read_from(t, source, "latest", out, name)
+    for part in (f"offset between {half} and {half + half // 2}", f"offset > {half + half // 2}"):
+        stored_messages(t, part, path)
+        rows = read_from(t, source, "latest", out, name)
+    return rows
+
+
+@query(
+    "s1_start_offsets",
+    "select (event_id % 4)::int as partition, event_id as offset from ticks, (select max(event_id) // 2 as "
+    "half from ticks) where case event_id % 4 when 0 then true when 1 then event_id >= half // 2 "
+    "else event_id >= half end",
+    "ticks",
+)
+def _(t):
+    """Positions per partition: all, from an offset, from now on, from an offset that comes later."""
+    path, out, name = (scratch_dir(t.spark, n) for n in ("messages", "read", "checkpoint"))
+    half = last_offset(t) // 2
+    starting = {0: messages.EARLIEST, 1: half // 2, 2: messages.LATEST, 3: half}
+    source = stored_messages(t, f"offset < {half} and partition <> 3", path)
+    read_from(t, source, starting, out, name)
+    stored_messages(t, f"offset >= {half} or partition = 3", path)
+    return read_from(t, source, starting, out, name)
+
+
+@query(
+    "s1_offset_gaps",
+    "select topic, partition, prev as after, event_id as before, (event_id - prev) // 4 - 1 as missing "
+    "from (select 'crypto.prices' as topic, (event_id % 4)::int as partition, event_id, "
+    "lag(event_id) over (partition by event_id % 4 order by event_id) as prev "
+    "from ticks where event_id % 7 <> 0) where event_id - prev > 4",
+    "ticks",
+)
+def _(t):
+    """Every seventh message is missing."""
+    return messages.offset_gaps(t.messages().filter("offset % 7 <> 0"), step=4, slice_size=500)
+
+
 @query(
     "s2_bronze_envelope",
     ENVELOPES,
