@@ -29,13 +29,20 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """The row with the least doc_id, then the least hash of its text, of each component of near copies.
 
     Rows with one doc_id and texts that are not linked all stay, each for its component; of rows with
-    the same doc_id and text the least stays. Rows without a doc_id cannot be told apart and stay.
+    the same doc_id and text one stays, the least by its other columns written as JSON. Rows without a
+    doc_id cannot be told apart and stay.
     """
+    names = docs.columns
+    mine = docs.toDF(*[f"_{i}" for i in range(len(names))])
+    doc, text = (f"_{names.index(c)}" for c in ("doc_id", "text"))
     first = ngram_join.representatives(docs)
-    mine = docs.withColumn("text_id", F.xxhash64("text")).join(first, ["doc_id", "text_id"], "left_semi")
-    row = F.min(F.struct(*docs.columns)).alias("row")
-    named = mine.groupBy("doc_id", "text_id").agg(row).select("row.*")
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    chosen = (F.col(doc) == F.col("doc_id")) & (F.xxhash64(text) == F.col("text_id"))
+    rows = mine.join(first, chosen, "left_semi")
+    # As JSON any column can be compared; the text is the same in all rows of a group.
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *[c for c in mine.columns if c not in (doc, text)]))
+    least = F.min_by(F.struct(*mine.columns), others).alias("row")
+    named = rows.groupBy(doc, F.xxhash64(text).alias("text_id")).agg(least).select("row.*")
+    return named.unionByName(mine.where(F.col(doc).isNull())).toDF(*names)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
