@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from tickhouse.llm import ngram_join, substrings
 
 
@@ -37,3 +38,15 @@ def test_own_broken_character_marks_stay(spark):
     left = {r["doc_id"]: r["text"] for r in substrings.remove_repeats(docs).collect()}
     # The first byte of the third text's last letter is repeated, so the letter goes as a whole.
     assert left == {1: "mark � one �", 2: "other", 3: "x�"}
+
+
+def test_one_row_of_a_group_with_any_columns(spark):
+    rows = [
+        (1, "a b c d e f g h", {"k": 2}, 5), (1, "a b c d e f g h", {"k": 1}, 4), (2, "a b c d e f g h", None, 3),
+        (3, "other words are here now", {}, 2), (None, "a b c d e f g h", {"k": 9}, 1), (4, None, None, 0),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>, text_id int")
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id or 0, (r.tags or {}).get("k"), r.text_id) for r in kept.collect())
+    assert got == [(0, 9, 1), (1, 1, 4), (3, None, 2), (4, None, 0)]
