@@ -247,3 +247,36 @@ def test_hour_bars_roll_up_to_the_tick_bars(spark):
     assert rows(bars.daily_ohlcv(candles("hour")).select(*order)) == rows(
         bars.daily_ohlcv(candles("day")).select(*order)
     )
+
+
+def test_positions_of_a_replay(spark, folder):
+    data = tick_rows(60)
+    source = write_files(spark, data[20:40], folder("in"), 2, False)
+
+    def offsets(starting, name, **options):
+        raw = messages.read_message_stream(
+            spark, source, "prices", starting, positions=folder(f"{name}-positions"), **options
+        )
+        lake.append_stream(raw, folder(f"{name}-out"), folder(f"{name}-ckpt"), CATCH_UP).awaitTermination()
+        read = spark.read.schema(messages.RAW_MESSAGE).parquet(folder(f"{name}-out"))
+        return sorted(r.offset for r in read.collect())
+
+    assert offsets("earliest", "all") == list(range(20, 40))
+    assert offsets("latest", "new") == []
+    assert offsets({0: 30}, "given") == list(range(30, 40))
+    assert offsets({0: 50}, "later") == []
+    with pytest.raises(ValueError, match="lost"):
+        offsets({0: 10}, "lost", fail_on_data_loss=True)
+    with pytest.raises(ValueError, match="position"):
+        offsets("first", "unknown")
+    write_files(spark, data[40:], folder("in"), 1, False)
+    # Restarts read what is new, once, from the positions of the first start.
+    for _ in range(2):
+        assert offsets("earliest", "all") == list(range(20, 60))
+        assert offsets("latest", "new") == list(range(40, 60))
+        assert offsets({0: 30}, "given") == list(range(30, 60))
+        assert offsets({0: 50}, "later") == list(range(50, 60))
+    assert messages.offset_gaps(as_messages(spark, data), slice_size=7).count() == 0
+    some = as_messages(spark, data).filter("offset not in (7, 13, 14, 15) and offset > 2")
+    gaps = messages.offset_gaps(some, slice_size=7).select("after", "before", "missing")
+    assert rows(gaps) == [(12, 16, 3), (6, 8, 1)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -225,6 +225,45 @@ def coin_table(
     return ordered(df, sort).offset(page * size).limit(size)
 
 
+def rows_after(sort: Sequence[str], last: Mapping[str, object]) -> Column:
+    """Whether a row comes behind the row ``last`` (column to value) in the order of ``sort``."""
+    behind, equal = F.lit(False), F.lit(True)
+    for spec in sort:
+        name, _, direction = spec.strip().partition(" ")
+        words = direction.strip().lower()
+        descending = words.startswith("desc")
+        nulls_last = "nulls last" in words or (descending and "nulls first" not in words)
+        col, value = F.col(name), last[name]
+        if value is None:
+            later = F.lit(False) if nulls_last else col.isNotNull()
+        else:
+            later = F.coalesce(col < F.lit(value) if descending else col > F.lit(value), F.lit(False))
+            if nulls_last:
+                later = later | col.isNull()
+        behind = behind | (equal & later)
+        equal = equal & col.eqNullSafe(F.lit(value))
+    return behind
+
+
+def next_page(
+    df: DataFrame,
+    sort: Sequence[str],
+    tie: Sequence[str],
+    last: Mapping[str, object] | None = None,
+    size: int = 10,
+) -> DataFrame:
+    """The page behind the row ``last`` of the page before; the first page without it.
+
+    ``tie`` are columns that tell all rows apart, by which equal rows of ``sort`` are ordered. Unlike a
+    page by offset, which brings all rows of the pages before it to one task, every task keeps only
+    ``size`` rows, however far back the page is; and rows that are added meanwhile shift nothing.
+    """
+    order = [*sort, *tie]
+    if last is not None:
+        df = df.filter(rows_after(order, last))
+    return ordered(df, order).limit(size)
+
+
 def dashboard_totals(
     summary: DataFrame, market_sentiment: DataFrame, as_of: Column, days: int = 7
 ) -> DataFrame:

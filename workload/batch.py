@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tickhouse.operators import accounts, analytics, bars, dashboard, dedup, filters, incremental
 from tickhouse.operators import mood, quality, scoring, series, silver
+from tickhouse.session import settle
 from workload.registry import query
 from workload.tables import SYMBOLS, Tables
 
@@ -1048,6 +1049,31 @@ def _(t):
     return dashboard.coin_table(named, "I", ["date desc", "symbol"], page=1)
 
 
+@query(
+    "k6_pages_by_key",
+    "select *, (row_number() over (order by close_price desc nulls first, symbol, date) - 1) // 7 as page "
+    "from (select symbol, date, case when date_part('day', date) % 4 <> 0 then "
+    "round(close_price / 20) end as close_price from summary)",
+    "summary",
+)
+def _(t):
+    """All pages by seeking, with nulls and ties in the sorted column."""
+    price = F.when(F.dayofmonth("date") % 4 != 0, F.round(F.col("close_price") / 20))
+    rows = settle(summary(t).select("symbol", "date", price.alias("close_price")), "summary")
+    pages, last = [], None
+    while True:
+        page = dashboard.next_page(rows, ["close_price desc nulls first"], ["symbol", "date"], last, 7)
+        shown = page.collect()
+        if not shown:
+            break
+        pages.append(page.withColumn("page", F.lit(len(pages)).cast("long")))
+        last = shown[-1].asDict()
+    out = pages[0]
+    for page in pages[1:]:
+        out = out.unionByName(page)
+    return out
+
+
 # -- set operations --------------------------------------------------------------------
 
 
