@@ -10,6 +10,7 @@ from conftest import rows
 from tickhouse import schemas
 from tickhouse.operators import accounts, bars, dedup, silver
 from tickhouse.sources import lake, messages
+from tickhouse.streaming import late
 from tickhouse.streaming import ticks as streams
 
 CATCH_UP = {"availableNow": True}
@@ -280,3 +281,30 @@ def test_positions_of_a_replay(spark, folder):
     some = as_messages(spark, data).filter("offset not in (7, 13, 14, 15) and offset > 2")
     gaps = messages.offset_gaps(some, slice_size=7).select("after", "before", "missing")
     assert rows(gaps) == [(12, 16, 3), (6, 8, 1)]
+
+
+def test_late_ticks_are_listed_and_reach_their_bars(spark, folder):
+    data = [row for row in tick_rows(300) if row[2] > 0]
+    ordered = [*data[:100], *data[150:], *data[100:150]]
+    source = None
+    for k in range(0, len(ordered), 60):
+        source = write_files(spark, ordered[k : k + 60], folder("in"), 1, False)
+        parsed = silver.parse_ticks(bronze(spark, source)).withColumnRenamed("volume_24h", "volume")
+        late.keep_bars_and_late(parsed, folder("bars"), folder("ckpt"), "1 hour", CATCH_UP).awaitTermination()
+    states, behind, marks = late.tables(spark, folder("bars"))
+    ticks = silver.stg_prices(batch_ticks(spark, data))
+    want = late.bars_of(late.bar_states(ticks.withColumn("offset", F.lit(0).cast("long"))))
+    assert rows(late.bars_of(states.read())) == rows(want)
+    found = {r.offset: r.late_by_ms for r in behind.read().collect()}
+    newest, expected = None, {}
+    for k in range(0, len(ordered), 60):
+        part = ordered[k : k + 60]
+        for offset, _, _, _, at in part:
+            if newest and newest - at > timedelta(hours=1):
+                expected[offset] = (newest - at) // timedelta(milliseconds=1)
+        newest = max([r[4] for r in part] + ([newest] if newest else []))
+    assert found == expected and len(found) >= 50
+    # A batch that is repeated changes nothing.
+    before = rows(states.read())
+    states.upsert(late.merge_states(states.read(), states.read()))
+    assert rows(states.read()) == before

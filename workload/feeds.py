@@ -11,6 +11,7 @@ from tickhouse.plans import chains, gold, increments
 from tickhouse.session import scratch_dir
 from tickhouse.sources import files, lake, messages
 from tickhouse.streaming import alerts
+from tickhouse.streaming import late as late_ticks
 from tickhouse.streaming import ticks as streams
 from workload import batch
 from workload.registry import query
@@ -933,6 +934,48 @@ def _(t):
     return table.read().select("symbol", "price", "volume_24h", "event_time")
 
 
+def bars_with_late_ticks(t: Tables) -> str:
+    """The newer half of the ticks is streamed first, then the older half; returns the folder."""
+    folder, path, checkpoint = (scratch_dir(t.spark, n) for n in ("bars", "arrivals", "checkpoint"))
+    for late in (False, True):
+        older = F.col("kafka_timestamp") < F.expr("timestamp'2024-01-16 12:00:00'")
+        t.bronze().filter(older == F.lit(late)).coalesce(1).write.mode("append").parquet(path)
+        bronze = lake.read_lake_stream(t.spark, path, schemas.ENVELOPE)
+        ticks = silver.passing(silver.parse_ticks(bronze), silver.tick_rules())
+        finished(
+            late_ticks.keep_bars_and_late(
+                ticks.withColumnRenamed("volume_24h", "volume"), folder, checkpoint, "2 days", CATCH_UP
+            )
+        )
+    return folder
+
+
+@query(
+    "r8_bars_with_late",
+    "select symbol, event_time::date as date, arg_min(price, event_time) as open_price, "
+    "max(price) as high_price, min(price) as low_price, arg_max(price, event_time) as close_price, "
+    "arg_max(volume_24h, event_time) as total_volume from clean group by 1, 2",
+    "clean",
+)
+def _(t):
+    """Bars of days that were over long ago still get their late ticks."""
+    states, _, _ = late_ticks.tables(t.spark, bars_with_late_ticks(t))
+    return late_ticks.bars_of(states.read())
+
+
+@query(
+    "r8_late_ticks",
+    "select symbol, price, volume_24h as volume, event_time, "
+    "floor((epoch_us((select max(event_time) from clean)) - epoch_us(event_time)) / 1000)::bigint as late_by_ms "
+    "from clean where event_time < timestamp '2024-01-16 12:00:00'",
+    "clean",
+)
+def _(t):
+    """What came late, and how late it was."""
+    _, late, _ = late_ticks.tables(t.spark, bars_with_late_ticks(t))
+    return late.read().select("symbol", "price", "volume", "event_time", "late_by_ms")
+
+
 # -- end to end ------------------------------------------------------------------------
 
 
