@@ -131,10 +131,6 @@ def change_rules() -> dict[str, Column]:
     }
 
 
-def _at_position(picks: str, position: Column) -> Column:
-    return F.get(F.filter(picks, lambda pick: pick["_seq"] == position), F.lit(0))
-
-
 def apply_changes(
     table: DataFrame,
     changes: DataFrame,
@@ -152,10 +148,10 @@ def apply_changes(
     neither keys nor fields keep their stored values and are null in inserted rows. Columns
     named in ``upper`` are compared and stored in upper case, keys as well.
 
-    The log is folded by one partial aggregation to the positions that count: a key's last insert
-    or delete, and for each field the last change that names it. Positions are numbers, so no
-    key's history is brought together or sorted; only the changes at these positions are read
-    again for their values, at most one per field and key.
+    The log is read once and folded by one aggregation, partial in each task before the shuffle: of
+    a key it keeps the last insert or delete, and for each field the last change that names it with
+    its value, so no key's history is brought together. Where no field is a text the fold is a hash
+    aggregation; for texts Spark sorts a task's rows by key.
     """
     keys = list(keys)
     at = F.col(seq)
@@ -166,18 +162,11 @@ def apply_changes(
     folded = [F.max(F.when(F.col("_kind") > 0, at * 2 + F.col("_kind") - 1)).alias("_reset")]
     for name in fields:
         given = (F.col("_kind") != 2) & F.col(name).isNotNull()
-        folded.append(F.max(F.when(given, at)).alias(f"_at_{name}"))
+        folded += [
+            F.max(F.when(given, at)).alias(f"_at_{name}"),
+            F.max_by(name, F.when(given, at)).alias(f"_new_{name}"),
+        ]
     latest = log.groupBy(*keys).agg(*folded)
-    if fields:
-        named = F.array(*[F.col(f"_at_{name}") for name in fields])
-        picks = (
-            log.select(*keys, at.alias("_seq"), *[F.col(n).alias(f"_new_{n}") for n in fields])
-            .join(latest.select(*keys, named.alias("_named")), keys)
-            .filter(F.array_contains("_named", F.col("_seq")))
-            .groupBy(*keys)
-            .agg(F.collect_list(F.struct("_seq", *[f"_new_{n}" for n in fields])).alias("_picks"))
-        )
-        latest = latest.join(picks, keys, "left")
 
     stored = table.withColumns({n: F.upper(n) for n in upper if n in keys})
     joined = stored.withColumn("_stored", F.lit(True)).join(latest, keys, "full_outer")
@@ -187,9 +176,8 @@ def apply_changes(
     alive = ~deleted & (inserted | F.coalesce(F.col("_stored"), F.lit(False)))
     out = {}
     for name in fields:
-        here = F.col(f"_at_{name}")
-        pick = _at_position("_picks", here)
-        changed = F.when(F.col("_reset").isNull() | (here >= reset_at), pick[f"_new_{name}"])
+        later = F.col("_reset").isNull() | (F.col(f"_at_{name}") >= reset_at)
+        changed = F.when(later, F.col(f"_new_{name}"))
         base = F.when(inserted, F.lit((defaults or {}).get(name))).otherwise(F.col(name))
         kind = table.schema[name].dataType
         out[name] = F.coalesce(changed.cast(kind), base.cast(kind)).alias(name)
