@@ -558,6 +558,20 @@ def _(t):
     )
 
 
+@query(
+    "a12_tiled_days",
+    "select a.symbol as symbol_a, b.symbol as symbol_b, "
+    "round(corr(a.close, b.close), 6) as correlation from (select * from klines where "
+    "date_part('day', open_time) > 7) a join klines b on a.open_time = b.open_time group by 1, 2",
+    "klines",
+)
+def _(t):
+    """Moments per pair of tiles of two symbols and day; those after the seventh of a month merged."""
+    moments = analytics.tile_moments(t.klines(), SYMBOLS, tile=2)
+    later = moments.filter(F.dayofmonth("day") > 7)
+    return analytics.correlations(later, SYMBOLS).withColumn("correlation", F.round("correlation", 6))
+
+
 FLAT = (
     "select open_time, symbol, case symbol when 'CLICK' then 7.0 when 'ERROR' then 60000.1 + close / 1e6 "
     "when 'VIEW' then 60000.1 + close / 1e6 else close end as close from klines"
@@ -631,6 +645,15 @@ def _(t):
     return analytics.word_frequency(t.news(), "title")
 
 
+@query(
+    "a13_words_few_counters",
+    WORDS.format(col="text", table="documents") + " order by count desc, word limit 10",
+)
+def _(t):
+    """Summaries too short for the vocabulary of a task."""
+    return analytics.word_frequency(t.raw("documents"), "text", 10, counters=256)
+
+
 @query("a13_word_counts_full_text", WORDS.format(col="text", table="documents"))
 def _(t):
     return analytics.word_counts(t.raw("documents"), "text")
@@ -652,6 +675,32 @@ def _(t):
     )
 
 
+@query(
+    "a14_quantile_classes",
+    "select symbol, bin::int as bin, n as rows, true as within from (select symbol, count(price) as n "
+    "from ticks group by 1) cross join range(20) r(bin)",
+    "ticks",
+)
+def _(t):
+    """Classes of equal depth by sketches; each end's exact share of the prices is within the stated error."""
+    prices = t.ticks().select("symbol", "event_time", "price")
+    classes = analytics.price_quantiles(analytics.price_sketches(prices, "event_time", "price"))
+    ends = classes.groupBy("symbol").agg(F.collect_list(F.struct("bin", "bin_end")).alias("ends"))
+    shares = (
+        prices.filter("price is not null")
+        .join(ends, "symbol")
+        .select("symbol", "price", F.inline("ends"))
+        .groupBy("symbol", "bin")
+        .agg(
+            F.avg((F.col("price") <= F.col("bin_end")).cast("int")).alias("upto"),
+            F.avg((F.col("price") < F.col("bin_end")).cast("int")).alias("below"),
+        )
+    )
+    share = (F.col("bin") + 1) / 20
+    within = (F.col("upto") >= share - analytics.RANK_ERROR) & (F.col("below") <= share + analytics.RANK_ERROR)
+    return classes.join(shares, ["symbol", "bin"]).select("symbol", "bin", "rows", within.alias("within"))
+
+
 @query(
     "a15_daily_volume",
     "select symbol, open_time::date as date, sum(volume) as volume from klines group by 1, 2",
@@ -1320,6 +1369,20 @@ def _(t):
     return quality.unique(t.news(), ["source", "lang"])
 
 
+@query(
+    "q6_unique_orders",
+    "select l_orderkey, l_linenumber, count(*) as cnt from (select l_orderkey, l_linenumber from lineitem "
+    "union all select l_orderkey, l_linenumber from lineitem where l_orderkey % 97 = 5) "
+    "group by 1, 2 having count(*) > 1",
+)
+def _(t):
+    """Nearly unique keys; the lines of some orders are there twice."""
+    lines = t.raw("lineitem").select("l_orderkey", "l_linenumber")
+    return quality.unique(
+        lines.unionByName(lines.filter(F.col("l_orderkey") % 97 == 5)), ["l_orderkey", "l_linenumber"]
+    )
+
+
 # -- text ------------------------------------------------------------------------------
 
 
