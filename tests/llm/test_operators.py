@@ -506,6 +506,27 @@ def test_packing(spark):
     assert packing.pack(rows.limit(0), BYTES, 2).count() == 0
 
 
+def test_packing_of_one_length(spark):
+    """Nearly all pieces are full: no window and no sort, and each has a sequence of its own."""
+    text = "word " * 400
+    rows = frame(spark, [(i, text) for i in range(300)] + [(1000, "end")], DOCS).repartition(7)
+    got = packing.pack(rows, BYTES, 2, 8)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan
+    places = got.select("length", "sequence_id", "offset").toPandas()
+    full = places[places["length"] == 8]
+    assert len(full) > 0.9 * len(places) and full["sequence_id"].is_unique
+    assert not places.duplicated(["sequence_id", "offset"]).any()
+
+
+def test_ranks_within_a_length():
+    seen = np.zeros(5, np.int64)
+    assert packing.rank_within(np.array([4, 1, 4, 4, 1]), seen).tolist() == [0, 0, 1, 2, 1]
+    assert packing.rank_within(np.array([1, 4, 3]), seen).tolist() == [2, 3, 0]
+    assert packing.rank_within(np.array([], np.int64), seen).tolist() == []
+    assert seen.tolist() == [0, 3, 0, 1, 4]
+
+
 def test_files(spark, folder):
     rows = [*MIXED, *[(k, f"text number {k} " * (k % 17)) for k in range(10, 200)]]
     docs = frame(spark, rows).repartition(3).withColumn("n_ids", F.lit("x"))

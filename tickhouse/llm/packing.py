@@ -8,9 +8,10 @@ it shrink. The solution is rounded down to whole configurations; what is left ov
 further knapsacks, the longest remaining piece first, as often as the remaining counts allow.
 
 The histogram has at most ``capacity`` entries however many documents there are, so the program
-runs on the driver in time that does not depend on the data. Giving every piece its place is a
-join of the pieces, numbered within their length, with the table of configurations, whose size
-is bounded by the capacity and the number of iterations.
+runs on the driver in time that does not depend on the data. The pieces of a length are numbered
+where they are cut: each task counts its own, and sums over the tasks' counts say how many come before
+them, so no length, however frequent, is brought together or sorted. A piece's number finds its
+place in the table of configurations, whose size is bounded by the capacity and the iterations.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,21 +33,22 @@ CAPACITY = 1024
 ITERATIONS = 300
 RATE = 0.3
 POWER = 1.5
-# Pieces of one length are numbered in this many independent parts.
-PARTS = 64
 
 
 def piece_table(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
-    """The pieces of every document: doc_id, piece, start, length, ids_crc32.
+    """The pieces of every document: doc_id, piece, start, length, ids_crc32, part and rank.
 
     A document is the ids of its whole text (null: empty) and ``end_id``. Up to ``capacity`` ids
     are one piece; longer documents are cut into full pieces after a first, shorter one that
-    takes what does not fill a piece. ``path`` is a file of the tokenizers library. Repeated rows
+    takes what does not fill a piece. ``part`` is the task that cut a piece and ``rank`` its number among
+    those of its length there; both hold for one computation of this table. ``path`` is a file of the tokenizers library. Repeated rows
     and null doc_ids are documents of their own; other columns are ignored.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = encoder(path)
+        part = TaskContext.get().partitionId()
+        seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             doc_ids = batch.column(0)
             for first, last, data, starts in text_blocks(batch):
@@ -64,15 +67,29 @@ def piece_table(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACIT
                         pa.array(begin, pa.int64()),
                         pa.array(length, pa.int64()),
                         pa.array(crc, pa.int64()),
+                        pa.array(np.full(len(row), part, np.int32)),
+                        pa.array(rank_within(length, seen)),
                     ],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"],
                 )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        cut, "doc_id long, piece int, start long, length long, ids_crc32 long"
+        cut, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long"
     )
 
 
+def rank_within(length: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Each piece's number among all of its length so far; ``seen`` counts them on."""
+    order = np.argsort(length, kind="stable")
+    counts = np.bincount(length, minlength=len(seen))
+    first = np.cumsum(counts) - counts
+    rank = np.empty(len(length), np.int64)
+    rank[order] = np.arange(len(length)) - first[length[order]]
+    rank += seen[length]
+    seen += counts
+    return rank
+
+
 def cut_lengths(counts: np.ndarray, capacity: int):
     """(row, piece, start, length) of the pieces of documents of ``counts`` ids."""
     pieces = -(-counts // capacity)
@@ -227,32 +244,31 @@ def pack(
     numbered from 0 and hold their pieces without gaps. See :func:`piece_table` for the pieces
     and for null, empty and repeated documents; an empty table gives an empty result.
     """
-    numbered = piece_table(docs, path, end_id, capacity).withColumn(
-        "number", F.monotonically_increasing_id()
+    pieces = settle(piece_table(docs, path, end_id, capacity), "pieces")
+    # A length has one row per task.
+    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
+    before = settle(
+        counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long"))), "before"
     )
-    pieces = settle(numbered, "pieces")
-    part = F.pmod(F.xxhash64("number"), F.lit(PARTS)).cast("int")
-    # At most capacity * PARTS rows, however many documents there are.
-    counts = pieces.groupBy("length", part.alias("part")).count().collect()
-    table = np.zeros((capacity + 1, PARTS), np.int64)
-    for row in counts:
-        table[row["length"], row["part"]] = row["count"]
-    before = np.cumsum(table, axis=1) - table
-    places = place_table(configurations(table.sum(axis=1), capacity, iterations))
-    shared = docs.sparkSession.sparkContext.broadcast((before, places))
-    order = Window.partitionBy("length", "part").orderBy("number")
-    ranked = pieces.withColumn("part", part).withColumn(
-        "rank", F.row_number().over(order).cast("long") - 1
+    # At most capacity rows, however many documents there are.
+    histogram = np.zeros(capacity + 1, np.int64)
+    for row in before.groupBy("length").agg(F.sum("n").alias("n")).collect():
+        histogram[row["length"]] = row["n"]
+    places = place_table(configurations(histogram, capacity, iterations))
+    shared = docs.sparkSession.sparkContext.broadcast(places)
+    # Of one length and task there are no more pieces than a task cuts, so this join has no hot key.
+    numbered = pieces.join(before.select("length", "part", "before"), ["length", "part"]).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("rank")).alias("number")
     )
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, places = shared.value
+        places = shared.value
         span = np.int64(1) << 40
         keys = places["length"] * span + places["first"]
         for batch in batches:
             column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            length = column["length"].to_numpy()
-            number = before[length, column["part"].to_numpy()] + column["rank"].to_numpy()
+            length, number = column["length"].to_numpy(), column["number"].to_numpy()
             at = np.searchsorted(keys, length * span + number, "right") - 1
             sequence = places["sequence"][at] + number - places["first"][at]
             keep = ("doc_id", "piece", "start", "length", "ids_crc32")
@@ -261,7 +277,7 @@ def pack(
                 names=[*keep, "sequence_id", "offset"],
             )
 
-    return ranked.mapInArrow(
+    return numbered.mapInArrow(
         put,
         "doc_id long, piece int, start long, length long, ids_crc32 long, "
         "sequence_id long, offset long",
