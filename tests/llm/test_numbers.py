@@ -275,6 +275,75 @@ def test_grammar_shrinks_repeats_and_counts_expansions():
     assert made.sizes[made.symbols[made.symbols >= made.base] - made.base].sum() <= len(ids)
 
 
+def plain_repair(docs, least):
+    """(symbols, rules) of Re-Pair as it is told: the most frequent pair first, one at a time."""
+    docs, rules, top = [list(doc) for doc in docs], 0, max(max(doc) for doc in docs if doc) + 1
+    while True:
+        counts = collections.Counter()
+        for doc in docs:
+            last = None
+            for i, pair in enumerate(zip(doc, doc[1:])):
+                if pair == last and at == i - 1:
+                    last = None
+                    continue
+                counts[pair] += 1
+                last, at = pair, i
+        best, often = max(counts.items(), key=lambda c: (c[1], c[0]), default=(None, 0))
+        if often < least:
+            return sum(map(len, docs)), rules
+        for d, doc in enumerate(docs):
+            out, i = [], 0
+            while i < len(doc):
+                if tuple(doc[i : i + 2]) == best:
+                    out.append(top + rules)
+                    i += 2
+                else:
+                    out.append(doc[i])
+                    i += 1
+            docs[d] = out
+        rules += 1
+
+
+@pytest.mark.parametrize("seed, least", [(0, 6), (1, 6), (2, 4), (3, 8)])
+def test_grammar_is_as_small_as_plain_repair(seed, least):
+    """Skewed words, phrases that recur, and a passage that most documents share."""
+    random = np.random.default_rng(seed)
+    words = lambda n: np.minimum(random.zipf(1.3, n), 400).astype(np.uint32)
+    phrases, passage = [words(int(random.integers(2, 9))) for _ in range(40)], words(90)
+    docs = []
+    for d in range(30):
+        parts = [words(30)]
+        for _ in range(12):
+            parts += [phrases[int(random.integers(40) * random.random())], words(int(random.integers(1, 6)))]
+        docs.append(np.concatenate([*parts, passage] if d % 3 else parts))
+    starts = np.r_[0, np.cumsum([len(doc) for doc in docs])]
+    made = grammar.compress(np.concatenate(docs), starts, least=least)
+    symbols, rules = plain_repair([doc.tolist() for doc in docs], least)
+    assert 2 * len(made.symbols) + 12 * len(made.rules) <= 1.02 * (2 * symbols + 12 * rules)
+    assert made.sizes.max() >= 64
+
+
+def test_grammar_expands_to_any_length():
+    """A passage of 3000 different ids in 20 documents becomes one symbol, or nearly."""
+    passage = np.arange(3000, dtype=np.uint32)
+    ids = np.concatenate([np.r_[np.uint32(5000 + d), passage] for d in range(20)]).astype(np.uint32)
+    starts = np.arange(21) * 3001
+    made = grammar.compress(ids, starts)
+    assert made.sizes.max() > 1000 and len(made.symbols) <= 20 * 12
+    file = grammar.ShardFile(grammar.to_blob(made, list(range(20)), starts, 0))
+    assert (file.ids() == ids).all() and file.id_at(3001 * 7 + 1234) == 1233
+    assert (file.document(19) == ids[starts[19] :]).all()
+
+
+@pytest.mark.parametrize("rules, width", [(10, 2), (70000, 3)])
+def test_symbols_of_two_and_three_bytes(rules, width):
+    symbols = np.array([3, 1, rules + 3, 0], np.uint32)
+    table = np.tile(np.array([1, 2], np.uint32), (rules, 1))
+    made = grammar.Grammar(4, table, np.full(rules, 2, np.uint32), symbols, np.array([0, 4]))
+    file = grammar.ShardFile(grammar.to_blob(made, [1], np.array([0, 5]), 0))
+    assert file.symbols.tolist() == symbols.tolist() and file.ids().tolist() == [3, 1, 1, 2, 0]
+
+
 def test_other_files_are_refused():
     with pytest.raises(ValueError):
         grammar.ShardFile(b"x" * 100)

@@ -1,8 +1,11 @@
 """Token id files compressed by Re-Pair grammars, with random access to each document.
 
 Ids are cut into shards in ascending doc_id order. Within a shard frequent pairs of adjacent ids
-are replaced by new symbols, round after round; each round counts all pairs, takes the most
-frequent ones and replaces them from left to right. No pair spans two documents. A shard file
+are replaced by new symbols, round after round, until no pair occurs ``LEAST`` times. A round counts
+all pairs that can be among the most frequent exactly, takes those at least a third as frequent as the
+most frequent one, and replaces them from left to right; where two of them overlap, the more frequent
+one. Nothing bounds the rounds, the rules or what a symbol expands to, and a test holds the size against
+that of replacing one pair at a time. No pair spans two documents. A shard file
 holds the rules, the number of ids each symbol expands to, and for each document where its symbols
 and its ids start, so any document (or id) is found without expanding what lies before it.
 
@@ -15,7 +18,7 @@ A shard file is a blob of little-endian values::
     doc_ids 1 int64 per document   (and, if flags is 1, one byte each: 1 where doc_id is null)
     places  1 int64 per document   where its symbols start, then the number of all symbols
     starts  1 int64 per document   where its ids start in the shard, then the number of all ids
-    symbols ``width`` bytes each
+    symbols ``width`` bytes each (2, 3 or 4)
 
 Blobs are rows of a table that Spark writes, so they can lie in any store Spark reaches.
 """
@@ -32,16 +35,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickhouse.llm.arrays import ranges, text_blocks
+from tickhouse.llm.arrays import text_blocks
 from tickhouse.llm.tokens import append_to_each, encoder
 
 MAGIC = b"REPAIR01"
-# Fixed sizes: ids of a shard, pairs replaced per round, rounds, and the least count of a pair.
+# Ids of a shard, and the least count of a pair that is replaced: a rule takes 12 bytes, and
+# each use of it saves a symbol of 2 to 4 bytes, so a rarer pair gains nothing.
 SHARD_IDS = 1 << 20
-PER_ROUND = 1024
-ROUNDS = 6
-LEAST = 16
-_BUCKET_BITS = 18
+LEAST = 6
+# A round takes the pairs at least this part as frequent as the most frequent one.
+STEP = 3
+_BUCKET_BITS = 19
 
 FILES = "part int, shard int, first_id long, n_ids long, content binary"
 
@@ -60,56 +64,26 @@ class Grammar:
 def compress(
     ids: np.ndarray,
     starts: np.ndarray,
-    rounds: int = ROUNDS,
-    per_round: int = PER_ROUND,
+    rounds: int | None = None,
+    per_round: int | None = None,
     least: int = LEAST,
 ) -> Grammar:
-    """The grammar of ``ids``, of which document i is ``ids[starts[i]:starts[i + 1]]``."""
+    """The grammar of ``ids``, of which document i is ``ids[starts[i]:starts[i + 1]]``.
+
+    ``rounds`` and ``per_round`` stop earlier than the least count does; by default nothing else does.
+    """
     base = int(ids.max()) + 1 if len(ids) else 1
     seq = ids.astype(np.uint32)
     places = starts.copy()
     rules: list[np.ndarray] = []
     n_rules = 0
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        edges = places[1:-1] - 1
-        edges = edges[(edges >= 0) & (edges < len(seq) - 1)]
-        # Pairs are counted in buckets; those across documents in one more that is never taken.
-        slot = seq[:-1] * np.uint32(0x9E3779B1) + seq[1:] * np.uint32(0x85EBCA77)
-        slot >>= np.uint32(32 - _BUCKET_BITS)
-        slot[edges] = 1 << _BUCKET_BITS
-        counts = np.bincount(slot, minlength=(1 << _BUCKET_BITS) + 1)
-        counts[-1] = 0
-        top = np.argpartition(counts, -per_round)[-per_round:]
-        top = top[counts[top] >= least]
-        if not len(top):
-            break
-        rank_of = np.full(len(counts), -1, np.int16)
-        rank_of[top] = np.arange(len(top))
-        at = np.flatnonzero(rank_of[slot] >= 0)
-        rank = rank_of[slot[at]]
-        key = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-        # A bucket stands for one of the pairs that fall in it, with that pair's true count.
-        pair_of = np.zeros(len(top), np.uint64)
-        pair_of[rank] = key
-        same = pair_of[rank] == key
-        at, rank = at[same], rank[same]
-        enough = np.bincount(rank, minlength=len(top))[rank] >= least
-        at, rank = at[enough], rank[enough]
+    while rounds is None or len(rules) < rounds:
+        at, rank, pairs = frequent_pairs(seq, places, per_round, least)
         if not len(at):
             break
-        # Overlapping finds: from the left, every other one of a run of neighbours.
-        fresh = np.r_[True, np.diff(at) > 1]
-        run = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
-        keep = (np.arange(len(at)) - run) % 2 == 0
-        at, rank = at[keep], rank[keep]
-        taken = np.bincount(rank, minlength=len(top)) > 0
-        used, back = np.flatnonzero(taken), (np.cumsum(taken) - 1)[rank]
-        pairs = pair_of[used]
         rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        seq[at] = (base + n_rules + back).astype(np.uint32)
-        n_rules += len(used)
+        seq[at] = (base + n_rules + rank).astype(np.uint32)
+        n_rules += len(pairs)
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
         seq = seq[stay]
@@ -118,6 +92,60 @@ def compress(
     return Grammar(base, table, expansion_sizes(base, table), seq, places)
 
 
+def frequent_pairs(seq: np.ndarray, places: np.ndarray, per_round: int | None, least: int):
+    """Where pairs are replaced in one round, which of the pairs that is, and the pairs."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    if len(seq) < 2:
+        return none
+    edges = places[1:-1] - 1
+    edges = edges[(edges >= 0) & (edges < len(seq) - 1)]
+    # Buckets bound the counts of their pairs from above; pairs across documents share one that is
+    # never taken.
+    slot = seq[:-1] * np.uint32(0x9E3779B1) + seq[1:] * np.uint32(0x85EBCA77)
+    slot >>= np.uint32(32 - _BUCKET_BITS)
+    slot[edges] = 1 << _BUCKET_BITS
+    bound = np.bincount(slot, minlength=(1 << _BUCKET_BITS) + 1)
+    bound[-1] = 0
+    enough = int(bound.max())
+    while enough >= least:
+        enough = max(enough // STEP, least)
+        at = np.flatnonzero((bound >= enough)[slot])
+        keys = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+        pairs, rank, times = np.unique(keys, return_inverse=True, return_counts=True)
+        taken = times >= enough
+        if per_round is not None and taken.sum() > per_round:
+            taken[np.argsort(-times, kind="stable")[per_round:]] = False
+        found = taken[rank]
+        at, rank = at[found], rank[found]
+        keep = without_overlaps(at, times[rank])
+        at, rank = at[keep], rank[keep]
+        used = np.bincount(rank, minlength=len(pairs)) >= least
+        found = used[rank]
+        if found.any():
+            number = np.cumsum(used) - 1
+            return at[found], number[rank[found]], pairs[used]
+        if enough == least:
+            break
+    return none
+
+
+def without_overlaps(at: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Which of the ascending places of pairs to keep, so that no two are neighbours.
+
+    Of neighbours of one frequency, every other one from the left; else the more frequent one.
+    """
+    index = np.arange(len(at))
+    apart = np.r_[True, np.diff(at) > 1][: len(at)]
+    fresh = apart.copy()
+    fresh[1:] |= times[1:] != times[:-1]
+    keep = (index - np.maximum.accumulate(np.where(fresh, index, 0))) % 2 == 0
+    touch = keep[1:] & keep[:-1] & ~apart[1:]
+    first_wins = times[:-1] > times[1:]
+    keep[1:][touch & first_wins] = False
+    keep[:-1][touch & ~first_wins] = False
+    return keep
+
+
 def expansion_sizes(base: int, rules: np.ndarray) -> np.ndarray:
     sizes = [0] * len(rules)
     for r, (left, right) in enumerate(rules.tolist()):
@@ -127,36 +155,27 @@ def expansion_sizes(base: int, rules: np.ndarray) -> np.ndarray:
     return np.array(sizes, np.uint32)
 
 
-def expand(symbols: np.ndarray, base: int, rules: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The ids of ``symbols``: every rule is written out once, then copied where it is used."""
-    total = int(sizes.sum())
-    pool = np.empty(total, np.uint32)
-    first = np.cumsum(sizes, dtype=np.int64) - sizes
-    for r, (left, right) in enumerate(rules.tolist()):
-        at = int(first[r])
-        for symbol in (left, right):
-            if symbol < base:
-                pool[at] = symbol
-                at += 1
-            else:
-                a, n = int(first[symbol - base]), int(sizes[symbol - base])
-                pool[at : at + n] = pool[a : a + n]
-                at += n
-    ruled = symbols >= base
-    row = symbols[ruled].astype(np.int64) - base
-    length = np.ones(len(symbols), np.int64)
-    length[ruled] = sizes[row]
-    ends = np.cumsum(length)
-    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
-    out[ends[~ruled] - 1] = symbols[~ruled]
-    out[ranges(ends[ruled] - length[ruled], length[ruled])] = pool[ranges(first[row], length[ruled])]
-    return out
+def expand(symbols: np.ndarray, base: int, rules: np.ndarray) -> np.ndarray:
+    """The ids of ``symbols``: all rules are written out by one step until none is left."""
+    out = symbols
+    while True:
+        ruled = out >= base
+        if not ruled.any():
+            return out
+        ends = np.cumsum(ruled + 1)
+        sides = rules[out[ruled] - base]
+        longer = np.empty(int(ends[-1]), np.uint32)
+        longer[ends - 1] = out
+        longer[ends[ruled] - 2] = sides[:, 0]
+        longer[ends[ruled] - 1] = sides[:, 1]
+        out = longer
 
 
 def to_blob(grammar: Grammar, doc_ids: list, starts: np.ndarray, first_id: int) -> bytes:
     missing = [d is None for d in doc_ids]
     top = grammar.base + len(grammar.rules)
-    width = 2 if top <= 1 << 16 else 4
+    width = 2 if top <= 1 << 16 else 3 if top <= 1 << 24 else 4
+    symbols = np.ascontiguousarray(grammar.symbols.astype("<u4")).view(np.uint8).reshape(-1, 4)
     header = np.array(
         [
             grammar.base, len(grammar.rules), len(grammar.symbols), len(doc_ids),
@@ -173,7 +192,7 @@ def to_blob(grammar: Grammar, doc_ids: list, starts: np.ndarray, first_id: int)
         np.array(missing, np.uint8).tobytes() if any(missing) else b"",
         grammar.places.astype("<i8").tobytes(),
         starts.astype("<i8").tobytes(),
-        grammar.symbols.astype(f"<u{width}").tobytes(),
+        symbols[:, :width].tobytes(),
     ]
     return b"".join(parts)
 
@@ -200,10 +219,12 @@ class ShardFile:
         self.missing = take("u1", docs if flags else 0).astype(bool)
         self.places = take("<i8", docs + 1)
         self.starts = take("<i8", docs + 1)
-        self.symbols = take(f"<u{width}", n_symbols)
+        symbols = np.zeros((n_symbols, 4), np.uint8)
+        symbols[:, :width] = take("u1", width * n_symbols).reshape(-1, width)
+        self.symbols = symbols.view("<u4").reshape(-1)
 
     def ids(self) -> np.ndarray:
-        return expand(self.symbols.astype(np.uint32), self.base, self.rules, self.sizes)
+        return expand(self.symbols, self.base, self.rules)
 
     def document(self, row: int) -> np.ndarray:
         part = self.symbols[self.places[row] : self.places[row + 1]]
