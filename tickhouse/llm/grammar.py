@@ -77,10 +77,19 @@ def compress(
     places = starts.copy()
     rules: list[np.ndarray] = []
     n_rules = 0
+    new, level = None, least
     while rounds is None or len(rules) < rounds:
-        at, rank, pairs = frequent_pairs(seq, places, per_round, least)
+        if new is None:
+            at, rank, pairs, level = frequent_pairs(seq, places, per_round, least)
+        else:
+            at, rank, pairs = pairs_of_new(seq, places, new, per_round, least, level)
         if not len(at):
-            break
+            if new is None:
+                break
+            new = None
+            continue
+        # Pairs of the new symbols are looked at by themselves until none is as frequent as this round's.
+        new = base + n_rules
         rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         seq[at] = (base + n_rules + rank).astype(np.uint32)
         n_rules += len(pairs)
@@ -93,40 +102,63 @@ def compress(
 
 
 def frequent_pairs(seq: np.ndarray, places: np.ndarray, per_round: int | None, least: int):
-    """Where pairs are replaced in one round, which of the pairs that is, and the pairs."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    """Where pairs are replaced in one round, which of the pairs that is, the pairs, and the least count."""
     if len(seq) < 2:
-        return none
-    edges = places[1:-1] - 1
-    edges = edges[(edges >= 0) & (edges < len(seq) - 1)]
+        return *_NONE, least
     # Buckets bound the counts of their pairs from above; pairs across documents share one that is
     # never taken.
     slot = seq[:-1] * np.uint32(0x9E3779B1) + seq[1:] * np.uint32(0x85EBCA77)
     slot >>= np.uint32(32 - _BUCKET_BITS)
-    slot[edges] = 1 << _BUCKET_BITS
+    slot[between_documents(seq, places)] = 1 << _BUCKET_BITS
     bound = np.bincount(slot, minlength=(1 << _BUCKET_BITS) + 1)
     bound[-1] = 0
     enough = int(bound.max())
     while enough >= least:
         enough = max(enough // STEP, least)
-        at = np.flatnonzero((bound >= enough)[slot])
-        keys = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-        pairs, rank, times = np.unique(keys, return_inverse=True, return_counts=True)
-        taken = times >= enough
-        if per_round is not None and taken.sum() > per_round:
-            taken[np.argsort(-times, kind="stable")[per_round:]] = False
-        found = taken[rank]
-        at, rank = at[found], rank[found]
-        keep = without_overlaps(at, times[rank])
-        at, rank = at[keep], rank[keep]
-        used = np.bincount(rank, minlength=len(pairs)) >= least
-        found = used[rank]
-        if found.any():
-            number = np.cumsum(used) - 1
-            return at[found], number[rank[found]], pairs[used]
+        found = take_pairs(seq, np.flatnonzero((bound >= enough)[slot]), per_round, least, enough)
+        if len(found[0]):
+            return *found, enough
         if enough == least:
             break
-    return none
+    return *_NONE, least
+
+
+def pairs_of_new(seq, places, new: int, per_round: int | None, least: int, enough: int):
+    """As :func:`frequent_pairs`, of the pairs with a symbol from ``new`` on, at a given least count.
+
+    Every occurrence of such a pair holds the symbol, so the counts are exact.
+    """
+    is_new = seq >= new
+    touches = is_new[:-1] | is_new[1:]
+    touches[between_documents(seq, places)] = False
+    return take_pairs(seq, np.flatnonzero(touches), per_round, least, enough)
+
+
+def between_documents(seq: np.ndarray, places: np.ndarray) -> np.ndarray:
+    edges = places[1:-1] - 1
+    return edges[(edges >= 0) & (edges < len(seq) - 1)]
+
+
+_NONE = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+
+
+def take_pairs(seq: np.ndarray, at: np.ndarray, per_round: int | None, least: int, enough: int):
+    """Of the pairs at ``at``, those that occur ``enough`` times, without overlaps."""
+    keys = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+    pairs, rank, times = np.unique(keys, return_inverse=True, return_counts=True)
+    taken = times >= enough
+    if per_round is not None and taken.sum() > per_round:
+        taken[np.argsort(-times, kind="stable")[per_round:]] = False
+    found = taken[rank]
+    at, rank = at[found], rank[found]
+    keep = without_overlaps(at, times[rank])
+    at, rank = at[keep], rank[keep]
+    used = np.bincount(rank, minlength=len(pairs)) >= least
+    found = used[rank]
+    if not found.any():
+        return _NONE
+    number = np.cumsum(used) - 1
+    return at[found], number[rank[found]], pairs[used]
 
 
 def without_overlaps(at: np.ndarray, times: np.ndarray) -> np.ndarray:
