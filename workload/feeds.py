@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tickhouse import schemas
@@ -15,10 +17,12 @@ from tickhouse.streaming import late as late_ticks
 from tickhouse.streaming import ticks as streams
 from workload import batch
 from workload.registry import query
-from workload.tables import TOPIC, Tables
+from workload.tables import TOPIC, Tables, files_per_batch
 
 CATCH_UP = {"availableNow": True}
 DAYS = ("year", "month", "day")
+# Payload in a file of a feed, which one task writes.
+FEED_FILE_BYTES = 16 << 20
 
 
 def finished(q):
@@ -759,8 +763,9 @@ def _(t):
 
 
 def landed_feed(t: Tables, sent, topic: str):
-    """Payloads as broker messages, streamed into a bronze folder and read back."""
+    """Payloads as broker messages, streamed into a bronze folder in three batches and read back."""
     source, path = scratch_dir(t.spark, "feed"), scratch_dir(t.spark, "bronze")
+    size = sent.agg(F.sum(F.octet_length("raw_value").cast("bigint"))).first()[0] or 0
     sent.select(
         F.lit(None).cast("binary").alias("key"),
         F.encode("raw_value", "UTF-8").alias("value"),
@@ -768,10 +773,10 @@ def landed_feed(t: Tables, sent, topic: str):
         F.lit(0).alias("partition"),
         F.col("id").cast("bigint").alias("offset"),
         F.current_timestamp().alias("timestamp"),
-    ).repartition(3).write.parquet(source)
+    ).repartition(max(3, math.ceil(size / FEED_FILE_BYTES))).write.parquet(source)
     finished(
         streams.bronze_stream(
-            t.spark, {"format": "parquet", "path": source, "maxFilesPerTrigger": "1"}, path,
+            t.spark, {"format": "parquet", "path": source, **files_per_batch(t.spark, source, 3)}, path,
             scratch_dir(t.spark, "checkpoint"), topic, "earliest", CATCH_UP,
         )
     )

@@ -6,6 +6,7 @@ the oracle engine.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,12 @@ def symbol_of(key: Column) -> Column:
     return out
 
 
+def files_per_batch(spark: SparkSession, path: str, batches: int) -> dict[str, str]:
+    """The option by which a stream reads the files of a folder in so many batches, however many there are."""
+    found = len(spark.read.parquet(path).inputFiles())
+    return {"maxFilesPerTrigger": str(max(1, math.ceil(found / batches)))}
+
+
 class Tables:
     """The adapted tables of one scale-factor folder."""
 
