@@ -42,10 +42,9 @@ def landed(t: Tables):
 
 
 def bronze_rows(t: Tables):
-    """The landed messages as a stream, one file per batch."""
-    return lake.read_lake_stream(
-        t.spark, landed(t), schemas.ENVELOPE, {"maxFilesPerTrigger": "1"}
-    )
+    """The landed messages as a stream of three batches."""
+    path = landed(t)
+    return lake.read_lake_stream(t.spark, path, schemas.ENVELOPE, files_per_batch(t.spark, path, 3))
 
 
 def silver_table(t: Tables, parts=DAYS) -> lake.LakeTable:
@@ -818,7 +817,7 @@ def _(t):
     bronze = landed(t)
     for _attempt in (1, 2):  # the second stream has no checkpoint and sees everything again
         stream = lake.read_lake_stream(
-            t.spark, bronze, schemas.ENVELOPE, {"maxFilesPerTrigger": "2"}
+            t.spark, bronze, schemas.ENVELOPE, files_per_batch(t.spark, bronze, 2)
         )
         finished(
             streams.silver_stream(

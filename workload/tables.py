@@ -19,6 +19,8 @@ from tickhouse.session import scratch_dir
 SYMBOLS = ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW")
 COIN_ROWS = tuple((symbol, symbol.capitalize(), True) for symbol in SYMBOLS)
 TOPIC = "crypto.prices"
+# About 16 MB of JSON, which one task reads.
+MESSAGES_PER_FILE = 150_000
 
 
 def symbol_of(key: Column) -> Column:
@@ -183,22 +185,30 @@ class Tables:
             F.col("timestamp").alias("ingested_at"),
         )
 
-    def message_source(self, files: int = 3, backwards: bool = False) -> Mapping[str, str]:
-        """The messages in ``files`` files, streamed one by one, oldest or newest first."""
+    def message_source(self, parts: int = 3, backwards: bool = False) -> Mapping[str, str]:
+        """The messages in ``parts`` parts by offset, streamed one by one, oldest or newest first.
+
+        A part has as many files as its messages need. Those of one second share a file, so that no
+        limit on the files of a batch separates copies of a tick in one part.
+        """
         path = scratch_dir(self.spark, "messages")
         messages = self.messages()
-        if files == 1:
-            messages.coalesce(1).write.parquet(path)
-        else:
-            messages.repartitionByRange(files, "offset").sortWithinPartitions("offset").write.parquet(
-                path
+        shares = [i / parts for i in range(1, parts)]
+        found = messages.agg(
+            F.count("*"), F.percentile_approx("offset", shares, 10000) if shares else F.lit(None)
+        ).first()
+        files = math.ceil(found[0] / parts / MESSAGES_PER_FILE) or 1
+        later = [F.coalesce((F.col("offset") > cut).cast("int"), F.lit(0)) for cut in found[1] or []]
+        part_of = sum(later, F.lit(0))
+        for part in range(parts):  # One after the other, because streams take files by their age.
+            (
+                messages.filter(part_of == part)
+                .repartition(files, F.date_trunc("second", "timestamp"))
+                .sortWithinPartitions("offset")
+                .write.mode("append").parquet(path)
             )
-        return {
-            "format": "parquet",
-            "path": path,
-            "maxFilesPerTrigger": "1",
-            "latestFirst": str(backwards).lower(),
-        }
+        limit = files_per_batch(self.spark, path, parts)
+        return {"format": "parquet", "path": path, **limit, "latestFirst": str(backwards).lower()}
 
     def kline_dump(self, close: Column | None = None, opened: Column | None = None) -> str:
         """The candles as dump files of JSON arrays, in one folder per symbol.
